@@ -1,5 +1,5 @@
 """DuckDB SQL for every query that has an SQL form."""
 
-from oracles import gold
+from oracles import gold, layers
 
-ORACLES = {**gold.ORACLE}
+ORACLES = {**layers.ORACLE, **gold.ORACLE}

@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopgrain.functions.columns import present
-from shopgrain.operators import gold
+from shopgrain.operators import bronze, gold, silver
 from shopgrain.operators.gold import Gold
-from shopgrain.sources.retail import Retail, from_star_schema
+from shopgrain.sources.defects import raw_tables
+from shopgrain.sources.retail import TABLES, Retail, from_star_schema
 
 AS_OF = "2001-08-02"
+STAMP = "2001-08-02 06:00:00"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +28,64 @@ def _on_gold(build: Callable[[Gold], DataFrame]) -> Query:
     return lambda spark, folder: present(build(Gold(from_star_schema(spark, folder), AS_OF)))
 
 
+def _stamps_as_local(df: DataFrame) -> DataFrame:
+    """Timestamps without a zone, as the Parquet inputs carry them."""
+    return df.select(
+        *[
+            F.col(n).cast("timestamp_ntz").alias(n) if kind == "timestamp" else F.col(n)
+            for n, kind in df.dtypes
+        ]
+    )
+
+
+def _on_raw(table: str, build: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, folder: _stamps_as_local(
+        present(build(raw_tables(from_star_schema(spark, folder))[table]))
+    )
+
+
+def _bronze(table: str) -> Query:
+    return _on_raw(table, lambda raw: bronze.bronze(table, raw, STAMP))
+
+
+def _silver(table: str, **options) -> Query:
+    return _on_raw(
+        table, lambda raw: silver.CLEANERS[table](bronze.bronze(table, raw, STAMP), STAMP, **options)
+    )
+
+
+# The star schema's part types, under the names its cleaned products carry.
+PART_TYPES = {t.upper(): t for t in ("Economy", "Large", "Medium", "Promo", "Small")}
+
+QUERIES |= {
+    "add_audit_columns": lambda spark, folder: _stamps_as_local(
+        bronze.add_audit_columns(from_star_schema(spark, folder).stores, STAMP)
+    ),
+    **{f"bronze_{t}": _bronze(t) for t in TABLES},
+    "bronze_generic": _on_raw("orders", lambda raw: bronze.bronze_generic(raw, STAMP)),
+    "data_quality": _on_raw("customers", bronze.data_quality),
+    "dedupe_first": _on_raw(
+        "customers",
+        lambda raw: silver.dedupe_first(
+            raw.dropna(subset=["first_name", "email"]).withColumn("email", F.lower(F.trim("email")))
+        ),
+    ),
+    **{f"silver_{t}": _silver(t) for t in TABLES if t != "products"},
+    "silver_products": _silver("products", categories=PART_TYPES),
+    "silver_generic": _on_raw(
+        "orders",
+        lambda raw: silver.silver_generic(
+            "orders",
+            bronze.bronze_generic(raw, "2001-08-01 06:00:00")
+            .withColumn("status", F.lit("outdated"))
+            .unionByName(
+                bronze.bronze_generic(raw, STAMP).withColumn("status", F.concat(F.lit(" "), "status"))
+            ),
+            STAMP,
+        ),
+    ),
+}
+
 QUERIES |= {
     "gold_daily_sales_summary": _on_gold(lambda g: g.daily_sales_summary),
     "gold_customer_analytics": _on_gold(lambda g: g.customer_analytics),
