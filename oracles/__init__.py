@@ -1,5 +1,5 @@
 """DuckDB SQL for every query that has an SQL form."""
 
-from oracles import gold, layers
+from oracles import core, gold, layers, scripts
 
-ORACLES = {**layers.ORACLE, **gold.ORACLE}
+ORACLES = {**layers.ORACLE, **gold.ORACLE, **core.ORACLE, **scripts.ORACLE}

@@ -10,30 +10,35 @@ from pyspark.sql import types as T
 
 MONEY = "decimal(18,2)"
 WIDE_MONEY = "decimal(22,2)"
+FINE = "decimal(24,6)"
 
 
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def quotient(num: str | Column, den: str | Column, digits: int, times: int = 1) -> Column:
+def quotient(
+    num: str | Column, den: str | Column, digits: int, times: int = 1, unit: str = WIDE_MONEY
+) -> Column:
     """``num * times / den`` rounded half up to ``digits``; NULL when ``den`` is 0.
 
-    Both sides are narrowed to 22 digits first, so that Spark keeps at least 12
-    decimals of the quotient before the rounding.
+    Both sides are narrowed first, so that Spark keeps at least 12 decimals of the
+    quotient before the rounding. ``unit`` is the type ``num`` fits in exactly.
     """
-    top = col(num).cast(WIDE_MONEY) * F.lit(times)
+    top = col(num).cast(unit) * F.lit(times)
     bottom = col(den).cast(WIDE_MONEY)
     return F.round(top / F.nullif(bottom, F.lit(0).cast(WIDE_MONEY)), digits)
 
 
-def mean(value: str | Column, digits: int, count: str | Column | None = None) -> Column:
+def mean(
+    value: str | Column, digits: int, count: str | Column | None = None, unit: str = WIDE_MONEY
+) -> Column:
     """Average of a money or integer column, rounded once.
 
     With ``count`` the column already holds partial sums of ``count`` rows each.
     """
     n = F.count(col(value)) if count is None else F.sum(col(count))
-    return quotient(F.sum(col(value)), n, digits)
+    return quotient(F.sum(col(value)), n, digits, unit=unit)
 
 
 def percent(num: str | Column, den: str | Column, digits: int = 2) -> Column:

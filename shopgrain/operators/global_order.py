@@ -109,12 +109,15 @@ class GlobalOrder:
         out = self._with_number(order, "__rn").withColumn(name, (tile + 1).cast("int")).drop("__rn")
         return self._next(out)
 
-    def rank(self, value: str, name: str, tie_breaker: str) -> "GlobalOrder":
-        """RANK() over ``value`` descending: the first row number of each value."""
+    def rank(self, value: str, name: str, *unique: str) -> "GlobalOrder":
+        """RANK() over ``value`` descending: the first row number of each value.
+
+        ``unique`` names columns that tell equal values apart.
+        """
         if self.fits_one_task:
             w = Window.orderBy(F.col(value).desc())
             return self._next(self.df.withColumn(name, F.rank().over(w)))
-        numbered = self._with_number([F.col(value).desc(), F.col(tie_breaker)], "__rn")
+        numbered = self._with_number([F.col(value).desc(), *map(F.col, unique)], "__rn")
         first = numbered.groupBy(F.col(value).alias("__value")).agg(
             F.min("__rn").cast("int").alias(name)
         )
@@ -125,17 +128,28 @@ class GlobalOrder:
         )
         return self._next(out)
 
-    def running_sum(self, value: str, order: Sequence[Column], name: str) -> "GlobalOrder":
-        """Sum of ``value`` from the first row of ``order`` to this one."""
+    def total(self, value: str):
+        """The sum of a column, as a value: one row read from the settled table."""
+        return self.df.agg(F.sum(value)).first()[0]
+
+    def running_sum(
+        self, value: str, order: Sequence[Column], name: str, number: str = "row_number"
+    ) -> "GlobalOrder":
+        """Sum of ``value`` from the first row of ``order`` to this one, and the row's number."""
         upto = (Window.unboundedPreceding, Window.currentRow)
         if self.fits_one_task:
-            w = Window.orderBy(*order).rowsBetween(*upto)
-            return self._next(self.df.withColumn(name, F.sum(value).over(w)))
+            w = Window.orderBy(*order)
+            return self._next(
+                self.df.withColumn(name, F.sum(value).over(w.rowsBetween(*upto))).withColumn(
+                    number, F.row_number().over(w).cast("long")
+                )
+            )
         ranged = self._sorted(order)
         local = F.sum(value).over(Window.partitionBy(_PART).orderBy(_POS).rowsBetween(*upto))
         out = (
             ranged.join(F.broadcast(self._offsets(ranged, value)), _PART)
             .withColumn(name, F.col(f"__before_{value}") + local)
+            .withColumn(number, F.col("__n_before") + F.col(_POS) + 1)
             .drop(_PART, _POS, "__n_before", f"__before_{value}")
         )
         return self._next(out)

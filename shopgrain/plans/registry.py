@@ -10,22 +10,41 @@ from pyspark.sql import functions as F
 from shopgrain.functions.columns import present
 from shopgrain.operators import bronze, gold, silver
 from shopgrain.operators.gold import Gold
+from shopgrain.plans import core, scripts
 from shopgrain.sources.defects import raw_tables
 from shopgrain.sources.retail import TABLES, Retail, from_star_schema
 
 AS_OF = "2001-08-02"
 STAMP = "2001-08-02 06:00:00"
 
+# Report parameters that lie inside the test tables' dates.
+SINCE, YEAR = "2001-01-01", 2000
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def _on_retail(build: Callable[[Retail], DataFrame]) -> Query:
-    return lambda spark, folder: present(build(from_star_schema(spark, folder)))
+def _on_retail(build: Callable[..., DataFrame], *args) -> Query:
+    return lambda spark, folder: present(build(from_star_schema(spark, folder), *args))
+
+
+def _on_gold(build: Callable[..., DataFrame], *args) -> Query:
+    return lambda spark, folder: present(build(Gold(from_star_schema(spark, folder), AS_OF), *args))
 
 
-def _on_gold(build: Callable[[Gold], DataFrame]) -> Query:
-    return lambda spark, folder: present(build(Gold(from_star_schema(spark, folder), AS_OF)))
+def _lists_as_text(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Array columns joined to text, which every engine compares alike."""
+
+    def run(*args) -> DataFrame:
+        df = build(*args)
+        return df.select(
+            *[
+                F.array_join(n, ", ").alias(n) if kind == "array<string>" else F.col(n)
+                for n, kind in df.dtypes
+            ]
+        )
+
+    return run
 
 
 def _stamps_as_local(df: DataFrame) -> DataFrame:
@@ -98,3 +117,35 @@ QUERIES |= {
     "gold_store_perf_aws": _on_retail(gold.gold_store_perf),
     "gold_employee_performance": _on_retail(gold.gold_employee_performance),
 }
+
+QUERIES |= {
+    "monthly_revenue": _on_gold(core.monthly_revenue),
+    "top_customers": _on_gold(core.top_customers),
+    "product_ranking": _on_gold(core.product_ranking),
+    "store_comparison": _on_gold(core.store_comparison),
+    "time_series_growth": _on_gold(core.time_series_growth),
+    "cohort_retention": _on_retail(core.cohort_retention),
+    "cross_sell_orders": _on_retail(_lists_as_text(core.cross_sell_orders)),
+    "rfm_analysis": _on_retail(core.rfm_analysis, AS_OF),
+    "moving_averages": _on_retail(core.moving_averages),
+    "yoy_comparison": _on_gold(core.yoy_comparison),
+    "pareto_analysis": _on_retail(core.pareto_analysis),
+}
+
+QUERIES |= {
+    "sales_dashboard_daily": _on_gold(scripts.sales_dashboard_daily, SINCE),
+    "top_products_gold": _on_gold(scripts.top_products_gold),
+    "segment_summary": _on_gold(scripts.segment_summary),
+    "store_matrix": _on_gold(scripts.store_matrix),
+    "mom_growth_year": _on_gold(scripts.mom_growth_year, YEAR),
+    "ltv_buckets": _on_gold(scripts.ltv_buckets),
+    "product_combinations": _on_retail(_lists_as_text(scripts.product_combinations)),
+    "seasonal_sales": _on_gold(scripts.seasonal_sales),
+    "inventory_turnover_class": _on_gold(scripts.inventory_turnover_class),
+    "yoy_from_daily": _on_retail(scripts.yoy_from_daily),
+    "cltv_prediction": _on_retail(scripts.cltv_prediction, AS_OF),
+    "product_season": _on_retail(scripts.product_season),
+    "inventory_days": _on_retail(scripts.inventory_days, AS_OF),
+    "purchase_pattern": _on_retail(scripts.purchase_pattern),
+    "store_comparison_ranked": _on_retail(scripts.store_comparison_ranked),
+}
