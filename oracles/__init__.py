@@ -1,5 +1,9 @@
 """DuckDB SQL for every query that has an SQL form."""
 
-from oracles import core, gold, layers, scripts
+from oracles import core, extended, gold, lakehouse, layers, scripts
 
-ORACLES = {**layers.ORACLE, **gold.ORACLE, **core.ORACLE, **scripts.ORACLE}
+ORACLES = {
+    name: sql
+    for area in (layers, gold, core, scripts, extended, lakehouse)
+    for name, sql in area.ORACLE.items()
+}

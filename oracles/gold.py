@@ -8,7 +8,7 @@ from oracles.base import TODAY, amount, gross, half_up, money_avg, pct, with_tab
 DAILY = f"""
 daily AS (
   SELECT o.order_date AS sale_date, p.category, st.store_name, st.city AS store_city,
-         st.country AS store_country, sum(s.quantity) AS units_sold,
+         st.country AS store_country, CAST(sum(s.quantity) AS BIGINT) AS units_sold,
          CAST(sum(s.total_c) AS BIGINT) AS revenue_c, CAST(sum(s.profit_c) AS BIGINT) AS profit_c,
          CAST(sum(s.price_u) AS BIGINT) AS price_u, count(*) AS lines,
          count(DISTINCT o.order_id) AS order_count, count(DISTINCT o.customer_id) AS unique_customers,
@@ -21,8 +21,8 @@ daily AS (
 MONTHLY = """
 monthly AS (
   SELECT year(sale_date) AS year, month(sale_date) AS month, category,
-         CAST(sum(revenue_c) AS BIGINT) AS revenue_c, sum(units_sold) AS monthly_units,
-         sum(order_count) AS monthly_orders, count(*) AS n
+         CAST(sum(revenue_c) AS BIGINT) AS revenue_c, CAST(sum(units_sold) AS BIGINT) AS monthly_units,
+         CAST(sum(order_count) AS BIGINT) AS monthly_orders, count(*) AS n
   FROM daily GROUP BY ALL
 ),
 series AS (
@@ -33,15 +33,15 @@ CUSTOMERS = f"""
 bought AS (
   SELECT o.customer_id, count(DISTINCT o.order_id) AS total_orders,
          CAST(sum(s.total_c) AS BIGINT) AS ltv_c, count(*) AS lines, max(o.order_date) AS last_order_date,
-         min(o.order_date) AS first_order_date, sum(s.quantity) AS total_products_purchased,
+         min(o.order_date) AS first_order_date, CAST(sum(s.quantity) AS BIGINT) AS total_products_purchased,
          CAST(sum(s.discount) AS BIGINT) AS discount
   FROM ord o JOIN sales s ON o.order_id = s.order_id GROUP BY o.customer_id
 ),
 analytics AS (
   SELECT c.*, b.* EXCLUDE (customer_id), {TODAY} - last_order_date AS days_since_last_order,
          {TODAY} - first_order_date AS customer_tenure_days,
-         CASE WHEN ltv_c >= 1000000 THEN 'VIP' WHEN ltv_c >= 500000 THEN 'High Value'
-              WHEN ltv_c >= 100000 THEN 'Medium Value' ELSE 'Low Value' END AS customer_segment,
+         CASE WHEN ltv_c >= 280000000 THEN 'VIP' WHEN ltv_c >= 210000000 THEN 'High Value'
+              WHEN ltv_c >= 140000000 THEN 'Medium Value' ELSE 'Low Value' END AS customer_segment,
          CASE WHEN {TODAY} - last_order_date > 180 THEN 'High'
               WHEN {TODAY} - last_order_date > 90 THEN 'Medium' ELSE 'Low' END AS churn_risk
   FROM customers c JOIN bought b ON c.customer_id = b.customer_id
@@ -49,7 +49,7 @@ analytics AS (
 
 PRODUCTS = """
 sold AS (
-  SELECT product_id, sum(quantity) AS total_units_sold, CAST(sum(total_c) AS BIGINT) AS revenue_c,
+  SELECT product_id, CAST(sum(quantity) AS BIGINT) AS total_units_sold, CAST(sum(total_c) AS BIGINT) AS revenue_c,
          CAST(sum(profit_c) AS BIGINT) AS profit_c, count(*) AS lines,
          CAST(sum(price_u) AS BIGINT) AS price_u, CAST(sum(discount) AS BIGINT) AS discount
   FROM sales GROUP BY product_id
@@ -64,7 +64,7 @@ perf AS (
 STORES = """
 sold_by_store AS (
   SELECT o.store_id, count(DISTINCT o.order_id) AS total_orders,
-         count(DISTINCT o.customer_id) AS unique_customers, sum(s.quantity) AS units_sold,
+         count(DISTINCT o.customer_id) AS unique_customers, CAST(sum(s.quantity) AS BIGINT) AS units_sold,
          CAST(sum(s.total_c) AS BIGINT) AS revenue_c, CAST(sum(s.profit_c) AS BIGINT) AS profit_c,
          count(*) AS lines, CAST(sum(s.discount) AS BIGINT) AS discount
   FROM sales s JOIN ord o ON s.order_id = o.order_id GROUP BY o.store_id

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopgrain.sources.retail import Retail
+from shopgrain.sources.scratch import settle
 
 
 def order_products(t: Retail) -> DataFrame:
@@ -64,3 +65,105 @@ def basket_marks(per_product: DataFrame) -> DataFrame:
         F.bit_xor(F.xxhash64(F.lit(2), *parts)).alias("mark_b"),
         F.sum("copies").alias("lines"),
     )
+
+
+# -- pairs bought together ---------------------------------------------------
+
+WIDE_ORDER = 100
+
+
+def _item_entries(t: Retail) -> DataFrame:
+    """Order, product, item, copies, and how many products the order holds.
+
+    Products of one name and category are one item, named by its lowest product.
+    """
+    names = t.products.select("product_id", "product_name", "category")
+    items = names.groupBy("product_name", "category").agg(F.min("product_id").alias("item"))
+    product_items = names.join(items, ["product_name", "category"]).select("product_id", "item")
+    lines = t.sales.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("copies"))
+    entries = lines.join(product_items, "product_id")
+    sizes = entries.groupBy("order_id").agg(F.count(F.lit(1)).alias("different"))
+    return entries.join(sizes.where(F.col("different") > 1), "order_id")
+
+
+def _side(entries: DataFrame, side: str) -> DataFrame:
+    return entries.select(
+        "order_id",
+        *[F.col(c).alias(f"{c}_{side}") for c in ("product_id", "item", "copies")],
+    )
+
+
+def _pair_counts(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("item_a", "item_b").agg(
+        F.sum(F.col("copies_a") * F.col("copies_b")).alias("n")
+    )
+
+
+def _pairs_within(entries: DataFrame) -> DataFrame:
+    a, b = _side(entries, "a"), _side(entries, "b")
+    return _pair_counts(
+        a.join(b, "order_id").where(F.col("product_id_a") < F.col("product_id_b"))
+    )
+
+
+def top_pairs(t: Retail, n: int = 30, wide: int = WIDE_ORDER) -> DataFrame:
+    """The ``n`` item pairs that most line pairs of one order hold: item_a, item_b, n.
+
+    Orders of up to ``wide`` products are paired directly. Wider ones are never
+    paired as a whole; with ``least`` the n-th count so far, a pair still matters if
+
+    * it was counted already and could reach ``least`` with what wide orders can
+      add at most: its share of the wide orders is looked up, or
+    * it was not counted yet: then both items must be able to reach ``least``
+      within the wide orders alone.
+
+    An item can gain at most its copies times the most copies of any item, summed
+    over the wide orders that hold it. Both rules are bounds, so the result is exact.
+    """
+    entries = settle(_item_entries(t), "entries")
+    counted = _pairs_within(entries.where(F.col("different") <= wide))
+    broad = entries.where(F.col("different") > wide)
+    best = [F.desc("n"), F.col("item_a"), F.col("item_b")]
+    if not broad.head(1):
+        return counted.orderBy(*best).limit(n)
+
+    counted = settle(counted, "pairs")
+    leaders = counted.orderBy(*best).limit(n).collect()  # at most n rows
+    least = min(r["n"] for r in leaders) if len(leaders) == n else 0
+
+    held = broad.groupBy("order_id", "item").agg(F.sum("copies").alias("copies"))
+    most = held.groupBy("order_id").agg(F.max("copies").alias("most"))
+    gain = settle(
+        held.join(most, "order_id")
+        .groupBy("item")
+        .agg(F.sum(F.col("copies") * F.col("most")).alias("gain")),
+        "gain",
+    )
+
+    def gains(side: str) -> DataFrame:
+        return gain.select(F.col("item").alias(f"item_{side}"), F.col("gain").alias(f"gain_{side}"))
+
+    could_add = F.least(
+        F.coalesce("gain_a", F.lit(0).cast("bigint")), F.coalesce("gain_b", F.lit(0).cast("bigint"))
+    )
+    known = settle(
+        counted.join(gains("a"), "item_a", "left")
+        .join(gains("b"), "item_b", "left")
+        .where(F.col("n") + could_add >= least)
+        .select("item_a", "item_b", "n"),
+        "known",
+    )
+    looked_up = _pair_counts(
+        known.select("item_a", "item_b")
+        .join(_side(broad, "a"), "item_a")
+        .join(_side(broad, "b"), ["order_id", "item_b"])
+        .where(F.col("product_id_a") < F.col("product_id_b"))
+    )
+    known_total = (
+        known.unionByName(looked_up).groupBy("item_a", "item_b").agg(F.sum("n").alias("n"))
+    )
+    live = gain.where(F.col("gain") >= max(least, 1)).select("item")
+    fresh = _pairs_within(broad.join(live, "item", "left_semi")).join(
+        counted, ["item_a", "item_b"], "left_anti"
+    )
+    return known_total.unionByName(fresh).orderBy(*best).limit(n)

@@ -130,8 +130,8 @@ def customer_analytics(t: Retail, as_of: str, rules: CustomerRules = CustomerRul
     )
 
 
-def product_performance(t: Retail) -> DataFrame:
-    """Products with at least one sale, ranked by revenue and by profit."""
+def product_measures(t: Retail) -> DataFrame:
+    """Products with at least one sale and what they sold."""
     sums = product_sums(t).select(
         "product_id",
         F.col("units").alias("total_units_sold"),
@@ -144,10 +144,14 @@ def product_performance(t: Retail) -> DataFrame:
         # The margin of the sales replaces the catalogue margin.
         percent("profit", "revenue").alias("profit_margin"),
     )
-    products = t.products.drop("profit_margin")
+    return t.products.drop("profit_margin").join(sums, "product_id")
+
+
+def product_performance(t: Retail) -> DataFrame:
+    """The measures with ranks by revenue and by profit."""
     turnover = F.col("stock").cast("double") / F.nullif(F.col("total_units_sold"), F.lit(0)) * YEAR_DAYS
     ranked = (
-        GlobalOrder(products.join(sums, "product_id"))
+        GlobalOrder(product_measures(t))
         .rank("total_revenue", "revenue_rank", "product_id")
         .rank("total_profit", "profit_rank", "product_id")
     )
@@ -218,6 +222,10 @@ class Gold:
     def customer_analytics(self) -> DataFrame:
         return customer_analytics(self.retail, self.as_of, self.rules)
 
+    @cached_property
+    def product_measures(self) -> DataFrame:
+        return product_measures(self.retail)
+
     @cached_property
     def product_performance(self) -> DataFrame:
         return product_performance(self.retail)

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from shopgrain.functions.columns import present
 from shopgrain.operators import bronze, gold, silver
-from shopgrain.operators.gold import Gold
-from shopgrain.plans import core, scripts
+from shopgrain.operators.gold import CustomerRules, Gold
+from shopgrain.plans import core, extended, lakehouse, scripts
 from shopgrain.sources.defects import raw_tables
 from shopgrain.sources.retail import TABLES, Retail, from_star_schema
 
@@ -19,6 +19,10 @@ STAMP = "2001-08-02 06:00:00"
 
 # Report parameters that lie inside the test tables' dates.
 SINCE, YEAR = "2001-01-01", 2000
+# Customer borders that split the test tables' far larger amounts.
+RULES = CustomerRules(vip=2_800_000, high=2_100_000, medium=1_400_000)
+TIERS = (3_000_000, 2_200_000, 1_600_000, 1_200_000)
+LTV_BORDERS = (1_000_000, 1_500_000, 2_000_000, 3_000_000)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,7 +33,7 @@ def _on_retail(build: Callable[..., DataFrame], *args) -> Query:
 
 
 def _on_gold(build: Callable[..., DataFrame], *args) -> Query:
-    return lambda spark, folder: present(build(Gold(from_star_schema(spark, folder), AS_OF), *args))
+    return lambda spark, folder: present(build(Gold(from_star_schema(spark, folder), AS_OF, RULES), *args))
 
 
 def _lists_as_text(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
@@ -138,7 +142,7 @@ QUERIES |= {
     "segment_summary": _on_gold(scripts.segment_summary),
     "store_matrix": _on_gold(scripts.store_matrix),
     "mom_growth_year": _on_gold(scripts.mom_growth_year, YEAR),
-    "ltv_buckets": _on_gold(scripts.ltv_buckets),
+    "ltv_buckets": _on_gold(scripts.ltv_buckets, LTV_BORDERS),
     "product_combinations": _on_retail(_lists_as_text(scripts.product_combinations)),
     "seasonal_sales": _on_gold(scripts.seasonal_sales),
     "inventory_turnover_class": _on_gold(scripts.inventory_turnover_class),
@@ -149,3 +153,40 @@ QUERIES |= {
     "purchase_pattern": _on_retail(scripts.purchase_pattern),
     "store_comparison_ranked": _on_retail(scripts.store_comparison_ranked),
 }
+
+QUERIES |= {
+    "cohort_matrix": _on_retail(extended.cohort_matrix),
+    "rfm_segmentation": _on_retail(extended.rfm_segmentation, AS_OF),
+    "rfm_segment_summary": _on_retail(extended.rfm_segment_summary, AS_OF),
+    "abc_products": _on_gold(extended.abc_products),
+    "abc_summary": _on_gold(extended.abc_summary),
+    "basket_categories": _on_retail(_lists_as_text(extended.basket_categories)),
+    "revenue_trend": _on_retail(extended.revenue_trend),
+    "ltv_distribution": _on_gold(extended.ltv_distribution),
+    "category_country": _on_gold(extended.category_country),
+    "discount_effectiveness": _on_retail(extended.discount_effectiveness),
+    "seasonality_dow": _on_gold(extended.seasonality_dow),
+    "seasonality_monthly": _on_gold(extended.seasonality_monthly),
+    "anomaly_detection": _on_gold(extended.anomaly_detection),
+    "employee_performance": _on_retail(extended.employee_performance),
+    "inventory_risk": _on_retail(extended.inventory_risk),
+}
+
+QUERIES |= {
+    "ath_sales_dashboard": _on_retail(lakehouse.sales_dashboard, AS_OF),
+    "ath_top_products": _on_retail(lakehouse.top_products),
+    "ath_customer_segmentation": _on_retail(lakehouse.customer_segmentation, TIERS),
+    "ath_store_performance": _on_retail(lakehouse.store_performance),
+    "ath_mom_growth": _on_retail(lakehouse.mom_growth),
+    "ath_ltv_distribution": _on_retail(lakehouse.ltv_distribution),
+    "ath_rfm": _on_retail(lakehouse.rfm, AS_OF),
+    "ath_cohort_retention": _on_retail(lakehouse.cohort_retention),
+    "ath_abc_products": _on_retail(lakehouse.abc_products),
+    "ath_inventory_risk": _on_retail(lakehouse.inventory_risk, AS_OF),
+    "ath_yoy": _on_retail(lakehouse.yoy),
+    "ath_discount": _on_retail(lakehouse.discount),
+    "ath_employee": _on_retail(lakehouse.employee),
+    "ath_cross_sell_pairs": _on_retail(lakehouse.cross_sell_pairs),
+    "ath_anomaly": _on_retail(lakehouse.anomaly),
+    "ath_seasonality": _on_retail(lakehouse.seasonality),
+}

@@ -101,11 +101,12 @@ def mom_growth_year(g: Gold, year: int) -> DataFrame:
     return time_series_growth(g).where(F.col("year") == year)
 
 
-def ltv_buckets(g: Gold) -> DataFrame:
+def ltv_buckets(g: Gold, borders: tuple[int, ...] = (1000, 5000, 10000, 50000)) -> DataFrame:
+    names = [f"{b // 1000}K" for b in borders]
     ltv = F.col("lifetime_value")
     bucket = label(
-        [(ltv < 1000, "0-1K"), (ltv < 5000, "1K-5K"), (ltv < 10000, "5K-10K"), (ltv < 50000, "10K-50K")],
-        "50K+",
+        [(ltv < b, f"{low}-{high}") for b, low, high in zip(borders, ["0", *names], names)],
+        f"{names[-1]}+",
     )
     return (
         g.customer_analytics.groupBy(bucket.alias("lifetime_value_bucket"))
