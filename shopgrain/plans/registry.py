@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shopgrain.functions.columns import present
 from shopgrain.operators import bronze, gold, silver
 from shopgrain.operators.gold import CustomerRules, Gold
-from shopgrain.plans import core, extended, lakehouse, scripts
+from shopgrain.plans import core, extended, lakehouse, scripts, storage_queries
 from shopgrain.sources.defects import raw_tables
 from shopgrain.sources.retail import TABLES, Retail, from_star_schema
 
@@ -190,3 +190,7 @@ QUERIES |= {
     "ath_anomaly": _on_retail(lakehouse.anomaly),
     "ath_seasonality": _on_retail(lakehouse.seasonality),
 }
+
+QUERIES |= {
+    name: storage_queries.on_folder(build) for name, build in storage_queries.QUERIES.items()
+}
