@@ -1,9 +1,9 @@
 """DuckDB SQL for every query that has an SQL form."""
 
-from oracles import changes, core, extended, gold, lakehouse, layers, scripts, storage
+from oracles import changes, core, extended, features, gold, lakehouse, layers, reports, scripts, storage
 
 ORACLES = {
     name: sql
-    for area in (storage, layers, changes, gold, core, scripts, extended, lakehouse)
+    for area in (storage, layers, changes, gold, core, scripts, extended, lakehouse, reports, features)
     for name, sql in area.ORACLE.items()
 }

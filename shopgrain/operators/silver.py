@@ -31,6 +31,7 @@ REGIONS = {
     "Japan": "Asia",
 }
 STATUSES = ("Completed", "Pending", "Cancelled", "Shipped")
+PRICE_TIERS = ("Budget", "Mid-Range", "Premium")
 GENDERS = ("Male", "Female")
 EMAIL = r"^[a-z0-9._%+\-]+@[a-z0-9.\-]+\.[a-z]{2,}$"
 
@@ -96,6 +97,14 @@ def silver_customers(bronze: DataFrame, processed_at: str | None = None) -> Data
     return _processed(cleaned, processed_at)
 
 
+def catalogue_columns(borders: Borders = Borders()) -> dict[str, Column]:
+    """Margin and price tier of a product at its list price."""
+    return {
+        "profit_margin": percent(F.col("selling_price") - F.col("cost_price"), "selling_price"),
+        "price_tier": _tier("selling_price", borders.price, PRICE_TIERS),
+    }
+
+
 def silver_products(
     bronze: DataFrame,
     processed_at: str | None = None,
@@ -105,9 +114,8 @@ def silver_products(
     cleaned = bronze.withColumns(
         {
             "category": _lookup("category", categories, "Unknown"),
-            "profit_margin": percent(F.col("selling_price") - F.col("cost_price"), "selling_price"),
             "stock_value": F.col("stock") * F.col("cost_price"),
-            "price_tier": _tier("selling_price", borders.price, ("Budget", "Mid-Range", "Premium")),
+            **catalogue_columns(borders),
         }
     )
     return _processed(cleaned, processed_at)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from shopgrain.functions.columns import present
 from shopgrain.operators import bronze, gold, silver
 from shopgrain.operators.gold import CustomerRules, Gold
-from shopgrain.plans import core, extended, lakehouse, scripts, storage_queries
+from shopgrain.plans import core, extended, features, lakehouse, reports, scripts, storage_queries
+from shopgrain.plans.model_queries import ModelQueries
 from shopgrain.sources.defects import raw_tables
 from shopgrain.sources.retail import TABLES, Retail, from_star_schema
 
@@ -194,3 +195,44 @@ QUERIES |= {
 QUERIES |= {
     name: storage_queries.on_folder(build) for name, build in storage_queries.QUERIES.items()
 }
+
+
+def _as_cells(wide: DataFrame) -> DataFrame:
+    """A pivot whose headings depend on the data, one row per cell."""
+    headings = wide.columns[1:]
+    return wide.unpivot([wide.columns[0]], headings, "store_country", "revenue")
+
+
+CATEGORIES = (*sorted(PART_TYPES), "STANDARD")
+
+QUERIES |= {
+    "pivot_revenue_month_category": _on_gold(reports.pivot_revenue_month_category, CATEGORIES),
+    "pivot_cohort": _on_retail(reports.pivot_cohort),
+    "pivot_country": _on_gold(lambda g: _as_cells(reports.pivot_country(g))),
+    "pivot_year_month": _on_gold(reports.pivot_year_month),
+    "customer_segment_summary": _on_gold(reports.customer_segment_summary),
+    "churn_counts": _on_gold(reports.churn_counts),
+    "rfm_summary": _on_retail(reports.rfm_summary, AS_OF),
+    "rfm_ext_summary": _on_retail(reports.rfm_ext_summary, AS_OF),
+    "ltv_percentiles_exact": _on_gold(reports.ltv_percentiles_exact),
+    "ltv_histogram": _on_gold(reports.ltv_histogram),
+    "abc_rollup": _on_gold(reports.abc_rollup),
+    "basket_combo_labels": _on_retail(reports.basket_combo_labels),
+    "basket_size_histogram": _on_retail(reports.basket_size_histogram),
+    "daily_category_revenue": _on_gold(reports.daily_category_revenue),
+    "department_summary": _on_retail(reports.department_summary),
+    "inventory_status_counts": _on_retail(reports.inventory_status_counts),
+    "stockout_top10": _on_retail(reports.stockout_top10),
+    "executive_kpis": _on_gold(reports.executive_kpis),
+    "parse_money": _on_gold(reports.parsed_money),
+    "sample_rows": _on_retail(
+        lambda t: reports.sample_rows(core.rfm_analysis(t, AS_OF), "customer_id")
+    ),
+}
+
+QUERIES |= {
+    "customer_features": _on_retail(features.customer_features, AS_OF, CATEGORIES),
+    "product_features": _on_retail(features.product_features, CATEGORIES),
+    "store_features": _on_gold(features.store_features),
+    **{n: storage_queries.on_folder(build) for n, build in ModelQueries(AS_OF, CATEGORIES).named().items()},
+}
