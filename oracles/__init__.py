@@ -1,9 +1,23 @@
 """DuckDB SQL for every query that has an SQL form."""
 
-from oracles import changes, core, extended, features, gold, lakehouse, layers, reports, scripts, storage
+from oracles import (
+    changes,
+    core,
+    extended,
+    features,
+    gold,
+    lakehouse,
+    layers,
+    reports,
+    scripts,
+    storage,
+)
 
-ORACLES = {
-    name: sql
-    for area in (storage, layers, changes, gold, core, scripts, extended, lakehouse, reports, features)
-    for name, sql in area.ORACLE.items()
-}
+_AREAS = (storage, layers, changes, gold, core, scripts, extended, lakehouse, reports, features)
+
+ORACLES = {name: sql for area in _AREAS for name, sql in area.ORACLE.items()}
+
+ORACLES["run_named"] = ORACLES["top_customers"]
+ORACLES["run_all"] = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS name, count(*) AS n FROM (\n{sql}\n)" for name, sql in lakehouse.ORACLE.items()
+)

@@ -193,10 +193,18 @@ CLEANERS: dict[str, Callable[..., DataFrame]] = {
 
 
 def silver_process_all(
-    read: Callable[[str], DataFrame], processed_at: str | None = None
+    read: Callable[[str], DataFrame],
+    processed_at: str | None = None,
+    options: Mapping[str, dict] | None = None,
 ) -> dict[str, DataFrame]:
-    """All six tables, lazily; ``read`` opens a raw-layer table by name."""
-    return {name: clean(read(name), processed_at) for name, clean in CLEANERS.items()}
+    """All six tables, lazily; ``read`` opens a raw-layer table by name.
+
+    ``options`` holds a table's own maps or borders, by table name.
+    """
+    return {
+        name: clean(read(name), processed_at, **(options or {}).get(name, {}))
+        for name, clean in CLEANERS.items()
+    }
 
 
 def silver_generic(table: str, raw: DataFrame, processed_at: str | None = None) -> DataFrame:

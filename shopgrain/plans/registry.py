@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopgrain.functions.columns import present
-from shopgrain.operators import bronze, gold, silver
-from shopgrain.operators.gold import CustomerRules, Gold
-from shopgrain.plans import core, extended, features, lakehouse, reports, scripts, storage_queries
+from shopgrain.operators import bronze, silver
+from shopgrain.operators.gold import GOLD_TABLES, CustomerRules, Gold
+from shopgrain.plans import features, reports, storage_queries
+from shopgrain.plans.analyses import ANALYSES, LAKEHOUSE, run_all, run_named
+from shopgrain.plans.medallion import Medallion
 from shopgrain.plans.model_queries import ModelQueries
 from shopgrain.sources.defects import raw_tables
-from shopgrain.sources.retail import TABLES, Retail, from_star_schema
+from shopgrain.sources.retail import TABLES, from_star_schema
+from shopgrain.sources.scratch import shared_folder
 
 AS_OF = "2001-08-02"
 STAMP = "2001-08-02 06:00:00"
@@ -29,27 +34,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def _on_retail(build: Callable[..., DataFrame], *args) -> Query:
-    return lambda spark, folder: present(build(from_star_schema(spark, folder), *args))
-
-
-def _on_gold(build: Callable[..., DataFrame], *args) -> Query:
-    return lambda spark, folder: present(build(Gold(from_star_schema(spark, folder), AS_OF, RULES), *args))
-
-
-def _lists_as_text(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+def _lists_as_text(df: DataFrame) -> DataFrame:
     """Array columns joined to text, which every engine compares alike."""
-
-    def run(*args) -> DataFrame:
-        df = build(*args)
-        return df.select(
-            *[
-                F.array_join(n, ", ").alias(n) if kind == "array<string>" else F.col(n)
-                for n, kind in df.dtypes
-            ]
-        )
-
-    return run
+    return df.select(
+        *[
+            F.array_join(n, ", ").alias(n) if kind == "array<string>" else F.col(n)
+            for n, kind in df.dtypes
+        ]
+    )
 
 
 def _stamps_as_local(df: DataFrame) -> DataFrame:
@@ -110,129 +102,88 @@ QUERIES |= {
     ),
 }
 
-QUERIES |= {
-    "gold_daily_sales_summary": _on_gold(lambda g: g.daily_sales_summary),
-    "gold_customer_analytics": _on_gold(lambda g: g.customer_analytics),
-    "gold_product_performance": _on_gold(lambda g: g.product_performance),
-    "gold_store_performance": _on_gold(lambda g: g.store_performance),
-    "gold_monthly_time_series": _on_gold(lambda g: g.monthly_time_series),
-    "gold_monthly_revenue_by_category": _on_retail(gold.gold_monthly_revenue_by_category),
-    "gold_customer_ltv": _on_retail(gold.gold_customer_ltv),
-    "gold_product_perf_aws": _on_retail(gold.gold_product_perf),
-    "gold_store_perf_aws": _on_retail(gold.gold_store_perf),
-    "gold_employee_performance": _on_retail(gold.gold_employee_performance),
-}
 
-QUERIES |= {
-    "monthly_revenue": _on_gold(core.monthly_revenue),
-    "top_customers": _on_gold(core.top_customers),
-    "product_ranking": _on_gold(core.product_ranking),
-    "store_comparison": _on_gold(core.store_comparison),
-    "time_series_growth": _on_gold(core.time_series_growth),
-    "cohort_retention": _on_retail(core.cohort_retention),
-    "cross_sell_orders": _on_retail(_lists_as_text(core.cross_sell_orders)),
-    "rfm_analysis": _on_retail(core.rfm_analysis, AS_OF),
-    "moving_averages": _on_retail(core.moving_averages),
-    "yoy_comparison": _on_gold(core.yoy_comparison),
-    "pareto_analysis": _on_retail(core.pareto_analysis),
-}
 
-QUERIES |= {
-    "sales_dashboard_daily": _on_gold(scripts.sales_dashboard_daily, SINCE),
-    "top_products_gold": _on_gold(scripts.top_products_gold),
-    "segment_summary": _on_gold(scripts.segment_summary),
-    "store_matrix": _on_gold(scripts.store_matrix),
-    "mom_growth_year": _on_gold(scripts.mom_growth_year, YEAR),
-    "ltv_buckets": _on_gold(scripts.ltv_buckets, LTV_BORDERS),
-    "product_combinations": _on_retail(_lists_as_text(scripts.product_combinations)),
-    "seasonal_sales": _on_gold(scripts.seasonal_sales),
-    "inventory_turnover_class": _on_gold(scripts.inventory_turnover_class),
-    "yoy_from_daily": _on_retail(scripts.yoy_from_daily),
-    "cltv_prediction": _on_retail(scripts.cltv_prediction, AS_OF),
-    "product_season": _on_retail(scripts.product_season),
-    "inventory_days": _on_retail(scripts.inventory_days, AS_OF),
-    "purchase_pattern": _on_retail(scripts.purchase_pattern),
-    "store_comparison_ranked": _on_retail(scripts.store_comparison_ranked),
-}
+def _as_cells(wide: DataFrame) -> DataFrame:
+    """A pivot whose headings depend on the data, one row per cell."""
+    return wide.unpivot([wide.columns[0]], wide.columns[1:], "store_country", "revenue")
 
-QUERIES |= {
-    "cohort_matrix": _on_retail(extended.cohort_matrix),
-    "rfm_segmentation": _on_retail(extended.rfm_segmentation, AS_OF),
-    "rfm_segment_summary": _on_retail(extended.rfm_segment_summary, AS_OF),
-    "abc_products": _on_gold(extended.abc_products),
-    "abc_summary": _on_gold(extended.abc_summary),
-    "basket_categories": _on_retail(_lists_as_text(extended.basket_categories)),
-    "revenue_trend": _on_retail(extended.revenue_trend),
-    "ltv_distribution": _on_gold(extended.ltv_distribution),
-    "category_country": _on_gold(extended.category_country),
-    "discount_effectiveness": _on_retail(extended.discount_effectiveness),
-    "seasonality_dow": _on_gold(extended.seasonality_dow),
-    "seasonality_monthly": _on_gold(extended.seasonality_monthly),
-    "anomaly_detection": _on_gold(extended.anomaly_detection),
-    "employee_performance": _on_retail(extended.employee_performance),
-    "inventory_risk": _on_retail(extended.inventory_risk),
-}
 
-QUERIES |= {
-    "ath_sales_dashboard": _on_retail(lakehouse.sales_dashboard, AS_OF),
-    "ath_top_products": _on_retail(lakehouse.top_products),
-    "ath_customer_segmentation": _on_retail(lakehouse.customer_segmentation, TIERS),
-    "ath_store_performance": _on_retail(lakehouse.store_performance),
-    "ath_mom_growth": _on_retail(lakehouse.mom_growth),
-    "ath_ltv_distribution": _on_retail(lakehouse.ltv_distribution),
-    "ath_rfm": _on_retail(lakehouse.rfm, AS_OF),
-    "ath_cohort_retention": _on_retail(lakehouse.cohort_retention),
-    "ath_abc_products": _on_retail(lakehouse.abc_products),
-    "ath_inventory_risk": _on_retail(lakehouse.inventory_risk, AS_OF),
-    "ath_yoy": _on_retail(lakehouse.yoy),
-    "ath_discount": _on_retail(lakehouse.discount),
-    "ath_employee": _on_retail(lakehouse.employee),
-    "ath_cross_sell_pairs": _on_retail(lakehouse.cross_sell_pairs),
-    "ath_anomaly": _on_retail(lakehouse.anomaly),
-    "ath_seasonality": _on_retail(lakehouse.seasonality),
+CATEGORIES = (*sorted(PART_TYPES), "STANDARD")
+ARGUMENTS = {
+    "sales_dashboard_daily": (SINCE,),
+    "mom_growth_year": (YEAR,),
+    "ltv_buckets": (LTV_BORDERS,),
+    "ath_customer_segmentation": (TIERS,),
+    "pivot_revenue_month_category": (CATEGORIES,),
 }
 
+
+def _gold(spark: SparkSession, folder: str) -> Gold:
+    return Gold(from_star_schema(spark, folder), AS_OF, RULES)
+
+
+def _analysis(name: str) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        result = run_named(name, _gold(spark, folder), *ARGUMENTS.get(name, ()))
+        return present(_lists_as_text(_as_cells(result) if name == "pivot_country" else result))
+
+    return run
+
+
+QUERIES |= {name: _analysis(name) for name in ANALYSES}
+
 QUERIES |= {
     name: storage_queries.on_folder(build) for name, build in storage_queries.QUERIES.items()
 }
 
 
-def _as_cells(wide: DataFrame) -> DataFrame:
-    """A pivot whose headings depend on the data, one row per cell."""
-    headings = wide.columns[1:]
-    return wide.unpivot([wide.columns[0]], headings, "store_country", "revenue")
+def _run_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The lakehouse analyses, each executed: its name and how many rows it gave."""
+    results, _failed = run_all(_gold(spark, folder), LAKEHOUSE)
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+        for name, df in results.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
-CATEGORIES = (*sorted(PART_TYPES), "STANDARD")
+def _run_layers(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw, cleaned and gold tables written from sources with defects; rows per table."""
+    raw = raw_tables(from_star_schema(spark, folder))
+    root = f"{shared_folder(spark)}/queries/layers-{uuid.uuid4().hex}"
+    lake = Medallion(
+        spark, root, raw.__getitem__, AS_OF, cleaning={"products": {"categories": PART_TYPES}}
+    )
+    for step in ("bronze", "silver", "gold"):
+        lake.run(step)
+    names = [(layer, t) for layer in ("bronze", "silver") for t in TABLES]
+    names += [("gold", t) for t in GOLD_TABLES]
+    counts = [
+        lake.table(layer, t)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(layer).alias("layer"), F.lit(t).alias("table_name"), "n")
+        for layer, t in names
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
-QUERIES |= {
-    "pivot_revenue_month_category": _on_gold(reports.pivot_revenue_month_category, CATEGORIES),
-    "pivot_cohort": _on_retail(reports.pivot_cohort),
-    "pivot_country": _on_gold(lambda g: _as_cells(reports.pivot_country(g))),
-    "pivot_year_month": _on_gold(reports.pivot_year_month),
-    "customer_segment_summary": _on_gold(reports.customer_segment_summary),
-    "churn_counts": _on_gold(reports.churn_counts),
-    "rfm_summary": _on_retail(reports.rfm_summary, AS_OF),
-    "rfm_ext_summary": _on_retail(reports.rfm_ext_summary, AS_OF),
-    "ltv_percentiles_exact": _on_gold(reports.ltv_percentiles_exact),
-    "ltv_histogram": _on_gold(reports.ltv_histogram),
-    "abc_rollup": _on_gold(reports.abc_rollup),
-    "basket_combo_labels": _on_retail(reports.basket_combo_labels),
-    "basket_size_histogram": _on_retail(reports.basket_size_histogram),
-    "daily_category_revenue": _on_gold(reports.daily_category_revenue),
-    "department_summary": _on_retail(reports.department_summary),
-    "inventory_status_counts": _on_retail(reports.inventory_status_counts),
-    "stockout_top10": _on_retail(reports.stockout_top10),
-    "executive_kpis": _on_gold(reports.executive_kpis),
-    "parse_money": _on_gold(reports.parsed_money),
-    "sample_rows": _on_retail(
-        lambda t: reports.sample_rows(core.rfm_analysis(t, AS_OF), "customer_id")
-    ),
-}
 
 QUERIES |= {
-    "customer_features": _on_retail(features.customer_features, AS_OF, CATEGORIES),
-    "product_features": _on_retail(features.product_features, CATEGORIES),
-    "store_features": _on_gold(features.store_features),
-    **{n: storage_queries.on_folder(build) for n, build in ModelQueries(AS_OF, CATEGORIES).named().items()},
+    "sample_rows": lambda spark, folder: present(
+        reports.sample_rows(run_named("rfm_analysis", _gold(spark, folder)), "customer_id")
+    ),
+    "customer_features": lambda spark, folder: present(
+        features.customer_features(from_star_schema(spark, folder), AS_OF, CATEGORIES)
+    ),
+    "product_features": lambda spark, folder: present(
+        features.product_features(from_star_schema(spark, folder), CATEGORIES)
+    ),
+    "store_features": lambda spark, folder: present(features.store_features(_gold(spark, folder))),
+    **{
+        name: storage_queries.on_folder(build)
+        for name, build in ModelQueries(AS_OF, CATEGORIES).named().items()
+    },
+    "run_named": _analysis("top_customers"),
+    "run_all": _run_all,
+    "run_layers": _run_layers,
 }
