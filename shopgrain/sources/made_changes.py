@@ -17,8 +17,12 @@ NEW_ORDERS = 1_000_000_000_000
 START_MS = 996_624_000_000  # 2001-08-01
 DAY_MS = 86_400_000
 
-ROW = T.StructType.fromDDL(
-    "order_id bigint, customer_id bigint, order_date date, status string"
+ROW = (
+    T.StructType()
+    .add("order_id", "long")
+    .add("customer_id", "long")
+    .add("order_date", "date")
+    .add("status", "string")
 )
 
 
