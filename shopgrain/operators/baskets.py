@@ -33,11 +33,18 @@ def _repeated(entries: Column, field: str) -> Column:
     )
 
 
-def basket_lists(per_product: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Aligned product and category lists, sorted by name, of the few ``chosen`` orders."""
-    picked = per_product.join(F.broadcast(chosen.select("order_id")), "order_id")
+def basket_lists(t: Retail, chosen: DataFrame) -> DataFrame:
+    """Aligned product and category lists, sorted by name, of the few ``chosen`` orders.
+
+    ``chosen`` is a report's limited rows: the sales are filtered against it where
+    they are scanned.
+    """
     entries = (
-        picked.groupBy("order_id", "product_name", "category")
+        t.sales.join(F.broadcast(chosen.select("order_id")), "order_id", "left_semi")
+        .groupBy("order_id", "product_id")
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .join(t.products.select("product_id", "product_name", "category"), "product_id")
+        .groupBy("order_id", "product_name", "category")
         .agg(F.sum("copies").alias("copies"))
         .groupBy("order_id")
         .agg(F.sort_array(F.collect_list(F.struct("product_name", "category", "copies"))).alias("e"))

@@ -166,25 +166,31 @@ def scd2_merge(
     dimension: DataFrame, snapshot: DataFrame, key: str, tracked: Sequence[str], as_of: str
 ) -> DataFrame:
     """A dimension after today's snapshot: changed rows are closed, new versions opened."""
-    today = F.lit(as_of).cast("date")
+    today, names = F.lit(as_of).cast("date"), dimension.columns
     state = F.struct(*tracked)
-    fresh = snapshot.select(F.col(key), state.alias("__new"))
-    open_rows, closed = dimension.where("is_current"), dimension.where("NOT is_current")
-    compared = open_rows.withColumn("__old", state).join(fresh, key, "full_outer")
-    same = F.col("__new").isNull() | F.col("__old").eqNullSafe(F.col("__new"))
-    was_open = F.col("effective_from").isNotNull()
-    stays = compared.where(was_open & same).select(*dimension.columns)
-    ends = (
-        compared.where(was_open & ~same)
-        .withColumn("effective_to", today)
-        .withColumn("is_current", F.lit(False))
-        .select(*dimension.columns)
+    # Only open versions meet the snapshot; one join then gives each key's rows.
+    fresh = snapshot.select(F.col(key).alias("__key"), state.alias("__new"))
+    compared = dimension.withColumn("__old", state).join(
+        fresh, F.col("is_current") & (F.col(key) == F.col("__key")), "full_outer"
     )
-    opens = compared.where(F.col("__new").isNotNull() & (~was_open | ~same)).select(
-        key,
-        today.alias("effective_from"),
-        *[F.col(f"__new.{c}").alias(c) for c in tracked],
-        F.lit(None).cast("date").alias("effective_to"),
-        F.lit(True).alias("is_current"),
+    known, met = F.col("is_current").isNotNull(), F.col("__new").isNotNull()
+    changed = met & ~F.col("__old").eqNullSafe(F.col("__new"))
+
+    def version(values: dict[str, Column]) -> Column:
+        return F.struct(*[values.get(c, F.col(c)).alias(c) for c in names])
+
+    kept = version({})
+    ended = version({"effective_to": today, "is_current": F.lit(False)})
+    opened = version(
+        {
+            key: F.col("__key"),
+            "effective_from": today,
+            "effective_to": F.lit(None).cast(dimension.schema["effective_to"].dataType),
+            "is_current": F.lit(True),
+            **{c: F.col(f"__new.{c}") for c in tracked},
+        }
     )
-    return closed.unionByName(stays).unionByName(ends).unionByName(opens.select(*dimension.columns))
+    rows = F.array(
+        F.when(known, F.when(changed, ended).otherwise(kept)), F.when(met & (changed | ~known), opened)
+    )
+    return compared.select(F.explode(F.array_compact(rows)).alias("row")).select("row.*")

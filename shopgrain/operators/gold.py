@@ -43,8 +43,11 @@ class CustomerRules:
     churn_medium_days: int = 90
 
 
-def daily_sales_summary(t: Retail) -> DataFrame:
-    """Day x category x store."""
+DAY_KEYS = ("order_date", "category", "store_name", "store_city", "store_country")
+
+
+def _day_rows(t: Retail) -> DataFrame:
+    """One row per order and category, with the day and store it belongs to."""
     stores = t.stores.select(
         "store_id",
         "store_name",
@@ -52,16 +55,11 @@ def daily_sales_summary(t: Retail) -> DataFrame:
         F.col("country").alias("store_country"),
     )
     orders = t.orders.select("order_id", "customer_id", "store_id", "order_date")
-    per_order = order_category_sums(t).join(orders, "order_id").join(stores, "store_id")
-    keys = ["order_date", "category", "store_name", "store_city", "store_country"]
-    # Customers are made distinct by grouping, in the same pass as the sums.
-    per_customer = per_order.groupBy(*keys, "customer_id").agg(
-        *sums_again(), F.count(F.lit(1)).alias("orders")
-    )
-    per_store = per_customer.groupBy(*keys).agg(
-        *sums_again(), F.sum("orders").alias("orders"), F.count("customer_id").alias("customers")
-    )
-    return per_store.select(
+    return order_category_sums(t).join(orders, "order_id").join(stores, "store_id")
+
+
+def _day_columns(sums: DataFrame, *more: Column) -> DataFrame:
+    return sums.select(
         F.col("order_date").alias("sale_date"),
         "category",
         "store_name",
@@ -72,7 +70,7 @@ def daily_sales_summary(t: Retail) -> DataFrame:
         F.col("profit").alias("total_profit"),
         F.round(F.col("unit_prices") / F.col("lines"), 6).alias("avg_unit_price"),
         F.col("orders").alias("order_count"),
-        F.col("customers").alias("unique_customers"),
+        *more,
         quotient("discounts", "lines", 6).alias("avg_discount"),
         percent("profit", "revenue").alias("profit_margin"),
         F.year("order_date").alias("year"),
@@ -83,6 +81,24 @@ def daily_sales_summary(t: Retail) -> DataFrame:
     )
 
 
+def daily_measures(t: Retail) -> DataFrame:
+    """Day x category x store, without the count of customers and the shuffle it takes."""
+    sums = _day_rows(t).groupBy(*DAY_KEYS).agg(*sums_again(), F.count(F.lit(1)).alias("orders"))
+    return _day_columns(sums)
+
+
+def daily_sales_summary(t: Retail) -> DataFrame:
+    """Day x category x store."""
+    # Customers are made distinct by grouping, in the same pass as the sums.
+    per_customer = _day_rows(t).groupBy(*DAY_KEYS, "customer_id").agg(
+        *sums_again(), F.count(F.lit(1)).alias("orders")
+    )
+    sums = per_customer.groupBy(*DAY_KEYS).agg(
+        *sums_again(), F.sum("orders").alias("orders"), F.count("customer_id").alias("customers")
+    )
+    return _day_columns(sums, F.col("customers").alias("unique_customers"))
+
+
 def customer_analytics(t: Retail, as_of: str, rules: CustomerRules = CustomerRules()) -> DataFrame:
     """Customers with at least one sale."""
     today = as_of_date(as_of)
@@ -144,18 +160,19 @@ def product_measures(t: Retail) -> DataFrame:
         # The margin of the sales replaces the catalogue margin.
         percent("profit", "revenue").alias("profit_margin"),
     )
-    return t.products.drop("profit_margin").join(sums, "product_id")
+    turnover = F.col("stock").cast("double") / F.nullif(F.col("total_units_sold"), F.lit(0)) * YEAR_DAYS
+    sold = t.products.drop("profit_margin").join(sums, "product_id")
+    return sold.withColumn("inventory_turnover_days", turnover)
 
 
 def product_performance(t: Retail) -> DataFrame:
     """The measures with ranks by revenue and by profit."""
-    turnover = F.col("stock").cast("double") / F.nullif(F.col("total_units_sold"), F.lit(0)) * YEAR_DAYS
     ranked = (
         GlobalOrder(product_measures(t))
         .rank("total_revenue", "revenue_rank", "product_id")
         .rank("total_profit", "profit_rank", "product_id")
     )
-    return ranked.df.withColumn("inventory_turnover_days", turnover).withColumn(
+    return ranked.df.withColumn(
         "performance_score", (F.col("revenue_rank") + F.col("profit_rank")) / 2.0
     )
 
@@ -218,6 +235,11 @@ class Gold:
     def daily_sales_summary(self) -> DataFrame:
         return daily_sales_summary(self.retail)
 
+    @cached_property
+    def daily_measures(self) -> DataFrame:
+        """The daily table for those who do not need its count of customers."""
+        return daily_measures(self.retail)
+
     @cached_property
     def customer_analytics(self) -> DataFrame:
         return customer_analytics(self.retail, self.as_of, self.rules)
@@ -236,7 +258,7 @@ class Gold:
 
     @cached_property
     def monthly_time_series(self) -> DataFrame:
-        return monthly_time_series(self.daily_sales_summary)
+        return monthly_time_series(self.daily_measures)
 
 
 GOLD_TABLES = (

@@ -11,13 +11,14 @@ from shopgrain.operators.global_order import GlobalOrder
 from shopgrain.operators.gold import Gold
 from shopgrain.operators.rollups import orders_with_sums
 from shopgrain.sources.retail import Retail
+from shopgrain.sources.scratch import settle
 
 _MONTH = ["year", "month", "category"]
 
 
 def monthly_revenue(g: Gold) -> DataFrame:
     return (
-        g.daily_sales_summary.groupBy(*_MONTH)
+        g.daily_measures.groupBy(*_MONTH)
         .agg(
             F.sum("total_revenue").alias("monthly_revenue"),
             F.sum("units_sold").alias("total_units"),
@@ -126,15 +127,10 @@ def cohort_retention(t: Retail) -> DataFrame:
 
 def cross_sell_orders(t: Retail, n: int = 20) -> DataFrame:
     """The largest orders of two or more products, with what they hold."""
-    per_product = order_products(t)
-    top = (
-        order_sizes(per_product)
-        .where(F.col("different") >= 2)
-        .orderBy(F.desc("product_count"), "order_id")
-        .limit(n)
-    )
+    sizes = order_sizes(order_products(t)).where(F.col("different") >= 2)
+    top = settle(sizes.orderBy(F.desc("product_count"), "order_id").limit(n), "top")
     return (
-        basket_lists(per_product, top)
+        basket_lists(t, top)
         .select(
             "order_id",
             F.col("products").alias("products_list"),

@@ -212,7 +212,7 @@ def ltv_distribution(g: Gold) -> DataFrame:
 
 def category_country(g: Gold) -> DataFrame:
     return (
-        g.daily_sales_summary.groupBy("category", "store_country")
+        g.daily_measures.groupBy("category", "store_country")
         .agg(
             F.sum("total_revenue").alias("revenue"),
             F.sum("units_sold").alias("units"),
@@ -247,7 +247,7 @@ def discount_effectiveness(t: Retail) -> DataFrame:
 def seasonality_dow(g: Gold) -> DataFrame:
     days = F.array(*[F.lit(d) for d in WEEKDAYS])
     return (
-        g.daily_sales_summary.groupBy("weekday")
+        g.daily_measures.groupBy("weekday")
         .agg(
             F.count(F.lit(1)).alias("data_points"),
             mean("total_revenue", 2).alias("avg_daily_revenue"),
@@ -270,9 +270,12 @@ def anomaly_detection(g: Gold, limit: float = 2.5) -> DataFrame:
     """Store-days whose revenue lies far from their category's mean."""
     # Read twice, so computed once. The statistics are an aggregate joined back:
     # a window per category would hold a whole category in one task.
-    daily = settle(g.daily_sales_summary.select("sale_date", "category", "total_revenue"), "daily")
+    daily = settle(g.daily_measures.select("sale_date", "category", "total_revenue"), "daily")
     value = F.col("total_revenue").cast("double")
     stats = daily.groupBy("category").agg(F.avg(value).alias("mu"), F.stddev(value).alias("sigma"))
+    # Settled too: with its true size known, it is broadcast unless categories are too many,
+    # and the days of a large category are not moved to one task.
+    stats = settle(stats, "stats")
     z = F.round((value - F.col("mu")) / F.nullif(F.col("sigma"), F.lit(0.0)), 3)
     return (
         daily.join(stats, "category")

@@ -42,6 +42,10 @@ class StoredGold(Gold):
     def product_performance(self) -> DataFrame:
         return self._stored("product_performance")
 
+    @property
+    def daily_measures(self) -> DataFrame:
+        return self.daily_sales_summary
+
     @property
     def product_measures(self) -> DataFrame:
         return self.product_performance
@@ -107,7 +111,7 @@ class Medallion:
         for name in GOLD_TABLES:
             if name == "monthly_time_series":
                 # From the daily table just written, not from the sales again.
-                derived.__dict__["daily_sales_summary"] = self.table("gold", "daily_sales_summary")
+                derived.__dict__["daily_measures"] = self.table("gold", "daily_sales_summary")
             write_layer(getattr(derived, name), self.root, "gold", name)
 
     def analytics(self, csv_folder: str | None = None) -> tuple[dict[str, DataFrame], dict[str, str]]:

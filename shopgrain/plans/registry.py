@@ -16,7 +16,7 @@ from shopgrain.plans import features, reports, storage_queries
 from shopgrain.plans.analyses import ANALYSES, LAKEHOUSE, run_all, run_named
 from shopgrain.plans.medallion import Medallion
 from shopgrain.plans.model_queries import ModelQueries
-from shopgrain.sources.defects import raw_tables
+from shopgrain.sources.defects import raw_table
 from shopgrain.sources.retail import TABLES, from_star_schema
 from shopgrain.sources.scratch import shared_folder
 
@@ -56,7 +56,7 @@ def _stamps_as_local(df: DataFrame) -> DataFrame:
 
 def _on_raw(table: str, build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: _stamps_as_local(
-        present(build(raw_tables(from_star_schema(spark, folder))[table]))
+        present(build(raw_table(from_star_schema(spark, folder), table)))
     )
 
 
@@ -150,10 +150,14 @@ def _run_all(spark: SparkSession, folder: str) -> DataFrame:
 
 def _run_layers(spark: SparkSession, folder: str) -> DataFrame:
     """Raw, cleaned and gold tables written from sources with defects; rows per table."""
-    raw = raw_tables(from_star_schema(spark, folder))
+    source = from_star_schema(spark, folder)
     root = f"{shared_folder(spark)}/queries/layers-{uuid.uuid4().hex}"
     lake = Medallion(
-        spark, root, raw.__getitem__, AS_OF, cleaning={"products": {"categories": PART_TYPES}}
+        spark,
+        root,
+        lambda name: raw_table(source, name),
+        AS_OF,
+        cleaning={"products": {"categories": PART_TYPES}},
     )
     for step in ("bronze", "silver", "gold"):
         lake.run(step)

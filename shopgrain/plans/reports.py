@@ -164,7 +164,7 @@ def basket_size_histogram(t: Retail) -> DataFrame:
 
 def daily_category_revenue(g: Gold) -> DataFrame:
     return (
-        g.daily_sales_summary.groupBy("sale_date", "category")
+        g.daily_measures.groupBy("sale_date", "category")
         .agg(F.sum("total_revenue").alias("revenue"))
         .orderBy("sale_date", "category")
     )

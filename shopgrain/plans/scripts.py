@@ -24,6 +24,7 @@ from shopgrain.operators.rollups import (
 )
 from shopgrain.plans.core import against_year_before, time_series_growth
 from shopgrain.sources.retail import Retail
+from shopgrain.sources.scratch import settle
 
 
 def sales_dashboard_daily(g: Gold, since: str) -> DataFrame:
@@ -124,17 +125,17 @@ def ltv_buckets(g: Gold, borders: tuple[int, ...] = (1000, 5000, 10000, 50000))
 
 def product_combinations(t: Retail, n: int = 20) -> DataFrame:
     """The baskets that occur most often, each shown by its first order."""
-    per_product = order_products(t)
     top = (
-        basket_marks(per_product)
+        basket_marks(order_products(t))
         .where(F.col("lines") > 1)
         .groupBy("mark_a", "mark_b", "lines")
         .agg(F.count(F.lit(1)).alias("order_count"), F.min("order_id").alias("order_id"))
         .orderBy(F.desc("order_count"), "order_id")
         .limit(n)
     )
+    top = settle(top, "top")
     return (
-        basket_lists(per_product, top)
+        basket_lists(t, top)
         .join(F.broadcast(top.select("order_id", "order_count")), "order_id")
         .orderBy(F.desc("order_count"), "order_id")
         .select("products", "categories", "order_count")
@@ -143,7 +144,7 @@ def product_combinations(t: Retail, n: int = 20) -> DataFrame:
 
 def seasonal_sales(g: Gold) -> DataFrame:
     return (
-        g.daily_sales_summary.groupBy(season("month").alias("season"), "category")
+        g.daily_measures.groupBy(season("month").alias("season"), "category")
         .agg(
             F.sum("total_revenue").alias("seasonal_revenue"),
             mean("total_revenue", 6).alias("avg_daily_revenue"),
@@ -156,7 +157,7 @@ def seasonal_sales(g: Gold) -> DataFrame:
 def inventory_turnover_class(g: Gold) -> DataFrame:
     days = F.col("inventory_turnover_days")
     return (
-        g.product_performance.where(days.isNotNull())
+        g.product_measures.where(days.isNotNull())
         .select(
             "product_name",
             "category",

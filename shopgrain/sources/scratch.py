@@ -32,6 +32,18 @@ def settle(df: DataFrame, name: str = "t") -> DataFrame:
     The result survives the loss of executors, has exact size statistics, and
     is the same however often it is read.
     """
-    path = f"{shared_folder(df.sparkSession)}/settled/{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/settled/{spark.sparkContext.applicationId}"
+
+
+def discard_settled(spark: SparkSession) -> None:
+    """Delete what this application settled. Results built on it can no longer be read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(conf).delete(folder, True)

@@ -94,6 +94,7 @@ def test_settled_tables_lie_in_the_named_folder(spark):
     assert scratch.shared_folder(spark) == named
     settled = scratch.settle(spark.range(5))
     assert f"{named}/settled/" in settled.inputFiles()[0]
+    assert spark.sparkContext.applicationId in settled.inputFiles()[0]
 
 
 def test_union_of_batches(spark):
