@@ -155,3 +155,51 @@ FROM bronze"""),
     "silver_generic": _on("ord", f"""
 SELECT * , {_LAKE}, {STAMP} AS __silver_processed_at, 'silver' AS __layer FROM raw"""),
 }
+
+
+# -- rows per layer table ----------------------------------------------------
+
+_NAMES = ("customers", "products", "employees", "stores", "ord", "sales")
+_EACH = ",\n".join(
+    f"b_{n} AS (WITH {_RAW[n].strip()} SELECT * FROM bronze)" for n in _NAMES
+) + """,
+s_customers AS (
+  SELECT * FROM b_customers QUALIFY row_number() OVER (PARTITION BY lower(trim(email)) ORDER BY customer_id) = 1
+),
+lines AS (
+  SELECT o.order_date, o.customer_id, st.store_id, p.product_id, p.category
+  FROM b_sales s JOIN b_ord o ON s.order_id = o.order_id
+       LEFT JOIN b_products p ON s.product_id = p.product_id LEFT JOIN b_stores st ON o.store_id = st.store_id
+)"""
+
+
+def _rows(layer: str, table: str, counted: str) -> str:
+    return f"SELECT '{layer}' AS layer, '{table}' AS table_name, count(*) AS n FROM {counted}"
+
+
+_DAYS = "(SELECT DISTINCT {0}, category {1} FROM lines WHERE store_id IS NOT NULL AND product_id IS NOT NULL)"
+_BRONZE = [_rows("bronze", "orders" if n == "ord" else n, f"b_{n}") for n in _NAMES]
+_SILVER = [
+    _rows("silver", "orders" if n == "ord" else n, "s_customers" if n == "customers" else f"b_{n}")
+    for n in _NAMES
+]
+_GOLD = [
+    _rows("gold", "daily_sales_summary", _DAYS.format("order_date", ", store_id")),
+    _rows("gold", "monthly_time_series", _DAYS.format("year(order_date), month(order_date)", "")),
+    _rows("gold", "customer_analytics",
+          "(SELECT DISTINCT l.customer_id FROM lines l JOIN s_customers c ON l.customer_id = c.customer_id)"),
+    _rows("gold", "product_performance",
+          "(SELECT DISTINCT s.product_id FROM b_sales s JOIN b_products p ON s.product_id = p.product_id)"),
+    _rows("gold", "store_performance", "(SELECT DISTINCT store_id FROM lines WHERE store_id IS NOT NULL)"),
+]
+
+
+def _counts(parts: list[str]) -> str:
+    return with_tables(f"WITH {_EACH}\n" + "\nUNION ALL ".join(parts), *_NAMES)
+
+
+ORACLE |= {
+    "bronze_ingest_all": _counts(_BRONZE),
+    "silver_process_all": _counts(_SILVER),
+    "run_layers": _counts(_BRONZE + _SILVER + _GOLD),
+}

@@ -161,17 +161,41 @@ def _run_layers(spark: SparkSession, folder: str) -> DataFrame:
     )
     for step in ("bronze", "silver", "gold"):
         lake.run(step)
-    names = [(layer, t) for layer in ("bronze", "silver") for t in TABLES]
-    names += [("gold", t) for t in GOLD_TABLES]
+    return _rows_per_table(
+        {
+            (layer, t): lake.table(layer, t)
+            for layer, tables in (("bronze", TABLES), ("silver", TABLES), ("gold", GOLD_TABLES))
+            for t in tables
+        }
+    )
+
+
+def _rows_per_table(tables: dict[tuple[str, str], DataFrame]) -> DataFrame:
     counts = [
-        lake.table(layer, t)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.lit(layer).alias("layer"), F.lit(t).alias("table_name"), "n")
-        for layer, t in names
+        df.agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "n"
+        )
+        for (layer, name), df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)
 
 
+def _bronze_all(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    source = from_star_schema(spark, folder)
+    return bronze.bronze_ingest_all(lambda name: raw_table(source, name), STAMP)
+
+
+def _ingest_all(spark: SparkSession, folder: str) -> DataFrame:
+    return _rows_per_table({("bronze", n): df for n, df in _bronze_all(spark, folder).items()})
+
+
+def _process_all(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = silver.silver_process_all(
+        _bronze_all(spark, folder).__getitem__, STAMP, {"products": {"categories": PART_TYPES}}
+    )
+    return _rows_per_table({("silver", n): df for n, df in cleaned.items()})
+
+
 QUERIES |= {
     "sample_rows": lambda spark, folder: present(
         reports.sample_rows(run_named("rfm_analysis", _gold(spark, folder)), "customer_id")
@@ -190,4 +214,6 @@ QUERIES |= {
     "run_named": _analysis("top_customers"),
     "run_all": _run_all,
     "run_layers": _run_layers,
+    "bronze_ingest_all": _ingest_all,
+    "silver_process_all": _process_all,
 }
