@@ -113,19 +113,57 @@ def _pairs_within(entries: DataFrame) -> DataFrame:
     )
 
 
+def _pairs_within_wide(entries: DataFrame) -> DataFrame:
+    """The same for wide orders, each order's pairs made by many tasks."""
+    tasks = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a = _side(entries, "a").withColumn("salt", F.pmod(F.xxhash64("product_id_a"), F.lit(tasks)).cast("int"))
+    b = _side(entries, "b").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
+    return _pair_counts(
+        a.join(b, ["order_id", "salt"]).where(F.col("product_id_a") < F.col("product_id_b"))
+    )
+
+
+def _possible_gains(broad: DataFrame) -> DataFrame:
+    """The most that wide orders can add to any pair with an item: item, gain.
+
+    With c(o, i) copies of item i in order o, a pair gains at most the sum over o of
+    c(o, a) * c(o, b). Two bounds follow, and the lower one is taken: c(o, b) is at
+    most the order's largest count; and the sum is at most the product of the items'
+    norms (Cauchy-Schwarz), of which the largest norm bounds the partner's.
+    """
+    held = broad.groupBy("order_id", "item").agg(F.sum("copies").alias("copies"))
+    most = held.groupBy("order_id").agg(F.max("copies").alias("most"))
+    bounds = settle(
+        held.join(most, "order_id")
+        .groupBy("item")
+        .agg(
+            F.sum(F.col("copies") * F.col("most")).cast("double").alias("by_order"),
+            F.sqrt(F.sum(F.col("copies").cast("double") * F.col("copies"))).alias("norm"),
+        ),
+        "bounds",
+    )
+    largest = bounds.agg(F.max("norm")).first()[0]
+    # A little is added so that rounding never makes a bound too low.
+    by_norm = F.col("norm") * F.lit(largest) * F.lit(1 + 1e-9) + 1
+    return bounds.select("item", F.least(F.col("by_order"), by_norm).alias("gain"))
+
+
+CHIEFS = 64
+
+
 def top_pairs(t: Retail, n: int = 30, wide: int = WIDE_ORDER) -> DataFrame:
     """The ``n`` item pairs that most line pairs of one order hold: item_a, item_b, n.
 
-    Orders of up to ``wide`` products are paired directly. Wider ones are never
-    paired as a whole; with ``least`` the n-th count so far, a pair still matters if
+    Orders of up to ``wide`` products are paired directly. Wider ones are paired only
+    as far as a pair can still be among the best. ``least`` is what the n-th pair is
+    known to reach, from the direct counts and from the full counts of the items with
+    the highest possible gain. A pair then matters if
 
-    * it was counted already and could reach ``least`` with what wide orders can
-      add at most: its share of the wide orders is looked up, or
-    * it was not counted yet: then both items must be able to reach ``least``
-      within the wide orders alone.
+    * both its items could reach ``least`` within wide orders: those are paired, or
+    * it was counted directly and could reach ``least`` with what wide orders add at
+      most: its share of the wide orders is looked up.
 
-    An item can gain at most its copies times the most copies of any item, summed
-    over the wide orders that hold it. Both rules are bounds, so the result is exact.
+    Both rules are bounds, so the result is exact.
     """
     entries = settle(_item_entries(t), "entries")
     counted = _pairs_within(entries.where(F.col("different") <= wide))
@@ -135,42 +173,36 @@ def top_pairs(t: Retail, n: int = 30, wide: int = WIDE_ORDER) -> DataFrame:
         return counted.orderBy(*best).limit(n)
 
     counted = settle(counted, "pairs")
-    leaders = counted.orderBy(*best).limit(n).collect()  # at most n rows
-    least = min(r["n"] for r in leaders) if len(leaders) == n else 0
-
-    held = broad.groupBy("order_id", "item").agg(F.sum("copies").alias("copies"))
-    most = held.groupBy("order_id").agg(F.max("copies").alias("most"))
-    gain = settle(
-        held.join(most, "order_id")
-        .groupBy("item")
-        .agg(F.sum(F.col("copies") * F.col("most")).alias("gain")),
-        "gain",
-    )
+    gain = _possible_gains(broad)
+    chiefs = settle(gain.orderBy(F.desc("gain"), "item").limit(CHIEFS).select("item"), "chiefs")
+    among_chiefs = _pairs_within_wide(broad.join(F.broadcast(chiefs), "item", "left_semi"))
+    sure = counted.unionByName(among_chiefs).groupBy("item_a", "item_b").agg(F.sum("n").alias("n"))
+    leaders = sure.orderBy(F.desc("n")).select("n").take(n)  # at most n numbers
+    least = leaders[-1]["n"] if len(leaders) == n else 0
 
     def gains(side: str) -> DataFrame:
         return gain.select(F.col("item").alias(f"item_{side}"), F.col("gain").alias(f"gain_{side}"))
 
-    could_add = F.least(
-        F.coalesce("gain_a", F.lit(0).cast("bigint")), F.coalesce("gain_b", F.lit(0).cast("bigint"))
-    )
+    gain_a, gain_b = (F.coalesce(c, F.lit(0.0)) for c in ("gain_a", "gain_b"))
+    enough = max(least, 1)
     known = settle(
         counted.join(gains("a"), "item_a", "left")
         .join(gains("b"), "item_b", "left")
-        .where(F.col("n") + could_add >= least)
-        .select("item_a", "item_b", "n"),
+        .where(F.col("n") + F.least(gain_a, gain_b) >= least)
+        .select("item_a", "item_b", "n", ((gain_a >= enough) & (gain_b >= enough)).alias("both_live")),
         "known",
     )
     looked_up = _pair_counts(
-        known.select("item_a", "item_b")
+        known.where(~F.col("both_live"))
+        .select("item_a", "item_b")
         .join(_side(broad, "a"), "item_a")
         .join(_side(broad, "b"), ["order_id", "item_b"])
         .where(F.col("product_id_a") < F.col("product_id_b"))
     )
-    known_total = (
-        known.unionByName(looked_up).groupBy("item_a", "item_b").agg(F.sum("n").alias("n"))
-    )
-    live = gain.where(F.col("gain") >= max(least, 1)).select("item")
-    fresh = _pairs_within(broad.join(live, "item", "left_semi")).join(
-        counted, ["item_a", "item_b"], "left_anti"
+    live = gain.where(F.col("gain") >= enough).select("item")
+    among_live = _pairs_within_wide(broad.join(live, "item", "left_semi"))
+    # Pairs counted directly but not known here stay below `least`, with or without that part.
+    parts = known.drop("both_live").unionByName(looked_up).unionByName(among_live)
+    return (
+        parts.groupBy("item_a", "item_b").agg(F.sum("n").alias("n")).orderBy(*best).limit(n)
     )
-    return known_total.unionByName(fresh).orderBy(*best).limit(n)
