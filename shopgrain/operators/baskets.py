@@ -6,6 +6,8 @@ only for the orders (or baskets) that a report shows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,9 +95,10 @@ def _item_entries(t: Retail) -> DataFrame:
     return entries.join(sizes.where(F.col("different") > 1), "order_id")
 
 
-def _side(entries: DataFrame, side: str) -> DataFrame:
+def _side(entries: DataFrame, side: str, *more: str) -> DataFrame:
     return entries.select(
         "order_id",
+        *more,
         *[F.col(c).alias(f"{c}_{side}") for c in ("product_id", "item", "copies")],
     )
 
@@ -114,13 +117,22 @@ def _pairs_within(entries: DataFrame) -> DataFrame:
 
 
 def _pairs_within_wide(entries: DataFrame) -> DataFrame:
-    """The same for wide orders, each order's pairs made by many tasks."""
+    """The same for wide orders, each order's pairs made by many tasks.
+
+    The products of an order are cut into ``cut`` parts on either side, and each pair
+    of parts is a join key of its own; a row is copied ``cut`` times.
+    """
     tasks = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    a = _side(entries, "a").withColumn("salt", F.pmod(F.xxhash64("product_id_a"), F.lit(tasks)).cast("int"))
-    b = _side(entries, "b").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
-    return _pair_counts(
-        a.join(b, ["order_id", "salt"]).where(F.col("product_id_a") < F.col("product_id_b"))
-    )
+    cut = math.ceil(math.sqrt(4 * tasks))
+    part = F.pmod(F.xxhash64("product_id"), F.lit(cut)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(cut - 1)))
+    a = _side(entries.withColumn("part_a", part).withColumn("part_b", every), "a", "part_a", "part_b")
+    b = _side(entries.withColumn("part_b", part).withColumn("part_a", every), "b", "part_a", "part_b")
+    # Few rows make many pairs here: neither a broadcast nor merging small partitions
+    # would leave the work to more than one task, so both are ruled out.
+    keys = ["order_id", "part_a", "part_b"]
+    a, b = a.repartition(tasks, *keys).hint("merge"), b.repartition(tasks, *keys)
+    return _pair_counts(a.join(b, keys).where(F.col("product_id_a") < F.col("product_id_b")))
 
 
 def _possible_gains(broad: DataFrame) -> DataFrame:
