@@ -7,13 +7,43 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopgrain.llm import exact_dedup, language, line_dedup, mixing, near_dedup, packing
+from shopgrain.llm import (
+    chat,
+    exact_dedup,
+    language,
+    line_dedup,
+    mixing,
+    near_dedup,
+    packing,
+    pii,
+    token_counts,
+    topk,
+)
+from shopgrain.sources.scratch import settle
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one made of control strings, read back from the emitted nodes."""
+    talks = _table(spark, folder, "conversations")
+    trap = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    nodes, turns = chat.format_conversations(talks.select("conv_id", "turn", "role", "text").unionByName(trap))
+    back = chat.read_back(settle(nodes, "nodes"), turns)
+    return back.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+def op2_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(_table(spark, folder, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, folder, "documents"))
 
@@ -31,6 +61,14 @@ def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(_table(spark, folder, "documents"))
 
 
+def op7_top_inner_products(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_inner_products(_table(spark, folder, "embeddings"))
+
+
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(_table(spark, folder, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All pages; the digest is that of the text that stays."""
     pages = line_dedup.drop_boilerplate(
@@ -51,12 +89,58 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_exact_dedup, op4_packing, op5_mixing, op6_language, op9_line_dedup, op10_near_dedup)
+    f.__name__: f
+    for f in (
+        op1_chat_format,
+        op2_personal_data,
+        op3_exact_dedup,
+        op4_packing,
+        op5_mixing,
+        op6_language,
+        op7_top_inner_products,
+        op8_token_counts,
+        op9_line_dedup,
+        op10_near_dedup,
+    )
 }
 
 _AZ = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
+    "op1_chat_format": r"""
+WITH talks AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS body FROM conversations
+    UNION ALL
+    SELECT -7, v.turn, v.role, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(turn, role)
+), written AS (
+    SELECT *,
+           length(role) + length(body) + 13
+           + length(regexp_replace(role || body, '[^\\<\[]', '', 'g')) AS chars
+    FROM talks
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || body || chr(10), '' ORDER BY turn, role, body)) AS turns_sha256,
+       CAST(coalesce(sum(length(body)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(body, '' ORDER BY turn, role, body) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM written GROUP BY conv_id
+""",
+    "op7_top_inner_products": """
+WITH points AS (
+    SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS point
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND list_bool_and(list_transform(embedding, x -> x IS NOT NULL AND isfinite(x)))
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.point, c.point), p -> p[1] * p[2])) AS BIGINT) AS score
+    FROM points q JOIN points c ON q.vec_id <> c.vec_id AND len(q.point) = len(c.point)
+    WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM scored QUALIFY rank <= 20
+""",
     "op3_exact_dedup": f"""
 WITH texts AS (
     SELECT doc_id, {_AZ.format("coalesce(text, '')")} AS body FROM documents
