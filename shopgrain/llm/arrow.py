@@ -16,9 +16,10 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.R
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+        pa.default_memory_pool().release_unused()
 
 
-def by_bytes(batches: Iterator[pa.RecordBatch], column: str, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def by_bytes(batches: Iterator[pa.RecordBatch], column: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``size`` bytes of a text column; a longer text is alone."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -28,6 +29,7 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: str, size: int = 8 << 20
             to = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
             yield batch.slice(at, to - at)
             at = to
+        pa.default_memory_pool().release_unused()
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from shopgrain.llm.arrow import lists, slices, text_bytes
 from shopgrain.llm.graph import components
+from shopgrain.llm.sieve import sieved
 from shopgrain.llm.text import mix, shingles, word_hashes
 from shopgrain.sources.scratch import settle
 
@@ -275,7 +276,7 @@ def _verify(wanted: DataFrame, classes: DataFrame, groups: DataFrame, share: int
         F.struct("group", "home").alias("home"), "blocks",
     )
     sets = (
-        wanted.select("doc_id", "text")
+        sieved(wanted.select("doc_id", "text"), members, "doc_id")
         .join(spread, F.col("doc_id").eqNullSafe(F.col("least")))
         .select("class", "sig_a", "sig_b", F.col("home.group").alias("group"), F.col("home.home").alias("home"), "blocks", "text")
     )
