@@ -35,7 +35,7 @@ ORACLE = {
     "read_cdc_op": with_tables(
         f"""WITH {EVENTS.strip()}
 SELECT * EXCLUDE (__kind, __ts), CASE __kind WHEN 'u' THEN 'U' WHEN 'd' THEN 'D' ELSE 'I' END AS Op,
-       __ts AS __dms_timestamp FROM events""", "ord"),
+       __ts AS __dms_timestamp, strftime(__ts, '%Y%m%d') AS day FROM events""", "ord"),
     "cdc_split": _SPLIT,
     "cdc_upsert": with_tables(f"""
 SELECT {_ROW}, upper(status) AS status, false AS __cdc_deleted, 'UPDATE' AS __cdc_op, {_AT} 2000 AS __cdc_ts

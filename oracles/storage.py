@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracles.base import amount, with_tables
+from oracles.gold import ORACLE as GOLD
 
 _ORDERS = with_tables("SELECT * FROM ord", "ord")
 _COUNTS = with_tables("""
@@ -27,7 +28,7 @@ UNION ALL SELECT customer_id + 1000000000, NULL, 'p' || customer_id FROM custome
     "export_csv": with_tables("SELECT order_id, order_date, status FROM ord", "ord"),
     "register_views": _COUNTS,
     "register_tables": _COUNTS,
-    "analyst_view": with_tables("SELECT * EXCLUDE (email) FROM customers", "customers"),
+    "analyst_view": f"SELECT * EXCLUDE (email) FROM (\n{GOLD['gold_customer_analytics']}\n)",
     "auditor_view": with_tables("""
 SELECT order_id, customer_id, order_date, status, CASE WHEN status = 'Pending' THEN true END AS __cdc_deleted,
        CASE WHEN status = 'Pending' THEN 'DELETE' END AS __cdc_op,

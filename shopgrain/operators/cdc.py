@@ -12,6 +12,8 @@ from shopgrain.sources.changes import OP, STAMP
 from shopgrain.sources.scratch import settle
 
 DELETED, LAST_OP, LAST_TS = "__cdc_deleted", "__cdc_op", "__cdc_ts"
+#: When the row's values were last set; a later delete leaves it as it is.
+VALUE_TS = "__cdc_value_ts"
 KIND, TS, VALUED = "__kind", "__ts", "__valued"
 _NAMES = {"c": "INSERT", "r": "INSERT", "u": "UPDATE", "d": "DELETE"}
 _FROM_OP = {"I": "c", "U": "u", "D": "d"}
@@ -38,7 +40,8 @@ def latest(changes: DataFrame, key: str) -> DataFrame:
     """One row per key: the last values, whether a delete came after them, and when.
 
     ``__kind`` is ``d`` when the last change is a delete; ``__valued`` tells
-    whether an insert or update is among the changes. An aggregate, so a key with a
+    whether an insert or update is among the changes, and ``__cdc_value_ts`` when
+    the last of them was. An aggregate, so a key with a
     third of all events is reduced inside the map tasks.
     """
     columns = [c for c in changes.columns if c not in (KIND, TS)]
@@ -55,12 +58,13 @@ def latest(changes: DataFrame, key: str) -> DataFrame:
         F.when(gone, F.lit("d")).otherwise(F.col(f"up.{KIND}")).alias(KIND),
         F.greatest(f"up.{TS}", f"down.{TS}").alias(TS),
         F.col("up").isNotNull().alias(VALUED),
-    ).select("row.*", KIND, TS, VALUED)
+        F.col(f"up.{TS}").alias(VALUE_TS),
+    ).select("row.*", KIND, TS, VALUED, VALUE_TS)
 
 
 def with_marks(table: DataFrame) -> DataFrame:
-    """The table with the three change columns, empty where it has none yet."""
-    kinds = {DELETED: "boolean", LAST_OP: "string", LAST_TS: "timestamp"}
+    """The table with the change columns, empty where it has none yet."""
+    kinds = {DELETED: "boolean", LAST_OP: "string", LAST_TS: "timestamp", VALUE_TS: "timestamp"}
     missing = {c: F.lit(None).cast(t) for c, t in kinds.items() if c not in table.columns}
     return table.withColumns(missing) if missing else table
 
@@ -73,9 +77,10 @@ def _marks(kind: Column, ts: Column) -> list[Column]:
 def cdc_merge(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """The table after the changes.
 
-    Per key the last values are taken, then the delete if one came after them; both
-    only if they are not older than the change the row already carries. So events
-    may repeat, and a stream split into batches gives the table one batch gives.
+    Per key the last values are taken if they are not older than the values the row
+    has, whatever deletes came meanwhile; the marks follow the last change of all,
+    a delete before an update of the same time. So events may repeat and come late,
+    and a stream split into batches gives the table one batch gives.
     Deletes mark the row and keep its values. A delete that comes before its row
     leaves a marked row, which a late insert does not revive.
 
@@ -83,26 +88,27 @@ def cdc_merge(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     known: when it allows a broadcast, the table is streamed past them unshuffled.
     """
     table = with_marks(target)
-    columns = [c for c in table.columns if c not in (DELETED, LAST_OP, LAST_TS)]
+    columns = [c for c in table.columns if c not in (DELETED, LAST_OP, LAST_TS, VALUE_TS)]
     last = settle(latest(changes, key), "changes")
     new = last.select(
-        F.col(key).alias("__key"), *[F.col(c).alias(f"__new_{c}") for c in columns], KIND, TS, VALUED
+        F.col(key).alias("__key"), *[F.col(c).alias(f"__new_{c}") for c in columns], KIND, TS, VALUED,
+        F.col(VALUE_TS).alias("__new_value_ts"),
     )
     kind, ts = F.col(KIND), F.col(TS)
     undone = (ts == F.col(LAST_TS)) & (F.col(LAST_OP) == "DELETE") & (kind != "d")
     newer = kind.isNotNull() & (F.col(LAST_TS).isNull() | ((ts >= F.col(LAST_TS)) & ~undone))
+    valued_at = F.coalesce(VALUE_TS, F.when(F.col(LAST_OP) != "DELETE", F.col(LAST_TS)))
+    revalued = F.col(VALUED) & (valued_at.isNull() | (F.col("__new_value_ts") >= valued_at))
     kept = table.join(new, F.col(key) == F.col("__key"), "left").select(
-        *[
-            F.when(newer & F.col(VALUED), F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c)
-            for c in columns
-        ],
+        *[F.when(revalued, F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c) for c in columns],
         *[
             F.when(newer, mark).otherwise(F.col(name)).alias(name)
             for mark, name in zip(_marks(kind, ts), (DELETED, LAST_OP, LAST_TS))
         ],
+        F.when(revalued, F.col("__new_value_ts")).otherwise(valued_at).alias(VALUE_TS),
     )
     known = table.select(key).join(last.select(key), key, "left_semi")
-    added = last.join(known, key, "left_anti").select(*columns, *_marks(kind, ts))
+    added = last.join(known, key, "left_anti").select(*columns, *_marks(kind, ts), VALUE_TS)
     return kept.unionByName(added)
 
 

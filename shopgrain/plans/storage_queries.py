@@ -10,12 +10,17 @@ from pyspark.sql.types import StructType
 
 from shopgrain.functions.columns import present
 from shopgrain.operators import cdc
+from shopgrain.operators.gold import CustomerRules, Gold
 from shopgrain.plans.governance import analyst_view, auditor_view
 from shopgrain.sources import catalog, changes, layers, made_changes
 from shopgrain.sources.retail import TABLES, Retail
 from shopgrain.sources.scratch import shared_folder
 from shopgrain.streaming.cdc_stream import cdc_stream_merge as _stream_merge
 
+AS_OF = "2001-08-02"
+# Customer borders that split the test tables' far larger amounts.
+RULES = CustomerRules(vip=2_800_000, high=2_100_000, medium=1_400_000)
+
 
 def _place(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/queries/{name}-{uuid.uuid4().hex}"
@@ -125,11 +130,11 @@ def cdc_split(spark: SparkSession, t: Retail) -> DataFrame:
 
 
 def cdc_upsert(spark: SparkSession, t: Retail) -> DataFrame:
-    return cdc.cdc_upsert(made_changes.target(t), cdc_split(spark, t), "order_id")
+    return cdc.cdc_upsert(made_changes.target(t), cdc_split(spark, t), "order_id").drop(cdc.VALUE_TS)
 
 
 def cdc_soft_delete(spark: SparkSession, t: Retail) -> DataFrame:
-    return cdc.cdc_soft_delete(made_changes.target(t), cdc_split(spark, t), "order_id")
+    return cdc.cdc_soft_delete(made_changes.target(t), cdc_split(spark, t), "order_id").drop(cdc.VALUE_TS)
 
 
 def cdc_counts(spark: SparkSession, t: Retail) -> DataFrame:
@@ -137,19 +142,19 @@ def cdc_counts(spark: SparkSession, t: Retail) -> DataFrame:
 
 
 def cdc_apply_op(spark: SparkSession, t: Retail) -> DataFrame:
-    return cdc.cdc_apply_op(made_changes.target(t), made_changes.op_records(t), "order_id")
+    return cdc.cdc_apply_op(made_changes.target(t), made_changes.op_records(t), "order_id").drop(cdc.VALUE_TS)
 
 
 def cdc_stream_merge(spark: SparkSession, t: Retail) -> DataFrame:
-    """The events as a file stream into a versioned table."""
+    """The events as a file stream into a bucketed table."""
     root = _place(spark, "stream")
     changes.write_cdc_json(made_changes.change_events(t), f"{root}/events")
-    layers.write_version(made_changes.target(t), f"{root}/orders")
+    layers.write_bucketed(cdc.with_marks(made_changes.target(t)), f"{root}/orders", "order_id", 8)
     stream = _stream_merge(
         spark, f"{root}/events", f"{root}/orders", made_changes.ROW, "order_id", f"{root}/checkpoint"
     )
     stream.awaitTermination()
-    return layers.read_version(spark, f"{root}/orders")
+    return layers.read_bucketed(spark, f"{root}/orders").drop(cdc.VALUE_TS)
 
 
 def incremental_by_updated_at(spark: SparkSession, t: Retail) -> DataFrame:
@@ -183,7 +188,10 @@ def scd2_merge(spark: SparkSession, t: Retail) -> DataFrame:
 
 
 def analyst(spark: SparkSession, t: Retail) -> DataFrame:
-    return analyst_view(t.customers)
+    """The customers' gold table, read through the view."""
+    gold, prefix = Gold(t, AS_OF, RULES), f"analyst_{uuid.uuid4().hex}_"
+    analyst_view(lambda name: getattr(gold, name), "customer_analytics", prefix)
+    return spark.table(f"{prefix}customer_analytics")
 
 
 def auditor(spark: SparkSession, t: Retail) -> DataFrame:

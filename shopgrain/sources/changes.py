@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 OP, STAMP = "Op", "__dms_timestamp"
@@ -29,7 +30,19 @@ def write_cdc_json(events: DataFrame, path: str) -> None:
     events.write.mode("overwrite").json(path)
 
 
-def read_cdc_op(spark: SparkSession, path: str, row: T.StructType) -> DataFrame:
-    """Parquet replication records under one folder per day (YYYYMMDD)."""
+def read_cdc_op(spark: SparkSession, path: str, row: T.StructType, since: str | None = None) -> DataFrame:
+    """Parquet replication records under one folder per day, with the day (YYYYMMDD) as ``day``.
+
+    Folders are named ``day=YYYYMMDD`` or ``YYYYMMDD``. Only those from ``since`` on
+    are listed and read.
+    """
     schema = T.StructType(list(row.fields)).add(OP, "string").add(STAMP, "timestamp")
-    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in folder.getFileSystem(conf).listStatus(folder) if s.isDirectory()]
+    days = {n.removeprefix("day="): n for n in names if n.removeprefix("day=").isdigit()}
+    wanted = [f"{path}/{n}" for d, n in sorted(days.items()) if since is None or d >= since]
+    if not wanted:
+        return spark.createDataFrame([], schema.add("day", "string"))
+    day = F.regexp_extract("_metadata.file_path", r"/(?:day=)?([0-9]+)/[^/]*$", 1)
+    return spark.read.schema(schema).parquet(*wanted).withColumn("day", day)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from shopgrain.sources.scratch import delete
+
 LAYERS = ("bronze", "silver", "gold")
 _POINTER = "_current"
 
@@ -95,6 +99,70 @@ def read_layer(spark: SparkSession, root: str, layer: str, table: str) -> DataFr
     return read_version(spark, layer_path(root, layer, table))
 
 
+# -- tables in buckets of their key -------------------------------------------
+#
+# The pointer of such a table names each bucket's folder, so a change to some keys
+# rewrites the buckets of these keys only.
+
+_BUCKET = "__bucket"
+
+
+def bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
+    """A new table. A bucket is written by one task: choose ``buckets`` by the table's size."""
+    state = {"key": key, "buckets": buckets, "schema": df.schema.json(), "folders": {}, "left": []}
+    _replace(df, path, state, range(buckets), grace=0)
+
+
+def bucketed_state(spark: SparkSession, path: str) -> dict | None:
+    state = current_version(spark, path)
+    return None if state is None else json.loads(state)
+
+
+def read_bucketed(spark: SparkSession, path: str, only: Sequence[int] | None = None) -> DataFrame:
+    """The table, or the given buckets of it."""
+    state = bucketed_state(spark, path)
+    if state is None:
+        raise FileNotFoundError(f"no table at {path}")
+    schema = StructType.fromJson(json.loads(state["schema"]))
+    folders = [f for b, f in state["folders"].items() if only is None or int(b) in only]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{path}/{f}" for f in folders])
+
+
+def replace_buckets(df: DataFrame, path: str, buckets: Sequence[int], grace: float = 3600) -> None:
+    """``df`` becomes the content of the given buckets; the others keep their files.
+
+    Folders that were replaced more than ``grace`` seconds ago are deleted; until
+    then readers that began before may go on. One writer at a time.
+    """
+    _replace(df, path, bucketed_state(df.sparkSession, path), buckets, grace)
+
+
+def _replace(df: DataFrame, path: str, state: dict, buckets: Sequence[int], grace: float) -> None:
+    spark, version = df.sparkSession, f"v-{uuid.uuid4().hex}"
+    rows = df.withColumn(_BUCKET, bucket(state["key"], state["buckets"])).repartition(_BUCKET)
+    rows.write.option("compression", "snappy").partitionBy(_BUCKET).parquet(f"{path}/{version}")
+    written = spark.read.parquet(f"{path}/{version}").select(_BUCKET).distinct() if _has_files(spark, f"{path}/{version}") else None
+    new = {str(r[0]): f"{version}/{_BUCKET}={r[0]}" for r in written.collect()} if written is not None else {}
+    now, folders = time.time(), dict(state["folders"])
+    left = state["left"] + [[folders.pop(str(b)), now] for b in buckets if str(b) in folders]
+    gone = [f for f, at in left if now - at >= grace]
+    state |= {"folders": folders | new, "left": [x for x in left if x[0] not in gone], "schema": df.schema.json()}
+    _point_to(spark, path, json.dumps(state))
+    for folder in gone:
+        delete(spark, f"{path}/{folder}")
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    _, folder, conf = _file_system(spark, path)
+    return any(s.isDirectory() for s in folder.getFileSystem(conf).listStatus(folder))
+
+
 # -- other sinks -------------------------------------------------------------
 
 

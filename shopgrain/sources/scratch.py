@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
+_scopes: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -34,6 +37,8 @@ def settle(df: DataFrame, name: str = "t") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -42,8 +47,23 @@ def _own_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/settled/{spark.sparkContext.applicationId}"
 
 
-def discard_settled(spark: SparkSession) -> None:
-    """Delete what this application settled. Results built on it can no longer be read."""
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """What is settled inside is deleted at the end, for work whose results are written elsewhere."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    folder = jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder = jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(conf).delete(folder, True)
+
+
+def discard_settled(spark: SparkSession) -> None:
+    """Delete what this application settled. Results built on it can no longer be read."""
+    delete(spark, _own_folder(spark))

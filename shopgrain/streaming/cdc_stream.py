@@ -8,7 +8,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shopgrain.operators.cdc import cdc_merge, cdc_split, with_marks
 from shopgrain.sources.changes import envelope
-from shopgrain.sources.layers import current_version, read_version, write_version
+from shopgrain.sources.layers import (
+    bucket,
+    bucketed_state,
+    read_bucketed,
+    replace_buckets,
+    write_bucketed,
+)
+from shopgrain.sources.scratch import passing, settle
 
 
 def cdc_stream_merge(
@@ -20,10 +27,15 @@ def cdc_stream_merge(
     checkpoint: str,
     trigger: dict | None = None,
     files_per_batch: int | None = None,
+    buckets: int = 64,
+    grace: float = 3600,
 ) -> StreamingQuery:
-    """Merge JSON envelopes into a versioned table, batch by batch.
+    """Merge JSON envelopes into a bucketed table, batch by batch.
 
-    A batch that is repeated after a failure merges to the same rows. The default
+    A batch reads and rewrites the buckets that its keys fall into, and leaves the
+    others' files alone; replaced files go after ``grace`` seconds, and what a
+    batch settles goes with it. ``buckets`` counts only for a table that is not
+    there yet. A batch that is repeated after a failure merges to the same rows. The default
     trigger works off what has arrived and stops; give
     ``{"processingTime": "1 minute"}`` to keep running.
     """
@@ -33,11 +45,16 @@ def cdc_stream_merge(
 
     def apply(batch: DataFrame, _epoch: int) -> None:
         session = batch.sparkSession
-        if current_version(session, table_path) is None:
-            table = with_marks(session.createDataFrame([], row))
-        else:
-            table = read_version(session, table_path)
-        write_version(cdc_merge(table, cdc_split(batch), key), table_path)
+        if bucketed_state(session, table_path) is None:
+            write_bucketed(with_marks(session.createDataFrame([], row)), table_path, key, buckets)
+        parts = bucketed_state(session, table_path)["buckets"]
+        with passing(session):
+            changes = settle(cdc_split(batch).dropna(subset=[key]), "batch")
+            # At most one number per bucket.
+            touched = [r[0] for r in changes.select(bucket(key, parts)).distinct().collect()]
+            if touched:
+                table = read_bucketed(session, table_path, touched)
+                replace_buckets(cdc_merge(table, changes, key), table_path, touched, grace)
 
     return (
         reader.json(events_path)

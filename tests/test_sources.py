@@ -1,11 +1,13 @@
 """Folders, views, catalog tables and database options."""
 
 import logging
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shopgrain.sources import catalog, jdbc, layers, scratch
+from shopgrain.sources import catalog, changes, jdbc, layers, scratch
 from shopgrain.sources.retail import TABLES
 
 
@@ -100,3 +102,29 @@ def test_settled_tables_lie_in_the_named_folder(spark):
 def test_union_of_batches(spark):
     a, b = spark.createDataFrame([(1, "x")], "id int, old string"), spark.createDataFrame([(2, "y")], "id int, new string")
     assert sorted(map(tuple, layers.union_evolving(a, b).collect()), key=repr) == [(1, "x", None), (2, None, "y")]
+
+
+def test_what_passes_is_deleted(spark):
+    from urllib.parse import urlparse
+
+    def folder(df):
+        return Path(urlparse(df.inputFiles()[0]).path).parent
+
+    with scratch.passing(spark):
+        inner = folder(scratch.settle(spark.range(3)))
+        assert inner.exists()
+    outer = folder(scratch.settle(spark.range(3)))
+    assert outer.exists() and not inner.exists()
+
+
+def test_days_of_changes_before_the_mark_are_not_read(spark, tmp_path):
+    row = T.StructType().add("id", "integer")
+    for day in ("20240101", "20240102", "20240103"):
+        df = spark.createDataFrame([(int(day), "I", None)], "id int, Op string, __dms_timestamp timestamp")
+        df.write.parquet(f"{tmp_path}/plain/{day}")
+        df.write.parquet(f"{tmp_path}/named/day={day}")
+    for form in ("plain", "named"):
+        got = changes.read_cdc_op(spark, f"{tmp_path}/{form}", row, since="20240102")
+        assert sorted((r.id, r.day) for r in got.collect()) == [(20240102, "20240102"), (20240103, "20240103")]
+        assert not any("20240101" in f for f in got.inputFiles())
+        assert changes.read_cdc_op(spark, f"{tmp_path}/{form}", row, since="20250101").count() == 0
