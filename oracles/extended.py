@@ -120,7 +120,7 @@ FROM segments s JOIN customers c ON s.customer_id = c.customer_id""", "customers
 WITH {SEGMENTS.strip()}
 SELECT segment, count(*) AS customers, {money_avg('sum(monetary_c)', 'count(*)', 2)} AS avg_revenue,
        {half_up('sum(recency)', 'count(*)', 1)} AS avg_recency_days
-FROM segments GROUP BY segment""", "ord", "sales"),
+FROM segments GROUP BY segment""", "customers", "ord", "sales"),
     "abc_products": on_products(f"""
 WITH {ABC.strip()}
 SELECT product_name, category, total_units_sold, CAST(margin_h AS DOUBLE) / 100 AS profit_margin,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracles.base import TODAY, amount, half_up, half_up_int, money_avg, pct, with_tables
+from oracles.core import ORACLE as CORE
 from oracles.core import rfm_base
 from oracles.extended import ABC, BASKET_SETS, COHORTS, EMPLOYEES, SEGMENTS, STOCK
 from oracles.gold import CUSTOMERS, PRODUCTS, STORES, on_customers, on_daily, on_monthly, on_products
@@ -50,6 +51,7 @@ _KPIS = "\nUNION ALL ".join(
 )
 
 ORACLE = {
+    "sample_rows": CORE["rfm_analysis"] + "\nORDER BY md5('42:' || c.customer_id), c.customer_id LIMIT 300",
     "pivot_revenue_month_category": on_monthly(
         "SELECT strftime(make_date(year, month, 1), '%Y-%m') AS period, "
         + ", ".join(_sum_case("category", f"'{c}'", c) for c in TYPES)
@@ -88,11 +90,11 @@ WITH {_CORE_RFM.strip()}
 SELECT rfm_segment, count(*) AS customers, {half_up('sum(recency)', 'count(*)', 6)} AS avg_recency,
        {half_up('sum(frequency)', 'count(*)', 6)} AS avg_frequency,
        {money_avg('sum(monetary_c)', 'count(*)', 6)} AS avg_monetary
-FROM named GROUP BY rfm_segment""", "ord", "sales"),
+FROM named GROUP BY rfm_segment""", "customers", "ord", "sales"),
     "rfm_ext_summary": with_tables(f"""
 WITH {SEGMENTS.strip()}
 SELECT segment, count(*) AS customers, {money_avg('sum(monetary_c)', 'count(*)', 6)} AS avg_revenue
-FROM segments GROUP BY segment""", "ord", "sales"),
+FROM segments GROUP BY segment""", "customers", "ord", "sales"),
     "ltv_percentiles_exact": on_customers(f"""
 WITH r AS (SELECT ltv_c, row_number() OVER (ORDER BY ltv_c) - 1 AS i, count(*) OVER () AS n FROM analytics),
 p AS (SELECT unnest([10, 25, 50, 75, 90, 95, 99]) AS p),

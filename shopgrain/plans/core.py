@@ -143,7 +143,10 @@ def cross_sell_orders(t: Retail, n: int = 20) -> DataFrame:
 
 
 def recency_frequency_monetary(t: Retail, as_of: str) -> DataFrame:
-    """Per customer: days since the last order, orders, net revenue."""
+    """Per customer of the table: days since the last order, orders, net revenue.
+
+    Orders of other customers count for nobody, so no score is spent on them.
+    """
     return (
         orders_with_sums(t)
         .groupBy("customer_id")
@@ -152,6 +155,7 @@ def recency_frequency_monetary(t: Retail, as_of: str) -> DataFrame:
             F.count(F.lit(1)).alias("frequency"),
             F.sum("revenue").alias("monetary"),
         )
+        .join(t.customers.select("customer_id"), "customer_id", "left_semi")
     )
 
 

@@ -27,17 +27,31 @@ def indicators(column: str, values: Sequence[str], prefix: str) -> list[Column]:
     ]
 
 
+def _known_lines(t: Retail) -> DataFrame:
+    """Sums of the lines of known products, by order and category; other lines count nowhere."""
+    total = F.col("total")
+    return (
+        t.sales.join(t.products.select("product_id", "category"), "product_id")
+        .groupBy("order_id", "category")
+        .agg(
+            F.count(F.lit(1)).alias("lines"),
+            F.sum("total").alias("revenue"),
+            F.sum(total * total).alias("squares"),
+            F.max("total").alias("highest"),
+            F.min("total").alias("lowest"),
+            F.sum("discount").alias("discounts"),
+            F.sum("profit").alias("profit"),
+        )
+    )
+
+
 def _order_behaviour(t: Retail, as_of: str) -> DataFrame:
     """Per customer: amounts over lines, counts over orders."""
-    total = F.col("total")
-    per_order = t.sales.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.sum("total").alias("revenue"),
-        F.sum(total * total).alias("squares"),
-        F.max("total").alias("highest"),
-        F.min("total").alias("lowest"),
-        F.sum("discount").alias("discounts"),
-        F.sum("profit").alias("profit"),
+    sums = ("lines", "revenue", "squares", "discounts", "profit")
+    per_order = (
+        _known_lines(t)
+        .groupBy("order_id")
+        .agg(*[F.sum(c).alias(c) for c in sums], F.max("highest").alias("highest"), F.min("lowest").alias("lowest"))
     )
     age = F.datediff(as_of_date(as_of), "order_date")
     # The spread of the lines follows from their sums, so lines are never moved.
@@ -70,9 +84,8 @@ def _order_behaviour(t: Retail, as_of: str) -> DataFrame:
 def _category_behaviour(t: Retail) -> DataFrame:
     """Per customer: categories bought, and the one with the most lines (first by name)."""
     per_category = (
-        t.sales.join(t.products.select("product_id", "category"), "product_id")
-        .groupBy("order_id", "category")
-        .agg(F.count(F.lit(1)).alias("lines"))
+        _known_lines(t)
+        .select("order_id", "category", "lines")
         .join(t.order_heads.select("order_id", "customer_id"), "order_id")
         .groupBy("customer_id", "category")
         .agg(F.sum("lines").alias("lines"))

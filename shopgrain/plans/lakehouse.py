@@ -324,13 +324,14 @@ def anomaly(t: Retail, limit: float = 2.5) -> DataFrame:
     z = F.abs((value - F.col("mu")) / F.nullif(F.col("sigma"), F.lit(0.0)))
     return (
         daily.withColumn("mu", F.avg(value).over(per_category))
+        .withColumn("mean_revenue", quotient(F.sum("revenue").over(per_category), F.count("revenue").over(per_category), 2))
         .withColumn("sigma", F.stddev(value).over(per_category))
         .where(z > limit)
         .select(
             "category",
             "order_date",
             "revenue",
-            F.round("mu", 2).alias("mean_revenue"),
+            "mean_revenue",
             F.round("sigma", 2).alias("std_revenue"),
             F.round(z, 2).alias("z_score"),
             F.lit(True).alias("is_anomaly"),

@@ -276,10 +276,14 @@ def executive_kpis(g: Gold) -> DataFrame:
         F.round(F.sum("total_revenue"), 0).alias("product_revenue"),
         mean("profit_margin", 2).alias("avg_margin"),
     )
-    stores = g.store_performance.agg(
-        F.count(F.lit(1)).alias("total_stores"),
-        mean("profit_margin", 2).alias("avg_store_margin"),
-        F.max("revenue_rank").alias("ranked_stores"),
+    # The last rank is one more than the stores above the lowest revenue: no ranking is needed.
+    at_revenue = g.store_measures.groupBy("total_revenue").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("profit_margin").alias("margins"), F.count("profit_margin").alias("with_margin")
+    )
+    stores = at_revenue.agg(
+        F.sum("n").alias("total_stores"),
+        mean("margins", 2, count="with_margin").alias("avg_store_margin"),
+        (F.sum("n") - F.min_by("n", "total_revenue") + 1).alias("ranked_stores"),
     )
 
     def as_rows(one: DataFrame) -> DataFrame:
@@ -299,5 +303,5 @@ def parsed_money(g: Gold) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, key: str, n: int = 300, seed: int = 42) -> DataFrame:
-    """Up to ``n`` rows, picked by a seeded hash of the key."""
-    return df.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
+    """Up to ``n`` rows, picked by the md5 of a seed and the key."""
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(seed), F.col(key)).cast("binary")), key).limit(n)

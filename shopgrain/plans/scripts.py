@@ -232,8 +232,15 @@ def cltv_prediction(t: Retail, as_of: str) -> DataFrame:
     )
 
 
+def _held(t: Retail) -> DataFrame:
+    """Lines summed to order and product before anything is joined."""
+    return t.sales.groupBy("order_id", "product_id").agg(
+        F.sum("quantity").alias("quantity"), F.sum("total").alias("total"), F.count(F.lit(1)).alias("lines")
+    )
+
+
 def product_season(t: Retail) -> DataFrame:
-    dated = t.sales.join(
+    dated = _held(t).join(
         t.order_heads.select("order_id", season(F.month("order_date")).alias("season")), "order_id"
     )
     per_product = dated.groupBy("product_id", "season").agg(
@@ -256,7 +263,7 @@ def inventory_days(t: Retail, as_of: str, window_days: int = 365) -> DataFrame:
         F.col("order_date") >= F.date_sub(as_of_date(as_of), window_days)
     )
     sold = (
-        t.sales.join(t.order_heads.select("order_id", "order_date"), "order_id", "left")
+        _held(t).join(t.order_heads.select("order_id", "order_date"), "order_id", "left")
         .groupBy("product_id")
         .agg(
             F.sum(F.when(recent, F.col("quantity"))).alias("units"),
