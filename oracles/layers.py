@@ -157,7 +157,7 @@ SELECT * , {_LAKE}, {STAMP} AS __silver_processed_at, 'silver' AS __layer FROM r
 }
 
 
-# -- rows per layer table ----------------------------------------------------
+# -- what the layer tables hold ---------------------------------------------
 
 _NAMES = ("customers", "products", "employees", "stores", "ord", "sales")
 _EACH = ",\n".join(
@@ -174,15 +174,39 @@ lines AS (
 
 
 def _rows(layer: str, table: str, counted: str) -> str:
-    return f"SELECT '{layer}' AS layer, '{table}' AS table_name, count(*) AS n FROM {counted}"
+    return (
+        f"SELECT '{layer}' AS layer, '{table}' AS table_name, '*' AS column_name, count(*) AS filled,"
+        f" CAST(NULL AS BIGINT) AS checksum FROM {counted}"
+    )
 
 
 _DAYS = "(SELECT DISTINCT {0}, category {1} FROM lines WHERE store_id IS NOT NULL AND product_id IS NOT NULL)"
-_BRONZE = [_rows("bronze", "orders" if n == "ord" else n, f"b_{n}") for n in _NAMES]
-_SILVER = [
-    _rows("silver", "orders" if n == "ord" else n, "s_customers" if n == "customers" else f"b_{n}")
-    for n in _NAMES
-]
+_CELL = """CASE WHEN typeof(COLUMNS(*)) = 'DOUBLE'
+  THEN CAST(CAST(round(TRY_CAST(CAST(COLUMNS(*) AS VARCHAR) AS DOUBLE) * 1000000) AS BIGINT) AS VARCHAR)
+  ELSE CAST(COLUMNS(*) AS VARCHAR) END AS "\\0\""""
+
+
+def _content(layer: str, table: str, key: str, without: str = "") -> str:
+    """Per column: filled cells, and a sum over their md5."""
+    rows = f"SELECT * EXCLUDE ({without}) FROM ({ORACLE[key]}\n)" if without else ORACLE[key]
+    return f"""
+SELECT '{layer}' AS layer, '{table}' AS table_name, column_name, count(*) AS filled,
+       CAST(sum(CAST('0x' || md5(cell)[1:8] AS BIGINT)) AS BIGINT) AS checksum
+FROM (UNPIVOT (SELECT {_CELL} FROM ({rows}
+)) ON COLUMNS(*) INTO NAME column_name VALUE cell) GROUP BY column_name"""
+
+
+_TABLES = ("customers", "products", "employees", "stores", "orders", "sales")
+
+
+def _contents(without_stamps: bool = False) -> dict[str, list[str]]:
+    raw, done = ("ingestion_timestamp", "ingestion_timestamp, processed_timestamp") if without_stamps else ("", "")
+    return {
+        "bronze": [_content("bronze", n, f"bronze_{n}", raw) for n in _TABLES],
+        "silver": [_content("silver", n, f"silver_{n}", done) for n in _TABLES],
+    }
+
+
 _GOLD = [
     _rows("gold", "daily_sales_summary", _DAYS.format("order_date", ", store_id")),
     _rows("gold", "monthly_time_series", _DAYS.format("year(order_date), month(order_date)", "")),
@@ -194,12 +218,11 @@ _GOLD = [
 ]
 
 
-def _counts(parts: list[str]) -> str:
-    return with_tables(f"WITH {_EACH}\n" + "\nUNION ALL ".join(parts), *_NAMES)
-
+_ROWS = with_tables(f"WITH {_EACH}\n" + "\nUNION ALL ".join(_GOLD), *_NAMES)
+_STORED = _contents(without_stamps=True)
 
 ORACLE |= {
-    "bronze_ingest_all": _counts(_BRONZE),
-    "silver_process_all": _counts(_SILVER),
-    "run_layers": _counts(_BRONZE + _SILVER + _GOLD),
+    "bronze_ingest_all": "\nUNION ALL ".join(_contents()["bronze"]),
+    "silver_process_all": "\nUNION ALL ".join(_contents()["silver"]),
+    "run_layers": "\nUNION ALL ".join([*_STORED["bronze"], *_STORED["silver"], f"SELECT * FROM (\n{_ROWS}\n)"]),
 }

@@ -90,8 +90,9 @@ def _item_entries(t: Retail) -> DataFrame:
     items = names.groupBy("product_name", "category").agg(F.min("product_id").alias("item"))
     product_items = names.join(items, ["product_name", "category"]).select("product_id", "item")
     lines = t.sales.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("copies"))
-    entries = lines.join(product_items, "product_id")
-    sizes = entries.groupBy("order_id").agg(F.count(F.lit(1)).alias("different"))
+    # Both settled: the entries are made once, and a join of two tables may split a wide order.
+    entries = settle(lines.join(product_items, "product_id"), "entries")
+    sizes = settle(entries.groupBy("order_id").agg(F.count(F.lit(1)).alias("different")), "sizes")
     return entries.join(sizes.where(F.col("different") > 1), "order_id")
 
 

@@ -1,33 +1,26 @@
 """Row numbers, NTILE, ranks and running sums over a whole table.
 
 A window without PARTITION BY moves the whole table to one task. Here the table
-is settled first, so that its row count is known without recomputing it. Up to
-``spark.shopgrain.singleTaskRows`` rows the plain window is used. Beyond that the
+is settled first, so that its row count is known without recomputing it. Then the
 rows are range-sorted on the sort key *including a unique tie breaker* (so a
 value shared by a third of the rows still spreads over partitions), numbered
 inside each partition, and shifted by the sum of the partitions before it. The
-only small side is one row per partition.
+only small side is one row per partition. It is done so for any number of rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shopgrain.sources.scratch import settle
 
-LIMIT_CONF = "spark.shopgrain.singleTaskRows"
-DEFAULT_LIMIT = 200_000
 _PART, _POS = "__part", "__pos"
 
 
-def single_task_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(LIMIT_CONF, str(DEFAULT_LIMIT)))
-
-
 class GlobalOrder:
     """A settled table to which whole-table window columns are added."""
 
@@ -37,7 +30,6 @@ class GlobalOrder:
         else:
             self.df = settle(df, "ordered")
             self.rows = self.df.count()  # answered from the file footers
-        self.fits_one_task = self.rows <= single_task_rows(self.df.sparkSession)
 
     def _next(self, df: DataFrame) -> "GlobalOrder":
         return GlobalOrder(df, _settled=(df, self.rows))
@@ -89,16 +81,10 @@ class GlobalOrder:
 
     def row_number(self, order: Sequence[Column], name: str) -> "GlobalOrder":
         """1..n. ``order`` must end in a unique column."""
-        if self.fits_one_task:
-            out = self.df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
-        else:
-            out = self._with_number(order, name)
-        return self._next(out)
+        return self._next(self._with_number(order, name))
 
     def ntile(self, k: int, order: Sequence[Column], name: str) -> "GlobalOrder":
         """NTILE(k). ``order`` must end in a unique column."""
-        if self.fits_one_task:
-            return self._next(self.df.withColumn(name, F.ntile(k).over(Window.orderBy(*order))))
         size, extra = divmod(self.rows, k)
         # The first `extra` tiles hold size + 1 rows, the others size rows.
         wide_rows = extra * (size + 1)
@@ -114,9 +100,6 @@ class GlobalOrder:
 
         ``unique`` names columns that tell equal values apart.
         """
-        if self.fits_one_task:
-            w = Window.orderBy(F.col(value).desc())
-            return self._next(self.df.withColumn(name, F.rank().over(w)))
         numbered = self._with_number([F.col(value).desc(), *map(F.col, unique)], "__rn")
         first = numbered.groupBy(F.col(value).alias("__value")).agg(
             F.min("__rn").cast("int").alias(name)
@@ -137,13 +120,6 @@ class GlobalOrder:
     ) -> "GlobalOrder":
         """Sum of ``value`` from the first row of ``order`` to this one, and the row's number."""
         upto = (Window.unboundedPreceding, Window.currentRow)
-        if self.fits_one_task:
-            w = Window.orderBy(*order)
-            return self._next(
-                self.df.withColumn(name, F.sum(value).over(w.rowsBetween(*upto))).withColumn(
-                    number, F.row_number().over(w).cast("long")
-                )
-            )
         ranged = self._sorted(order)
         local = F.sum(value).over(Window.partitionBy(_PART).orderBy(_POS).rowsBetween(*upto))
         out = (
@@ -158,9 +134,6 @@ class GlobalOrder:
         self, keys: Sequence[str], order: Sequence[str], value: str, name: str
     ) -> "GlobalOrder":
         """LEAD(value) inside ``keys``, for groups of any size."""
-        if self.fits_one_task:
-            w = Window.partitionBy(*keys).orderBy(*order)
-            return self._next(self.df.withColumn(name, F.lead(value).over(w)))
         ranged = self._sorted([*map(F.col, keys), *map(F.col, order)])
         head = F.struct(*keys, F.col(value).alias("__value"))
         heads = ranged.groupBy(_PART).agg(F.min_by(head, _POS).alias("__head"))

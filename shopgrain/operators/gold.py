@@ -43,19 +43,31 @@ class CustomerRules:
     churn_medium_days: int = 90
 
 
-DAY_KEYS = ("order_date", "category", "store_name", "store_city", "store_country")
+DAY_KEYS = ("order_date", "category", "store_head")
+
+
+def _store_heads(t: Retail) -> DataFrame:
+    """store_id, and the lowest id of the stores with its name, city and country; with these names."""
+    names = {"store_name": "store_name", "city": "store_city", "country": "store_country"}
+    named = t.stores.select("store_id", *[F.col(c).alias(n) for c, n in names.items()])
+    place = F.struct(*names.values())
+    heads = named.groupBy(place.alias("place")).agg(F.min("store_id").alias("store_head"))
+    return named.withColumn("__place", place).join(heads, F.col("__place").eqNullSafe(F.col("place"))).drop("__place", "place")
 
 
 def _day_rows(t: Retail) -> DataFrame:
-    """One row per order and category, with the day and store it belongs to."""
-    stores = t.stores.select(
-        "store_id",
-        "store_name",
-        F.col("city").alias("store_city"),
-        F.col("country").alias("store_country"),
-    )
+    """One row per order and category, with its day and the head of its store.
+
+    Stores go by number until the sums are made, so names are not shuffled with rows.
+    """
     orders = t.orders.select("order_id", "customer_id", "store_id", "order_date")
-    return order_category_sums(t).join(orders, "order_id").join(stores, "store_id")
+    heads = _store_heads(t).select("store_id", "store_head")
+    return order_category_sums(t).join(orders, "order_id").join(heads, "store_id")
+
+
+def _with_store_names(t: Retail, sums: DataFrame) -> DataFrame:
+    heads = _store_heads(t).where("store_id = store_head").drop("store_id")
+    return sums.join(heads, "store_head")
 
 
 def _day_columns(sums: DataFrame, *more: Column) -> DataFrame:
@@ -84,7 +96,7 @@ def _day_columns(sums: DataFrame, *more: Column) -> DataFrame:
 def daily_measures(t: Retail) -> DataFrame:
     """Day x category x store, without the count of customers and the shuffle it takes."""
     sums = _day_rows(t).groupBy(*DAY_KEYS).agg(*sums_again(), F.count(F.lit(1)).alias("orders"))
-    return _day_columns(sums)
+    return _day_columns(_with_store_names(t, sums))
 
 
 def daily_sales_summary(t: Retail) -> DataFrame:
@@ -96,7 +108,7 @@ def daily_sales_summary(t: Retail) -> DataFrame:
     sums = per_customer.groupBy(*DAY_KEYS).agg(
         *sums_again(), F.sum("orders").alias("orders"), F.count("customer_id").alias("customers")
     )
-    return _day_columns(sums, F.col("customers").alias("unique_customers"))
+    return _day_columns(_with_store_names(t, sums), F.col("customers").alias("unique_customers"))
 
 
 def customer_analytics(t: Retail, as_of: str, rules: CustomerRules = CustomerRules()) -> DataFrame:
@@ -177,8 +189,8 @@ def product_performance(t: Retail) -> DataFrame:
     )
 
 
-def store_performance(t: Retail) -> DataFrame:
-    """Stores with at least one sale, ranked by revenue."""
+def store_measures(t: Retail) -> DataFrame:
+    """Stores with at least one sale."""
     per_customer = (
         orders_with_sums(t, store=True)
         .groupBy("store_id", "customer_id")
@@ -200,11 +212,12 @@ def store_performance(t: Retail) -> DataFrame:
         (F.col("total_orders").cast("double") / float(YEAR_DAYS)).alias("orders_per_day"),
         percent("profit", "revenue").alias("profit_margin"),
     )
-    return (
-        GlobalOrder(t.stores.join(measures, "store_id"))
-        .rank("total_revenue", "revenue_rank", "store_id")
-        .df
-    )
+    return t.stores.join(measures, "store_id")
+
+
+def store_performance(t: Retail) -> DataFrame:
+    """The measures with ranks by revenue."""
+    return GlobalOrder(store_measures(t)).rank("total_revenue", "revenue_rank", "store_id").df
 
 
 def monthly_time_series(daily: DataFrame) -> DataFrame:
@@ -252,6 +265,10 @@ class Gold:
     def product_performance(self) -> DataFrame:
         return product_performance(self.retail)
 
+    @cached_property
+    def store_measures(self) -> DataFrame:
+        return store_measures(self.retail)
+
     @cached_property
     def store_performance(self) -> DataFrame:
         return store_performance(self.retail)

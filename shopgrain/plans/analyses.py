@@ -12,6 +12,7 @@ from shopgrain.operators import gold
 from shopgrain.operators.gold import GOLD_TABLES, Gold
 from shopgrain.plans import core, extended, lakehouse, reports, scripts
 from shopgrain.sources.layers import export_csv
+from shopgrain.sources.scratch import settle
 
 log = logging.getLogger(__name__)
 
@@ -135,6 +136,10 @@ REPORTS: dict[str, Analysis] = {
 ANALYSES: dict[str, Analysis] = {**GOLD, **CORE, **SCRIPTS, **EXTENDED, **LAKEHOUSE, **REPORTS}
 
 
+#: Analyses that cannot run without a parameter (a day, a year, the columns of a pivot).
+NEED_ARGUMENTS = ("sales_dashboard_daily", "mom_growth_year", "pivot_revenue_month_category")
+
+
 def list_queries() -> list[str]:
     return list(ANALYSES)
 
@@ -147,16 +152,19 @@ def run_named(name: str, g: Gold, *args) -> DataFrame:
 
 
 def run_all(
-    g: Gold, names: Iterable[str] = (*CORE, *EXTENDED, *LAKEHOUSE), csv_folder: str | None = None
+    g: Gold, names: Iterable[str] | None = None, csv_folder: str | None = None
 ) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """The named analyses, and the message of each that failed.
+    """The named analyses, executed, and the message of each that failed.
+
+    If none are named: all but ``NEED_ARGUMENTS``.
 
-    With ``csv_folder`` every result is also executed and written there.
+    Each result is written once, so one that fails while it runs fails alone. With
+    ``csv_folder`` it is written there as well.
     """
     results, failed = {}, {}
-    for name in names:
+    for name in [n for n in ANALYSES if n not in NEED_ARGUMENTS] if names is None else names:
         try:
-            result = run_named(name, g)
+            result = settle(run_named(name, g), "analysis")
             if csv_folder:
                 export_csv(_flat(result), f"{csv_folder}/{name}")
             results[name] = result

@@ -54,6 +54,10 @@ class StoredGold(Gold):
     def store_performance(self) -> DataFrame:
         return self._stored("store_performance")
 
+    @property
+    def store_measures(self) -> DataFrame:
+        return self.store_performance
+
     @cached_property
     def monthly_time_series(self) -> DataFrame:
         return self._stored("monthly_time_series")

@@ -23,6 +23,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shopgrain.operators.global_order import GlobalOrder
 from shopgrain.sources.scratch import settle
 
 log = logging.getLogger(__name__)
@@ -151,13 +152,24 @@ def residual_summary(scored: DataFrame, label: str, prediction: str) -> DataFram
 def split(features: DataFrame, key: Sequence[str], test_percent: int = 20, seed: int = SEED):
     """Training and test rows by a hash of the key.
 
-    The same rows fall on the same side whenever a lost partition is recomputed,
-    and every class is cut in the same proportion.
+    The same rows fall on the same side whenever a lost partition is recomputed.
     """
     bucket = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(100))
     return features.where(bucket >= test_percent), features.where(bucket < test_percent)
 
 
+def stratified_split(
+    features: DataFrame, label: str, key: Sequence[str], one_in: int = 5, seed: int = SEED
+) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows; of each class every ``one_in``-th row, in the order of a hash of the key, is for the test."""
+    mixed = features.withColumn("__mixed", F.xxhash64(F.lit(seed), *key))
+    order = [F.col(label), F.col("__mixed"), *map(F.col, key)]
+    numbered = GlobalOrder(mixed).row_number(order, "__n").df.drop("__mixed")
+    held_out = F.col("__n") % one_in == 0
+    numbered = settle(numbered, "numbered")
+    return numbered.where(~held_out).drop("__n"), numbered.where(held_out).drop("__n")
+
+
 def _prepared(features: DataFrame, leave_out: Sequence[str], key: Sequence[str], label: str):
     """Settled doubles: training passes over the rows many times."""
     columns = [c for c in features.columns if c not in {*leave_out, *key, label}]
@@ -229,7 +241,7 @@ def train_churn(
     """
     hidden = ["lifetime_value"] + ([] if keep_recency else ["recency_days"])
     data, columns = _prepared(features, hidden, ["customer_id"], "is_churned")
-    train, test = split(data, ["customer_id"])
+    train, test = stratified_split(data, "label", ["customer_id"])
     evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
     model = _search(
         train, _stages(columns, True), GBTClassifier(seed=SEED), grid, evaluator, folds, parallelism

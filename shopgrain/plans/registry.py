@@ -11,22 +11,20 @@ from pyspark.sql import functions as F
 
 from shopgrain.functions.columns import present
 from shopgrain.operators import bronze, silver
-from shopgrain.operators.gold import GOLD_TABLES, CustomerRules, Gold
+from shopgrain.operators.gold import GOLD_TABLES, Gold
 from shopgrain.plans import features, reports, storage_queries
 from shopgrain.plans.analyses import ANALYSES, LAKEHOUSE, run_all, run_named
 from shopgrain.plans.medallion import Medallion
 from shopgrain.plans.model_queries import ModelQueries
+from shopgrain.plans.storage_queries import AS_OF, RULES
 from shopgrain.sources.defects import raw_table
 from shopgrain.sources.retail import TABLES, from_star_schema
 from shopgrain.sources.scratch import shared_folder
 
-AS_OF = "2001-08-02"
 STAMP = "2001-08-02 06:00:00"
 
 # Report parameters that lie inside the test tables' dates.
 SINCE, YEAR = "2001-01-01", 2000
-# Customer borders that split the test tables' far larger amounts.
-RULES = CustomerRules(vip=2_800_000, high=2_100_000, medium=1_400_000)
 TIERS = (3_000_000, 2_200_000, 1_600_000, 1_200_000)
 LTV_BORDERS = (1_000_000, 1_500_000, 2_000_000, 3_000_000)
 
@@ -139,17 +137,36 @@ QUERIES |= {
 
 
 def _run_all(spark: SparkSession, folder: str) -> DataFrame:
-    """The lakehouse analyses, each executed: its name and how many rows it gave."""
-    results, _failed = run_all(_gold(spark, folder), LAKEHOUSE)
+    """The lakehouse analyses, each executed: its name and how many rows it gave; null if it failed."""
+    results, failed = run_all(_gold(spark, folder), LAKEHOUSE)
     counts = [
         df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
         for name, df in results.items()
     ]
-    return reduce(DataFrame.unionByName, counts)
+    lost = spark.createDataFrame([(name, None) for name in failed], "name string, n long")
+    return reduce(DataFrame.unionByName, counts, lost)
+
+
+def _content(layer: str, table: str, df: DataFrame, without: tuple[str, ...] = ()) -> DataFrame:
+    """Per column of a table: its filled cells, and a sum over the md5 of each, whatever the order of rows."""
+    df = _stamps_as_local(present(df.drop(*without)))
+    sums = []
+    for name, kind in df.dtypes:
+        text = F.round(F.col(name) * 1_000_000).cast("long") if kind == "double" else F.col(name)
+        part = F.conv(F.substring(F.md5(text.cast("string").cast("binary")), 1, 8), 16, 10).cast("long")
+        sums.append(
+            F.struct(F.lit(name).alias("column_name"), F.count(name).alias("filled"), F.sum(part).alias("checksum"))
+        )
+    return (
+        df.agg(F.array(*sums).alias("columns"))
+        .select(F.explode("columns").alias("c"))
+        .select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "c.*")
+        .where("filled > 0")
+    )
 
 
 def _run_layers(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw, cleaned and gold tables written from sources with defects; rows per table."""
+    """Raw, cleaned and gold tables written from sources with defects: what the first two hold, rows of the last."""
     source = from_star_schema(spark, folder)
     root = f"{shared_folder(spark)}/queries/layers-{uuid.uuid4().hex}"
     lake = Medallion(
@@ -161,23 +178,16 @@ def _run_layers(spark: SparkSession, folder: str) -> DataFrame:
     )
     for step in ("bronze", "silver", "gold"):
         lake.run(step)
-    return _rows_per_table(
-        {
-            (layer, t): lake.table(layer, t)
-            for layer, tables in (("bronze", TABLES), ("silver", TABLES), ("gold", GOLD_TABLES))
-            for t in tables
-        }
-    )
-
-
-def _rows_per_table(tables: dict[tuple[str, str], DataFrame]) -> DataFrame:
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "n"
-        )
-        for (layer, name), df in tables.items()
+    stamps = ("ingestion_timestamp", "processed_timestamp")  # the time of the run
+    parts = [_content(layer, t, lake.table(layer, t), stamps) for layer in ("bronze", "silver") for t in TABLES]
+    rows = [
+        lake.table("gold", t)
+        .agg(F.count(F.lit(1)).alias("filled"))
+        .select(F.lit("gold").alias("layer"), F.lit(t).alias("table_name"), F.lit("*").alias("column_name"), "filled")
+        .withColumn("checksum", F.lit(None).cast("long"))
+        for t in GOLD_TABLES
     ]
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, parts + rows)
 
 
 def _bronze_all(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -186,14 +196,14 @@ def _bronze_all(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def _ingest_all(spark: SparkSession, folder: str) -> DataFrame:
-    return _rows_per_table({("bronze", n): df for n, df in _bronze_all(spark, folder).items()})
+    return reduce(DataFrame.unionByName, [_content("bronze", n, df) for n, df in _bronze_all(spark, folder).items()])
 
 
 def _process_all(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = silver.silver_process_all(
         _bronze_all(spark, folder).__getitem__, STAMP, {"products": {"categories": PART_TYPES}}
     )
-    return _rows_per_table({("silver", n): df for n, df in cleaned.items()})
+    return reduce(DataFrame.unionByName, [_content("silver", n, df) for n, df in cleaned.items()])
 
 
 QUERIES |= {

@@ -4,7 +4,10 @@ import math
 
 import duckdb
 
-TABLES = "region nation customer supplier part orders lineitem".split()
+TABLES = (
+    "region nation customer supplier part orders lineitem events"
+    " documents embeddings pages benchmark labels conversations"
+).split()
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:

@@ -19,13 +19,3 @@ def spark(tmp_path_factory) -> SparkSession:
     )
     session.sparkContext.setLogLevel("ERROR")
     return session
-
-
-@pytest.fixture()
-def one_row_tasks(spark):
-    """Whole-table windows take the distributed way, however small the table."""
-    from shopgrain.operators.global_order import LIMIT_CONF
-
-    spark.conf.set(LIMIT_CONF, "0")
-    yield
-    spark.conf.unset(LIMIT_CONF)

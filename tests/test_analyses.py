@@ -1,5 +1,6 @@
 """Analyses on hand-written rows: borders, blanks, and groups of any size."""
 
+import copy
 from datetime import date, timedelta
 from decimal import Decimal
 
@@ -198,9 +199,38 @@ def test_one_failure_does_not_stop_the_others(spark, tmp_path):
 
 
 def test_analysts_see_no_personal_columns(spark):
-    t = shop(spark, [(1, 1, 1, 1, 0)])
-    assert "email" not in analyst_view(t.customers).columns
-    assert "salary" not in analyst_view(t.employees).columns
+    g = Gold(shop(spark, [(1, 1, 1, 1, 0)]), "2024-03-01")
+    read = lambda name: getattr(g, name)
+    analyst_view(read, "customer_analytics", "seen_by_analysts_")
+    assert "email" not in spark.table("seen_by_analysts_customer_analytics").columns
+    for table in ("customers", "employees", "silver.customers"):
+        with pytest.raises(PermissionError):
+            analyst_view(read, table)
+
+
+def test_lines_of_unknown_products_count_nowhere(spark):
+    t = shop(spark, [(1, 1, 1, 10, 0), (1, 2, 1, 90, 0), (2, 2, 1, 50, 0)], {1: (1, date(2024, 1, 1)), 2: (2, date(2024, 1, 2))}, {1: ("p1", "Food", 10)})
+    rows = features.customer_features(t, "2024-02-01").collect()
+    assert [(r.customer_id, float(r.monetary), r.frequency) for r in rows] == [(1, 10.0, 1)]
+
+
+def test_a_failure_that_comes_while_running_is_isolated(spark, monkeypatch):
+    g = Gold(shop(spark, [(1, 1, 1, 1, 0), (1, 2, 1, 1, 0)]), "2024-03-01")
+    broken = lambda gold: gold.retail.customers.withColumn("x", F.raise_error(F.lit("broken")))
+    monkeypatch.setitem(ANALYSES, "broken", broken)
+    results, failed = run_all(g, ["broken", "top_customers"])
+    assert list(results) == ["top_customers"] and "broken" in failed["broken"]
+
+
+def test_orders_of_unknown_customers_take_no_scores(spark):
+    """Ten customers buy; the table knows five of them, who get the five scores."""
+    t = shop(spark, [(o, 1, 1, 10 * o, 0) for o in range(1, 11)], {o: (o, date(2024, 1, o)) for o in range(1, 11)})
+    known = copy.copy(t)
+    known.customers = t.customers.where("customer_id % 2 = 0")
+    got = run_named("rfm_analysis", Gold(known, "2024-03-01")).collect()
+    assert sorted(r.recency_score for r in got) == [1, 2, 3, 4, 5]
+    got = run_named("rfm_segmentation", Gold(known, "2024-03-01")).collect()
+    assert sorted(r.m_score for r in got) == [1, 2, 3, 4, 5]
 
 
 def test_layers_end_to_end(spark, tmp_path):

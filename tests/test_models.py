@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from shopgrain.plans import models
 from shopgrain.plans.features import customer_features, product_features
@@ -39,6 +40,15 @@ def test_split_is_stable(spark, customers):
     assert 0.15 < test.count() / customers.count() < 0.25
 
 
+def test_classes_are_cut_alike(spark):
+    df = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 10 == 0).cast("int").alias("y"))
+    train, test = models.stratified_split(df, "y", ["k"])
+    assert {(r.y, r["count"]) for r in test.groupBy("y").count().collect()} == {(0, 180), (1, 20)}
+    again = models.stratified_split(df.repartition(7), "y", ["k"])[1]
+    assert {r.k for r in test.collect()} == {r.k for r in again.collect()}
+    assert train.count() == 800
+
+
 def test_churn(customers):
     trained = models.train_churn(customers, SMALL_BOOSTED)
     assert 0.5 < trained.metrics["roc_auc"] <= 1 and len(trained.importances) == 10

@@ -8,19 +8,6 @@ from tests.compare import connect, same_rows
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
 TRAINED = ("train_", "segment_customers", "cluster_profile", "run_ml")
-ORDERED = (
-    "product_ranking",
-    "store_comparison_ranked",
-    "rfm_analysis",
-    "rfm_segmentation",
-    "pareto_analysis",
-    "abc_products",
-    "employee_performance",
-    "ath_rfm",
-    "ath_abc_products",
-    "ltv_percentiles_exact",
-    "scd2",
-)
 
 
 @pytest.fixture(scope="module")
@@ -33,11 +20,6 @@ def test_same_rows(spark, duck, name):
     same_rows(QUERIES[name](spark, FOLDER), duck, ORACLES[name])
 
 
-@pytest.mark.parametrize("name", ORDERED)
-def test_same_rows_when_distributed(spark, duck, one_row_tasks, name):
-    same_rows(QUERIES[name](spark, FOLDER), duck, ORACLES[name])
-
-
 def test_every_oracle_has_a_query():
     assert not set(ORACLES) - set(QUERIES)
 

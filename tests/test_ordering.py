@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shopgrain.operators.global_order import LIMIT_CONF, GlobalOrder
+from shopgrain.operators.global_order import GlobalOrder
 
 KEY = [F.col]
 
@@ -19,7 +19,7 @@ def table(spark, n, seed=1):
 
 
 @pytest.mark.parametrize("n", [0, 1, 3, 5, 7, 12, 23, 400])
-def test_ntile_and_row_number(spark, one_row_tasks, n):
+def test_ntile_and_row_number(spark, n):
     df = table(spark, n)
     order = [F.col("v"), F.col("id")]
     got = GlobalOrder(df).ntile(5, order, "tile").row_number(order, "rn").df
@@ -29,13 +29,13 @@ def test_ntile_and_row_number(spark, one_row_tasks, n):
     assert sorted(got.select(*columns).collect()) == sorted(want.select(*columns).collect())
 
 
-def test_tiles_differ_by_one_at_most(spark, one_row_tasks):
+def test_tiles_differ_by_one_at_most(spark):
     got = GlobalOrder(table(spark, 503)).ntile(5, [F.col("v"), F.col("id")], "tile").df
     sizes = [r["count"] for r in got.groupBy("tile").count().collect()]
     assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
 
 
-def test_rank_and_running_sum(spark, one_row_tasks):
+def test_rank_and_running_sum(spark):
     df = table(spark, 400)
     got = GlobalOrder(df).rank("v", "rank", "id").running_sum("w", [F.desc("v"), F.col("id")], "run").df
     w = Window.orderBy(F.desc("v"), "id").rowsBetween(Window.unboundedPreceding, 0)
@@ -44,24 +44,15 @@ def test_rank_and_running_sum(spark, one_row_tasks):
     assert sorted(got.select(*columns).collect()) == sorted(want.select(*columns).collect())
 
 
-def test_rank_of_nulls(spark, one_row_tasks):
+def test_rank_of_nulls(spark):
     df = spark.createDataFrame([(1, None), (2, 3), (3, None), (4, 1)], "id int, v int")
     got = {r.id: r["rank"] for r in GlobalOrder(df).rank("v", "rank", "id").df.collect()}
     assert got == {2: 1, 4: 2, 1: 3, 3: 3}
 
 
-def test_next_in_group(spark, one_row_tasks):
+def test_next_in_group(spark):
     df = table(spark, 300)
     got = GlobalOrder(df).next_in_group(["v"], ["id"], "w", "after").df
     want = df.withColumn("after", F.lead("w").over(Window.partitionBy("v").orderBy("id")))
     columns = ["id", "after"]
     assert sorted(got.select(*columns).collect(), key=repr) == sorted(want.select(*columns).collect(), key=repr)
-
-
-def test_limit_decides(spark):
-    spark.conf.set(LIMIT_CONF, "10")
-    try:
-        assert GlobalOrder(table(spark, 10)).fits_one_task
-        assert not GlobalOrder(table(spark, 11)).fits_one_task
-    finally:
-        spark.conf.unset(LIMIT_CONF)
