@@ -6,8 +6,6 @@ only for the orders (or baskets) that a report shows.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,7 +76,10 @@ def basket_marks(per_product: DataFrame) -> DataFrame:
 
 # -- pairs bought together ---------------------------------------------------
 
-WIDE_ORDER = 100
+#: Products of an order that meet in one join key; wider orders are cut into parts.
+PART = 64
+#: Items whose pairs tell from what count on a pair can be among the best; no result depends on it.
+CHIEFS = 64
 
 
 def _item_entries(t: Retail) -> DataFrame:
@@ -111,40 +112,31 @@ def _pair_counts(pairs: DataFrame) -> DataFrame:
 
 
 def _pairs_within(entries: DataFrame) -> DataFrame:
-    a, b = _side(entries, "a"), _side(entries, "b")
-    return _pair_counts(
-        a.join(b, "order_id").where(F.col("product_id_a") < F.col("product_id_b"))
-    )
+    """How many line pairs of one order each item pair has.
 
-
-def _pairs_within_wide(entries: DataFrame) -> DataFrame:
-    """The same for wide orders, each order's pairs made by many tasks.
-
-    The products of an order are cut into ``cut`` parts on either side, and each pair
-    of parts is a join key of its own; a row is copied ``cut`` times.
+    The products of an order are cut into parts of about ``PART``, and each pair of
+    parts is a join key of its own, so an order of any width is paired by many
+    tasks; a row is copied once for each part.
     """
-    tasks = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = math.ceil(math.sqrt(4 * tasks))
-    part = F.pmod(F.xxhash64("product_id"), F.lit(cut)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(cut - 1)))
+    cut = F.ceil(F.col("different") / F.lit(PART)).cast("int")
+    part = F.pmod(F.xxhash64("product_id"), cut).cast("int")
+    every = F.explode(F.sequence(F.lit(0), cut - 1))
     a = _side(entries.withColumn("part_a", part).withColumn("part_b", every), "a", "part_a", "part_b")
     b = _side(entries.withColumn("part_b", part).withColumn("part_a", every), "b", "part_a", "part_b")
-    # Few rows make many pairs here: neither a broadcast nor merging small partitions
-    # would leave the work to more than one task, so both are ruled out.
-    keys = ["order_id", "part_a", "part_b"]
-    a, b = a.repartition(tasks, *keys).hint("merge"), b.repartition(tasks, *keys)
-    return _pair_counts(a.join(b, keys).where(F.col("product_id_a") < F.col("product_id_b")))
+    return _pair_counts(
+        a.join(b, ["order_id", "part_a", "part_b"]).where(F.col("product_id_a") < F.col("product_id_b"))
+    )
 
 
-def _possible_gains(broad: DataFrame) -> DataFrame:
-    """The most that wide orders can add to any pair with an item: item, gain.
+def _possible_counts(entries: DataFrame) -> DataFrame:
+    """The most line pairs that any pair with an item can have: item, bound.
 
-    With c(o, i) copies of item i in order o, a pair gains at most the sum over o of
+    With c(o, i) copies of item i in order o, a pair has at most the sum over o of
     c(o, a) * c(o, b). Two bounds follow, and the lower one is taken: c(o, b) is at
     most the order's largest count; and the sum is at most the product of the items'
     norms (Cauchy-Schwarz), of which the largest norm bounds the partner's.
     """
-    held = broad.groupBy("order_id", "item").agg(F.sum("copies").alias("copies"))
+    held = entries.groupBy("order_id", "item").agg(F.sum("copies").alias("copies"))
     most = held.groupBy("order_id").agg(F.max("copies").alias("most"))
     bounds = settle(
         held.join(most, "order_id")
@@ -158,64 +150,23 @@ def _possible_gains(broad: DataFrame) -> DataFrame:
     largest = bounds.agg(F.max("norm")).first()[0]
     # A little is added so that rounding never makes a bound too low.
     by_norm = F.col("norm") * F.lit(largest) * F.lit(1 + 1e-9) + 1
-    return bounds.select("item", F.least(F.col("by_order"), by_norm).alias("gain"))
+    return bounds.select("item", F.least(F.col("by_order"), by_norm).alias("bound"))
 
 
-CHIEFS = 64
-
-
-def top_pairs(t: Retail, n: int = 30, wide: int = WIDE_ORDER) -> DataFrame:
+def top_pairs(t: Retail, n: int = 30) -> DataFrame:
     """The ``n`` item pairs that most line pairs of one order hold: item_a, item_b, n.
 
-    Orders of up to ``wide`` products are paired directly. Wider ones are paired only
-    as far as a pair can still be among the best. ``least`` is what the n-th pair is
-    known to reach, from the direct counts and from the full counts of the items with
-    the highest possible gain. A pair then matters if
-
-    * both its items could reach ``least`` within wide orders: those are paired, or
-    * it was counted directly and could reach ``least`` with what wide orders add at
-      most: its share of the wide orders is looked up.
-
-    Both rules are bounds, so the result is exact.
+    The pairs of the items with the highest bounds are counted first; the n-th of
+    them has a count that every pair among the best reaches. Items whose bound is
+    below it are left out, the others are paired. The rule is a bound, so the result
+    is exact.
     """
     entries = settle(_item_entries(t), "entries")
-    counted = _pairs_within(entries.where(F.col("different") <= wide))
-    broad = entries.where(F.col("different") > wide)
     best = [F.desc("n"), F.col("item_a"), F.col("item_b")]
-    if not broad.head(1):
-        return counted.orderBy(*best).limit(n)
-
-    counted = settle(counted, "pairs")
-    gain = _possible_gains(broad)
-    chiefs = settle(gain.orderBy(F.desc("gain"), "item").limit(CHIEFS).select("item"), "chiefs")
-    among_chiefs = _pairs_within_wide(broad.join(F.broadcast(chiefs), "item", "left_semi"))
-    sure = counted.unionByName(among_chiefs).groupBy("item_a", "item_b").agg(F.sum("n").alias("n"))
-    leaders = sure.orderBy(F.desc("n")).select("n").take(n)  # at most n numbers
-    least = leaders[-1]["n"] if len(leaders) == n else 0
-
-    def gains(side: str) -> DataFrame:
-        return gain.select(F.col("item").alias(f"item_{side}"), F.col("gain").alias(f"gain_{side}"))
-
-    gain_a, gain_b = (F.coalesce(c, F.lit(0.0)) for c in ("gain_a", "gain_b"))
-    enough = max(least, 1)
-    known = settle(
-        counted.join(gains("a"), "item_a", "left")
-        .join(gains("b"), "item_b", "left")
-        .where(F.col("n") + F.least(gain_a, gain_b) >= least)
-        .select("item_a", "item_b", "n", ((gain_a >= enough) & (gain_b >= enough)).alias("both_live")),
-        "known",
-    )
-    looked_up = _pair_counts(
-        known.where(~F.col("both_live"))
-        .select("item_a", "item_b")
-        .join(_side(broad, "a"), "item_a")
-        .join(_side(broad, "b"), ["order_id", "item_b"])
-        .where(F.col("product_id_a") < F.col("product_id_b"))
-    )
-    live = gain.where(F.col("gain") >= enough).select("item")
-    among_live = _pairs_within_wide(broad.join(live, "item", "left_semi"))
-    # Pairs counted directly but not known here stay below `least`, with or without that part.
-    parts = known.drop("both_live").unionByName(looked_up).unionByName(among_live)
-    return (
-        parts.groupBy("item_a", "item_b").agg(F.sum("n").alias("n")).orderBy(*best).limit(n)
-    )
+    bounds = settle(_possible_counts(entries), "possible")
+    chiefs = settle(bounds.orderBy(F.desc("bound"), "item").limit(CHIEFS).select("item"), "chiefs")
+    among_chiefs = _pairs_within(entries.join(F.broadcast(chiefs), "item", "left_semi"))
+    leaders = among_chiefs.orderBy(F.desc("n")).select("n").take(n)  # at most n numbers
+    least = leaders[-1]["n"] if len(leaders) == n else 1
+    live = bounds.where(F.col("bound") >= least).select("item")
+    return _pairs_within(entries.join(live, "item", "left_semi")).orderBy(*best).limit(n)

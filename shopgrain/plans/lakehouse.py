@@ -14,7 +14,7 @@ from shopgrain.functions.columns import (
     percent,
     quotient,
 )
-from shopgrain.operators.baskets import WIDE_ORDER, top_pairs
+from shopgrain.operators.baskets import top_pairs
 from shopgrain.operators.global_order import GlobalOrder
 from shopgrain.operators.gold import with_gross
 from shopgrain.operators.rollups import (
@@ -354,9 +354,9 @@ def seasonality(t: Retail) -> DataFrame:
     )
 
 
-def cross_sell_pairs(t: Retail, n: int = 30, wide: int = WIDE_ORDER) -> DataFrame:
+def cross_sell_pairs(t: Retail, n: int = 30) -> DataFrame:
     """Products most often bought together, by name and category."""
-    top = top_pairs(t, n, wide)
+    top = top_pairs(t, n)
 
     def named(side: str) -> DataFrame:
         # An item is named by its lowest product, so the names are a key lookup.
