@@ -11,12 +11,14 @@ along a conversation (its turns' numbers, those sums, the tokens before a turn)
 a running sum over the sorted rows minus its value where the conversation begins,
 so a conversation of any length is spread over the sort's partitions.
 
-Conversations sorted by the numbers of the nodes they share are the tree's leaves
-from left to right. The first of those below a node emits the node, the last one
+Conversations sorted by the nodes at which they part from others are the tree's
+leaves from left to right. The first of those below a node emits the node, the last one
 ends it. A token may attend to the tokens of a node if its own place lies in the
 node's interval [emit_start, attended_until) and not before the token it attends
 to: ancestors and itself, nothing else. That is one interval a node, whatever
-the depth. The sort key holds 8 bytes for each turn that is shared.
+the depth. A conversation's sort key has 8 bytes for each node at which another one
+leaves it; those others have at least that many turns each, so with n turns in all
+no key has more than sqrt(2 n) entries.
 """
 
 from __future__ import annotations
@@ -212,22 +214,18 @@ def format_conversations(
     spots = settle(_along(settle(lengths, "lengths"), {"n_tokens": F.col("n_tokens")}), "spots")
     spots = spots.withColumn("position_start", F.col("run_n_tokens") - F.col("n_tokens"))
 
-    # Leaves from left to right: by the shared nodes, then by the first own one.
-    own = F.when(F.col("held_by") == 1, F.col("node"))
-    paths = spots.groupBy("head").agg(
-        F.array_sort(F.collect_list(F.when(F.col("held_by") > 1, F.struct("depth", "node")))).alias("shared"),
-        F.min(own).alias("own"),
-        F.min("node").alias("tree"),
+    # Leaves from left to right, by the nodes at which they part from others. The row
+    # before a node's first one is a row of its parent.
+    parents = steps.select((F.col("number") + 1).alias("node"), F.col("held_by").alias("parent_held_by"))
+    parting = (F.col("depth") == 0) | (F.col("held_by") < F.col("parent_held_by"))
+    partings = settle(nodes.join(parents, "node", "left").where(parting).select("node"), "partings")
+    paths = (
+        steps.join(partings, "node")
+        .groupBy("head")
+        .agg(F.array_sort(F.collect_list(F.struct("depth", "node"))).alias("nodes"))
+        .select(F.col("head").alias("leaf"), F.transform("nodes", lambda x: x["node"]).alias("path"))
     )
-    leaves = numbered(
-        paths.select(
-            F.col("head").alias("leaf"),
-            F.concat(F.transform("shared", lambda x: x["node"]), F.filter(F.array("own"), lambda x: x.isNotNull())).alias("path"),
-            "tree",
-        ),
-        [F.col("path"), F.col("leaf")],
-        "rank",
-    ).select("leaf", "rank")
+    leaves = numbered(paths, [F.col("path"), F.col("leaf")], "rank").select("leaf", "rank")
     leaves = settle(leaves, "leaves")
     ranked = settle(spots.join(leaves, F.col("head") == F.col("leaf")), "ranked")
     spans = settle(
