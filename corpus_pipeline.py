@@ -26,7 +26,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that most documents of their source hold; n_chars follows the text."""
-    freed = drop_boilerplate(docs.select(*COLUMNS), "doc_id", "source", "text")
+    freed = drop_boilerplate(docs.select(*COLUMNS), "source", "text")
     changed = F.col("n_dropped") > 0
     return freed.withColumns(
         {

@@ -4,8 +4,10 @@ For each site the pages that contain a line are divided by the site's pages;
 lines above ``max_ratio`` are boilerplate and leave every page of that site. A
 page counts once for a line, however often it holds it. Counts are combined
 before the shuffle, so a line on a third of all pages is one row per map task.
-Only the boilerplate lines are looked up again, by site and hash, and compared
-with a page's lines as text.
+
+A site has few boilerplate lines: each is on more than ``max_ratio`` of its pages,
+so there are at most 1 / ``max_ratio`` times as many as a page has lines on
+average. They are one row per site, and the pages meet them by site.
 """
 
 from __future__ import annotations
@@ -49,7 +51,6 @@ def boilerplate(
 
 def drop_boilerplate(
     pages: DataFrame,
-    page_id: str = "page_id",
     site: Column | str = "site",
     text: str = "text",
     pattern: str = TEXT_LINES,
@@ -67,51 +68,34 @@ def drop_boilerplate(
 
     Added columns: n_lines (that are not blank), n_dropped, and kept_text, with a
     null text left null. Null sites are one site of their own. Repeated rows are
-    pages of their own. Null, repeated and clashing ids do no harm: a page is
-    looked up by id and site together, where the lines to drop are the same. An
+    pages of their own. Ids play no part, so null and repeated ones do no harm. An
     empty table stays empty. All columns stay; one of the three names, if it is
     there already, is replaced. Names that begin with __bl_ are this function's own.
     """
     site = F.col(site) if isinstance(site, str) else site
-    hidden = {"__bl_id": F.col(page_id), "__bl_site": site, "__bl_text": F.col(text)}
+    hidden = {"__bl_site": site, "__bl_text": F.col(text)}
     rows = pages.drop(*hidden).withColumns(hidden)
-    bad = settle(
-        boilerplate(rows, F.col("__bl_site"), F.col("__bl_text"), pattern, max_ratio, min_pages).select(
-            F.col("site").alias("bad_site"), F.xxhash64("line").alias("bad_hash"), "line"
-        ),
-        "boilerplate",
-    )
-    held = rows.select(
-        F.col("__bl_id").alias("id"),
-        F.col("__bl_site").alias("of"),
-        F.explode(
-            F.array_distinct(F.transform(_lines(F.col("__bl_text"), pattern), lambda x: F.xxhash64(F.trim(x))))
-        ).alias("hash"),
-    )
-    found = (
-        held.join(bad, (F.col("hash") == F.col("bad_hash")) & F.col("of").eqNullSafe(F.col("bad_site")))
-        .groupBy(F.col("id").alias("__bl_of_id"), F.col("of").alias("__bl_of_site"))
-        .agg(F.collect_set("line").alias("__bl_bad"))
-    )
-    out = rows.join(
-        settle(found, "found"), F.col("__bl_id").eqNullSafe(F.col("__bl_of_id")) & F.col("__bl_site").eqNullSafe(F.col("__bl_of_site")), "left"
+    bad = boilerplate(rows, F.col("__bl_site"), F.col("__bl_text"), pattern, max_ratio, min_pages)
+    by_site = settle(
+        bad.groupBy(F.col("site").alias("__bl_of")).agg(F.collect_set("line").alias("__bl_bad")), "boilerplate"
     )
+    out = rows.join(by_site, F.col("__bl_site").eqNullSafe(F.col("__bl_of")), "left")
     lines = _lines(F.col("__bl_text"), pattern)
     out = out.withColumn(
         "__bl_kept",
         F.when(F.col("__bl_bad").isNull(), lines).otherwise(
             F.filter(lines, lambda x: ~F.array_contains(F.col("__bl_bad"), F.trim(x)))
         ),
-    )
+    ).withColumn("__bl_same", F.size("__bl_kept") == F.size(lines))
 
     def full(a: Column) -> Column:
         return F.size(F.filter(a, lambda x: F.trim(x) != "")).cast("long")
 
-    same = F.col("__bl_bad").isNull()
+    same = F.col("__bl_same")
     return out.withColumns(
         {
             "n_lines": full(lines),
-            "n_dropped": F.when(same, F.lit(0).cast("long")).otherwise(full(lines) - full(F.col("__bl_kept"))),
+            "n_dropped": F.when(same, F.lit(0).cast("long")).otherwise((F.size(lines) - F.size("__bl_kept")).cast("long")),
             "kept_text": F.when(same, F.col("__bl_text")).otherwise(F.array_join("__bl_kept", joiner)),
         }
-    ).drop(*hidden, "__bl_kept", "__bl_of_id", "__bl_of_site", "__bl_bad")
+    ).drop(*hidden, "__bl_kept", "__bl_same", "__bl_of", "__bl_bad")

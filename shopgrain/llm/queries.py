@@ -72,7 +72,7 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All pages; the digest is that of the text that stays."""
     pages = line_dedup.drop_boilerplate(
-        _table(spark, folder, "pages"), "page_id", line_dedup.host(F.col("url")), "html", line_dedup.HTML_LINES
+        _table(spark, folder, "pages"), line_dedup.host(F.col("url")), "html", line_dedup.HTML_LINES
     )
     return pages.select(
         "page_id",
@@ -127,13 +127,13 @@ FROM written GROUP BY conv_id
 """,
     "op7_top_inner_products": """
 WITH points AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS point
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS point
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND list_bool_and(list_transform(embedding, x -> x IS NOT NULL AND isfinite(x)))
+      AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
 ), scored AS (
     SELECT q.vec_id AS query_id, c.vec_id,
-           CAST(list_sum(list_transform(list_zip(q.point, c.point), p -> p[1] * p[2])) AS BIGINT) AS score
+           CAST(list_sum(list_transform(list_zip(q.point, c.point), lambda p: p[1] * p[2])) AS BIGINT) AS score
     FROM points q JOIN points c ON q.vec_id <> c.vec_id AND len(q.point) = len(c.point)
     WHERE q.vec_id % 20 = 0
 )

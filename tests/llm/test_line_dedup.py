@@ -33,7 +33,7 @@ def test_lines_of_sites(spark):
     rows += [(300 + n, "Menu\nx", None, None) for n in range(6)]
     rows += [(400, None, "en", "a"), (401, "", "en", "a"), (402, "long " * 50_000 + "\nMenu", "en", "a")]
     rows += [(7, "Menu\nMenu\nnot of a", "en", "b"), (500, "Menu\nrepeated", "en", "a"), (500, "Menu\nrepeated", "en", "a")]
-    got = drop_boilerplate(documents(spark, rows, clash=True), "doc_id", "source", "text")
+    got = drop_boilerplate(documents(spark, rows, clash=True), "source", "text")
     assert rows_of(got, "doc_id", "n_lines", "n_dropped", "kept_text") == brute(rows)
     assert {"line", "site", "hash", "id"} <= set(got.columns)
     assert {r.id for r in got.collect()} == {"x"}
@@ -41,7 +41,7 @@ def test_lines_of_sites(spark):
 
 def test_a_ratio_is_exceeded_not_reached(spark):
     rows = [(n, f"half {n % 2}\n{n}", "en", "a") for n in range(10)]
-    assert rows_of(drop_boilerplate(documents(spark, rows), "doc_id", "source", "text"), "n_dropped") == [(0,)] * 10
+    assert rows_of(drop_boilerplate(documents(spark, rows), "source", "text"), "n_dropped") == [(0,)] * 10
 
 
 def test_hosts(spark):
@@ -52,9 +52,9 @@ def test_hosts(spark):
 
 def test_html(spark):
     pages = spark.createDataFrame([(n, f"<p>Menu</p>\n<b>{n}</b>") for n in range(6)], "page_id int, html string")
-    got = drop_boilerplate(pages, "page_id", F.lit("h"), "html", HTML_LINES)
+    got = drop_boilerplate(pages, F.lit("h"), "html", HTML_LINES)
     assert rows_of(got, "page_id", "n_lines", "n_dropped", "kept_text")[2] == (2, 2, 1, "\n2\n")
 
 
 def test_empty_table(spark):
-    assert drop_boilerplate(documents(spark, []), "doc_id", "source", "text").collect() == []
+    assert drop_boilerplate(documents(spark, []), "source", "text").collect() == []
