@@ -80,8 +80,8 @@ def drop_boilerplate(
         bad.groupBy(F.col("site").alias("__bl_of")).agg(F.collect_set("line").alias("__bl_bad")), "boilerplate"
     )
     out = rows.join(by_site, F.col("__bl_site").eqNullSafe(F.col("__bl_of")), "left")
-    lines = _lines(F.col("__bl_text"), pattern)
-    out = out.withColumn(
+    lines = F.col("__bl_lines")
+    out = out.withColumn("__bl_lines", _lines(F.col("__bl_text"), pattern)).withColumn(
         "__bl_kept",
         F.when(F.col("__bl_bad").isNull(), lines).otherwise(
             F.filter(lines, lambda x: ~F.array_contains(F.col("__bl_bad"), F.trim(x)))
@@ -98,4 +98,4 @@ def drop_boilerplate(
             "n_dropped": F.when(same, F.lit(0).cast("long")).otherwise((F.size(lines) - F.size("__bl_kept")).cast("long")),
             "kept_text": F.when(same, F.col("__bl_text")).otherwise(F.array_join("__bl_kept", joiner)),
         }
-    ).drop(*hidden, "__bl_kept", "__bl_same", "__bl_of", "__bl_bad")
+    ).drop(*hidden, "__bl_lines", "__bl_kept", "__bl_same", "__bl_of", "__bl_bad")
