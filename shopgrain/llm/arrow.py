@@ -3,12 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 ROWS = 512
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: int = 8 << 20) -> Iterator[None]:
+    """Jobs started inside send texts to Python in batches of ``size`` bytes: several are held at a time, on both sides."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
@@ -19,7 +33,7 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.R
         pa.default_memory_pool().release_unused()
 
 
-def by_bytes(batches: Iterator[pa.RecordBatch], column: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def by_bytes(batches: Iterator[pa.RecordBatch], column: str, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``size`` bytes of a text column; a longer text is alone."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

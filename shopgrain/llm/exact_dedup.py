@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopgrain.llm.arrow import slices, text_bytes
+from shopgrain.llm.arrow import slices, small_batches, text_bytes
 from shopgrain.sources.scratch import settle
 
 BLOCK = 4096
@@ -133,20 +133,18 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """
     wanted = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     id_type = wanted.schema["doc_id"].dataType.simpleString()
-    names = settle(
+    named = (
         wanted.select("text")
         .mapInArrow(_distinct(hash_bits), "hash long, block binary")
         .repartition("hash")
         .sortWithinPartitions("hash", "block")
-        .mapInArrow(_named, "hash long, name long, several boolean, block binary"),
-        "names",
+        .mapInArrow(_named, "hash long, name long, several boolean, block binary")
     )
-    rows = settle(
-        wanted.mapInArrow(
-            _occurrences(hash_bits), f"row long, doc_id {id_type}, text_sha256 string, hashes array<long>"
-        ),
-        "rows",
+    occurring = wanted.mapInArrow(
+        _occurrences(hash_bits), f"row long, doc_id {id_type}, text_sha256 string, hashes array<long>"
     )
+    with small_batches(docs.sparkSession):
+        names, rows = settle(named, "names"), settle(occurring, "rows")
     spots = rows.select("row", F.posexplode("hashes").alias("spot", "hash"))
     found = spots.join(names.where("not several").select("hash", "name"), "hash").select("row", "spot", "name")
     if not names.where("several").isEmpty():

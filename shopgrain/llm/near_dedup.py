@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopgrain.llm.arrow import lists, slices, text_bytes
+from shopgrain.llm.arrow import lists, slices, small_batches, text_bytes
 from shopgrain.llm.graph import components
 from shopgrain.llm.sieve import sieved
 from shopgrain.llm.text import mix, shingles, word_hashes
@@ -200,13 +200,14 @@ def near_duplicates(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash")
     )
     id_type = wanted.schema["doc_id"].dataType.simpleString()
-    marks = settle(
-        wanted.mapInArrow(
-            _sketched,
-            f"doc_id {id_type}, text_hash long, n_shingles long, sig_a long, sig_b long, bands array<long>",
-        ),
-        "sketches",
-    )
+    with small_batches(docs.sparkSession):
+        marks = settle(
+            wanted.mapInArrow(
+                _sketched,
+                f"doc_id {id_type}, text_hash long, n_shingles long, sig_a long, sig_b long, bands array<long>",
+            ),
+            "sketches",
+        )
     classes = settle(
         marks.where("n_shingles > 0")
         .groupBy("sig_a", "sig_b")
@@ -230,7 +231,8 @@ def near_duplicates(
         "candidates",
     )
     groups = settle(components(candidates), "groups").toDF("class", "group")
-    linked = settle(_verify(wanted, classes, groups, share), "links")
+    with small_batches(docs.sparkSession):
+        linked = settle(_verify(wanted, classes, groups, share), "links")
     reached = components(linked).toDF("class", "component")
     named = settle(
         classes.join(reached, "class", "left").withColumn("component", F.coalesce("component", "class")), "named"

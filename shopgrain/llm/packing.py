@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopgrain.llm.arrow import by_bytes, lists
+from shopgrain.llm.arrow import by_bytes, lists, small_batches
 from shopgrain.llm.vocabulary import (
     WordTable,
     read_vocabulary,
@@ -172,9 +172,9 @@ def pack(
     wanted = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     shared = spark.sparkContext.broadcast(read_vocabulary(vocabulary or vocabulary_path(VOCABULARY)))
     kind = _PIECE.format(id=wanted.schema["doc_id"].dataType.simpleString())
-    pieces = settle(
-        wanted.mapInArrow(_cut(shared, window, end_id, with_ids), kind + (", ids array<int>" if with_ids else "")), "pieces"
-    )
+    cut = wanted.mapInArrow(_cut(shared, window, end_id, with_ids), kind + (", ids array<int>" if with_ids else ""))
+    with small_batches(spark):
+        pieces = settle(cut, "pieces")
     short = pieces.drop("ids").where(F.col("length") < window)
     shards = -(-short.count() // SHARD) or 1
     packed = settle(

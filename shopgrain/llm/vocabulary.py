@@ -11,7 +11,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words that a process keeps between batches; others are worked out again in the next batch that holds them.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
+ENCODED = 2_000
 
 #: Signs that a tokenizer of words splits from a letter or digit before them.
 _SIGNS = r"([\pL0-9])([.,;:!?%$#*&)]+)"
@@ -102,7 +103,11 @@ def token_table(json_text: bytes) -> WordTable:
         tokenizer = Tokenizer.from_str(json_text.decode())
 
         def ids(words: list[bytes]) -> list[list[int]]:
-            return [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+            out: list[list[int]] = []
+            for at in range(0, len(words), ENCODED):  # what the tokenizer returns is far larger than the ids
+                part = [w.decode() for w in words[at : at + ENCODED]]
+                out += [e.ids for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            return out
 
         _tables.clear()
         table = _tables[json_text] = WordTable(ids)
