@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -204,7 +205,8 @@ class Lattice:
                 b = tokens[j][1]
                 if held > 19:
                     break
-                mail = any(a < s < b - 1 for s in signs)
+                sign = bisect_right(signs, a)
+                mail = sign < len(signs) and signs[sign] < b - 1
                 if not (text[b - 1].isalnum() and (held >= 7 or mail or held >= 4 and j - i == 6)):
                     continue
                 self.spans.append((i, j + 1))
