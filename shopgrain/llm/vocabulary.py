@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words that a process keeps between batches; others are worked out again in the next batch that holds them.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 400_000
 ENCODED = 2_000
 
 #: Signs that a tokenizer of words splits from a letter or digit before them.
