@@ -36,11 +36,11 @@ def _repeated(entries: Column, field: str) -> Column:
 def basket_lists(t: Retail, chosen: DataFrame) -> DataFrame:
     """Aligned product and category lists, sorted by name, of the few ``chosen`` orders.
 
-    ``chosen`` is a report's limited rows: the sales are filtered against it where
-    they are scanned.
+    ``chosen`` is a settled table of a report's rows, so Spark knows its size and
+    filters the sales against it where they are scanned, as long as it is small.
     """
     entries = (
-        t.sales.join(F.broadcast(chosen.select("order_id")), "order_id", "left_semi")
+        t.sales.join(chosen.select("order_id"), "order_id", "left_semi")
         .groupBy("order_id", "product_id")
         .agg(F.count(F.lit(1)).alias("copies"))
         .join(t.products.select("product_id", "product_name", "category"), "product_id")

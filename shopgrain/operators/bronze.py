@@ -86,16 +86,26 @@ def bronze_generic(raw: DataFrame, ingested_at: str | None = None) -> DataFrame:
 def data_quality(df: DataFrame) -> DataFrame:
     """One row: record count, nulls per column, row groups that occur twice or more.
 
-    Counting equal rows first gives all measures from one shuffle, and copies
-    collapse before they are moved.
+    Nulls are counted where rows are read. For copies, two hashes of each row are
+    grouped; only rows whose hashes repeat are moved and compared as a whole.
     """
-    n = F.col("__copies")
-    distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
-    return distinct.agg(
-        F.coalesce(F.sum(n), F.lit(0)).alias("total_records"),
-        *[
-            F.coalesce(F.sum(F.when(F.col(c).isNull(), n)), F.lit(0)).alias(f"nulls_{c}")
-            for c in df.columns
-        ],
-        F.count(F.when(n > 1, 1)).alias("duplicates"),
-    ).withColumn("schema", F.lit(df.schema.simpleString()))
+    columns, one = df.columns, F.lit(1)
+    counted = df.agg(
+        F.count(one).alias("total_records"),
+        *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in columns],
+        F.lit(0).cast("long").alias("duplicates"),
+    )
+    marks = {"__mark_a": F.xxhash64(*columns), "__mark_b": F.xxhash64(F.lit(7), *columns)}
+    marked = df.withColumns(marks)
+    repeated = marked.groupBy(*marks).agg(F.count(one).alias("__n")).where("__n > 1").select(*marks)
+    groups = marked.join(repeated, [*marks], "left_semi").groupBy(*columns).agg(F.count(one).alias("__n"))
+    zero = F.lit(0).cast("long")
+    found = groups.agg(
+        zero.alias("total_records"),
+        *[zero.alias(f"nulls_{c}") for c in columns],
+        F.count_if(F.col("__n") > 1).alias("duplicates"),
+    )
+    both = counted.unionByName(found)
+    return both.agg(*[F.sum(c).alias(c) for c in both.columns]).withColumn(
+        "schema", F.lit(df.schema.simpleString())
+    )

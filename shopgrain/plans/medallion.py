@@ -118,8 +118,10 @@ class Medallion:
                 derived.__dict__["daily_measures"] = self.table("gold", "daily_sales_summary")
             write_layer(getattr(derived, name), self.root, "gold", name)
 
-    def analytics(self, csv_folder: str | None = None) -> tuple[dict[str, DataFrame], dict[str, str]]:
-        return run_all(self.gold_tables(), csv_folder=csv_folder)
+    def analytics(
+        self, csv_folder: str | None = None, names: Sequence[str] | None = None
+    ) -> tuple[dict[str, DataFrame], dict[str, str]]:
+        return run_all(self.gold_tables(), names, csv_folder)
 
     def ml(self, **options) -> tuple[DataFrame, dict[str, str]]:
         retail = self.retail()

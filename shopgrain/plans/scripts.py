@@ -136,7 +136,7 @@ def product_combinations(t: Retail, n: int = 20) -> DataFrame:
     top = settle(top, "top")
     return (
         basket_lists(t, top)
-        .join(F.broadcast(top.select("order_id", "order_count")), "order_id")
+        .join(top.select("order_id", "order_count"), "order_id")
         .orderBy(F.desc("order_count"), "order_id")
         .select("products", "categories", "order_count")
     )

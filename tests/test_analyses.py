@@ -249,7 +249,8 @@ def test_layers_end_to_end(spark, tmp_path):
     assert g.customer_analytics.agg(F.sum("lifetime_value")).first()[0] == revenue
     classes = extended.abc_summary(g).agg(F.sum("total_revenue")).first()[0]
     assert classes == revenue
-    results, failed = lake.analytics()
+    names = ("rfm_segmentation", "employee_performance", "monthly_revenue", "ath_cross_sell_pairs", "executive_kpis")
+    results, failed = lake.analytics(names=names)
     assert not failed
     for name in ("rfm_segmentation", "employee_performance", "monthly_revenue"):
         assert results[name].count() > 0
