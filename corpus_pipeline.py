@@ -16,6 +16,8 @@ from shopgrain.llm.packing import pack
 from shopgrain.sources.scratch import settle, shared_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Documents of this similarity or more, in percent, are one to the near_dedup stage.
+NEAR_SHARE = 80
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +43,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Of rows that share that doc_id, one row with the smallest hash of the text stays.
     """
-    found = near_duplicates(docs)
+    found = near_duplicates(docs, share=NEAR_SHARE)
     own = F.col("component").isNull()  # an empty set is its document's own
     heads = settle(
         found.where("kept")

@@ -7,6 +7,7 @@ import pytest
 import corpus_pipeline
 from corpus_pipeline import COLUMNS
 from tests.llm.test_near_dedup import brute as near_groups
+from tests.llm.test_near_dedup import word_sets
 from tests.llm.tools import documents
 
 FOLDER = "/root/testdata/sf0.001"
@@ -75,3 +76,17 @@ def test_whole(spark):
     pieces = {(r.doc_id, r.start, r.length, r.ids_crc32) for r in whole.collect()}
     staged = {(r.doc_id, r.start, r.length, r.ids_crc32) for r in corpus_pipeline.packed(spark, docs, FOLDER).collect()}
     assert pieces == staged
+
+
+def test_pairs_at_four_fifths_are_one(spark):
+    rng = random.Random(8)
+    rows = []
+    for n in range(40):  # one word changed of 40 to 69 leaves 0.756 to 0.857 of the shingles
+        words = [rng.choice("abcdefghijklmnopqrstuvwxyz") + str(rng.randrange(300)) for _ in range(40 + n % 30)]
+        rows += [(2 * n, " ".join(words)), (2 * n + 1, " ".join([*words[:20], "other", *words[21:]]))]
+    sets = {d: word_sets(t) for d, t in rows}
+    like = {d: len(sets[d] & sets[d + 1]) / len(sets[d] | sets[d + 1]) for d in range(0, 80, 2)}
+    gone = {d + 1 for d, x in like.items() if x >= 0.8}
+    assert sum(0.8 <= x < 0.85 for x in like.values()) > 10 and len(gone) < 40
+    got = corpus_pipeline.one_of_each_group(spark, documents(spark, rows), "")
+    assert {r.doc_id for r in got.collect()} == set(sets) - gone
