@@ -18,6 +18,8 @@ from shopgrain.sources.scratch import settle, shared_folder
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Documents of this similarity or more, in percent, are one to the near_dedup stage.
 NEAR_SHARE = 80
+#: A source's line is boilerplate above this share of its different texts, from 20 texts on.
+COMMON_LINE = 0.05
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +29,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that most documents of their source hold; n_chars follows the text."""
-    freed = drop_boilerplate(docs.select(*COLUMNS), "source", "text")
+    """All documents, without the lines that their source repeats; n_chars follows the text."""
+    freed = drop_boilerplate(docs.select(*COLUMNS), "source", "text", common=COMMON_LINE)
     changed = F.col("n_dropped") > 0
     return freed.withColumns(
         {

@@ -8,6 +8,11 @@ before the shuffle, so a line on a third of all pages is one row per map task.
 A site has few boilerplate lines: each is on more than ``max_ratio`` of its pages,
 so there are at most 1 / ``max_ratio`` times as many as a page has lines on
 average. They are one row per site, and the pages meet them by site.
+
+Large sites, such as the sources of a corpus, repeat lines on a small share of
+their pages. For them there is a second, lower bar, ``common``: a line above that
+share goes if it is also on ``common_pages`` pages or more. There copies of a text
+count once, or a page that was copied often would lose its own lines.
 """
 
 from __future__ import annotations
@@ -19,6 +24,7 @@ from shopgrain.sources.scratch import settle
 
 MAX_RATIO = 0.5
 MIN_PAGES = 5
+COMMON_PAGES = 20
 TEXT_LINES = r"\r\n|\r|\n"
 HTML_LINES = r"(?:<[^>]*>|[\r\n])+"
 
@@ -49,6 +55,48 @@ def boilerplate(
     return held.join(totals, F.col("site").eqNullSafe(F.col("of"))).where(F.col("pages") > max_ratio * F.col("site_pages")).drop("of")
 
 
+def common_lines(
+    pages: DataFrame, site: Column, text: Column, pattern: str, max_ratio: float, min_pages: int, common: float, common_pages: int
+) -> DataFrame:
+    """site, line, pages, site_pages of the lines above either bar; all counts are of different texts.
+
+    Rows are counted first, as in ``boilerplate``: no line has more texts than rows.
+    Only the lines that pass by their rows are counted again by texts, with a site's
+    lines in one row.
+    """
+    rows = pages.select(site.alias("site"), text.alias("text"), F.xxhash64(text).alias("hash"))
+    totals = settle(
+        rows.select("site", "hash").distinct().groupBy("site").agg(F.count(F.lit(1)).alias("site_pages")), "sites"
+    ).withColumnRenamed("site", "of")
+    most = F.col("pages") > max_ratio * F.col("site_pages")
+    many = (F.col("pages") > common * F.col("site_pages")) & (F.col("pages") >= common_pages)
+    above = (F.col("site_pages") >= min_pages) & (most | many)
+    lines = F.array_distinct(F.transform(_lines(F.col("text"), pattern), F.trim))
+    held = settle(
+        rows.select("site", F.explode(lines).alias("line"))
+        .where("line <> ''")
+        .groupBy("site", "line")
+        .agg(F.count(F.lit(1)).alias("pages"))
+        .where(F.col("pages") > min(max_ratio * min_pages, common_pages - 1)),
+        "lines",
+    )
+    maybe = settle(
+        held.join(totals, F.col("site").eqNullSafe(F.col("of")))
+        .where(above)
+        .groupBy(F.col("site").alias("of"))
+        .agg(F.collect_set("line").alias("maybe")),
+        "maybe",
+    )
+    texts = (
+        rows.join(maybe, F.col("site").eqNullSafe(F.col("of")))
+        .select("site", "hash", F.explode(F.array_intersect(lines, F.col("maybe"))).alias("line"))
+        .distinct()
+        .groupBy("site", "line")
+        .agg(F.count(F.lit(1)).alias("pages"))
+    )
+    return texts.join(totals, F.col("site").eqNullSafe(F.col("of"))).where(above).drop("of")
+
+
 def drop_boilerplate(
     pages: DataFrame,
     site: Column | str = "site",
@@ -57,12 +105,16 @@ def drop_boilerplate(
     max_ratio: float = MAX_RATIO,
     min_pages: int = MIN_PAGES,
     joiner: str = "\n",
+    common: float | None = None,
+    common_pages: int = COMMON_PAGES,
 ) -> DataFrame:
     """``pages`` with the text freed of its site's boilerplate lines; every row stays.
 
     ``pattern`` separates lines; they are compared without the spaces around
     them, and blank ones never count. Sites of fewer than ``min_pages`` pages
-    keep all lines, since there a ratio says nothing. A page from which no line
+    keep all lines, since there a ratio says nothing. With ``common``, lines above
+    that ratio go too if ``common_pages`` pages or more hold them, and all ratios are
+    of different texts instead of rows. A page from which no line
     goes keeps its text as it is; else the lines that stay, blank ones included,
     are joined with ``joiner``.
 
@@ -75,7 +127,8 @@ def drop_boilerplate(
     site = F.col(site) if isinstance(site, str) else site
     hidden = {"__bl_site": site, "__bl_text": F.col(text)}
     rows = pages.drop(*hidden).withColumns(hidden)
-    bad = boilerplate(rows, F.col("__bl_site"), F.col("__bl_text"), pattern, max_ratio, min_pages)
+    bars = (rows, F.col("__bl_site"), F.col("__bl_text"), pattern, max_ratio, min_pages)
+    bad = boilerplate(*bars) if common is None else common_lines(*bars, common, common_pages)
     by_site = settle(
         bad.groupBy(F.col("site").alias("__bl_of")).agg(F.collect_set("line").alias("__bl_bad")), "boilerplate"
     )

@@ -90,3 +90,15 @@ def test_pairs_at_four_fifths_are_one(spark):
     assert sum(0.8 <= x < 0.85 for x in like.values()) > 10 and len(gone) < 40
     got = corpus_pipeline.one_of_each_group(spark, documents(spark, rows), "")
     assert {r.doc_id for r in got.collect()} == set(sets) - gone
+
+
+def test_a_line_in_a_tenth_of_a_large_source_goes(spark):
+    often = "Subscribe to our letter for more"
+    rows = [(n, f"own {n}\n{often}" if n % 10 == 0 else f"own {n}\nmore {n}", "en", "big") for n in range(400)]
+    rows += [(1000 + n, "copied whole\nin many rows", "en", "big") for n in range(200)]  # one text
+    rows += [(2000 + n, f"own {n}\n" + ("rare" if n < 19 else f"{n}"), "en", "mid") for n in range(100)]  # 19 are too few
+    rows += [(3000 + n, f"own {n}\n" + ("seldom" if n % 25 == 0 else f"{n}"), "en", "huge") for n in range(1000)]  # 4 %
+    got = {r.doc_id: r for r in corpus_pipeline.site_lines(spark, documents(spark, rows), "").collect()}
+    want = {d: t.replace(f"\n{often}", "") for d, t, *_ in rows}
+    assert {d: r.text for d, r in got.items()} == want
+    assert all(r.n_chars == len(r.text) for r in got.values())
