@@ -6,7 +6,13 @@ and the softmax sees their mean over the whole text. The model is trained by
 stochastic gradient descent in numpy on a bounded sample of labelled rows: about
 ``PER_LANGUAGE`` for each of the ``LANGUAGES`` most frequent labels, none longer
 than ``LONGEST`` bytes. A part of the sample is kept back to calibrate the scores
-by a temperature, and to set the score below which a prediction is rejected.
+by a temperature, and to set the bars below which a prediction is rejected.
+
+A softmax over few languages is sure of any text, so there are two bars. One is on
+the score; where the kept-back rows are surer, it stays halfway between sure and
+even. The other is on familiarity: the share of a text's subwords that training
+met in the predicted language, as if ``USUAL_SUBWORDS`` more were as usual there.
+It lies under the kept-back rows of that language, the further the fewer they are.
 
 Since the mean and the softmax's weights are both linear, each bucket's share in
 every class is worked out once, and a text's class scores are sums of table rows.
@@ -30,7 +36,7 @@ from shopgrain.llm.text import parts
 BUCKETS, WIDTH, SIZES = 1 << 16, 16, (2, 3, 4)
 PER_LANGUAGE, LANGUAGES, LONGEST = 800, 100, 50_000
 EPOCHS, RATE, SEED = 6, 4.0, 11
-REJECTED_SHARE, SUREST_REJECTED = 0.001, 0.4
+REJECTED_SHARE, USUAL_SUBWORDS, FAMILIAR_MARGIN = 0.001, 50, 0.02
 
 _SPACE = 0x20
 _LETTERS = np.full(256, _SPACE, np.uint8)
@@ -79,21 +85,41 @@ def has_letter(text: str | None) -> bool:
 @dataclass
 class Model:
     languages: list[str]
-    table: np.ndarray  # each bucket's share in every class, and 1 to count it; the last row is 0
+    table: np.ndarray  # each bucket's share in every class, whether it was met there, and 1 to count it; the last row is 0
     bias: np.ndarray
+    usual: np.ndarray  # each class's share of met subwords
+    unfamiliar_below: np.ndarray
     temperature: float = 1.0
     reject_below: float = 0.0
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         """Calibrated probabilities, a row per text; the text is lower-cased UTF-8."""
-        sums = np.zeros((len(texts), len(self.languages) + 1))
-        for bundle in parts(texts, (8 << 20) // (len(self.languages) + 4)):
+        return self._softmax(self._means(self._sums(texts)))
+
+    def judged(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The best class, its calibrated probability, and whether the text is rejected, for each text."""
+        sums = self._sums(texts)
+        chance = self._softmax(self._means(sums))
+        best, top = chance.argmax(axis=1), chance.max(axis=1)
+        met = sums[np.arange(len(texts)), len(self.languages) + best]
+        strange = self.familiarity(met, sums[:, -1], best) < self.unfamiliar_below[best]
+        return best, top, strange | (top < self.reject_below)
+
+    def familiarity(self, met: np.ndarray, subwords: np.ndarray, label: np.ndarray) -> np.ndarray:
+        return (met + USUAL_SUBWORDS * self.usual[label]) / (subwords + USUAL_SUBWORDS)
+
+    def _means(self, sums: np.ndarray) -> np.ndarray:
+        return sums[:, : len(self.languages)] / np.maximum(sums[:, -1:], 1)
+
+    def _sums(self, texts: list[bytes]) -> np.ndarray:
+        sums = np.zeros((len(texts), self.table.shape[1]))
+        for bundle in parts(texts, (8 << 20) // (self.table.shape[1] + 3)):
             data = _laid_out([t for _, t in bundle])
             starts = np.cumsum([0] + [len(t) + 1 for _, t in bundle[:-1]])
             rows = np.array([r for r, _ in bundle])
             for bucket in subwords(data):
                 np.add.at(sums, rows, np.add.reduceat(self.table[bucket], starts, axis=0))
-        return self._softmax(sums[:, :-1] / np.maximum(sums[:, -1:], 1))
+        return sums
 
     def _softmax(self, means: np.ndarray) -> np.ndarray:
         logits = (means + self.bias) / self.temperature
@@ -114,13 +140,13 @@ def train(texts: list[bytes], labels: list[str], epochs: int = EPOCHS, rate: flo
         found, counts = np.unique(np.concatenate(list(subwords(_laid_out([text])))), return_counts=True)
         counts = counts[found < BUCKETS]
         if len(counts):
-            rows.append((found[: len(counts)], (counts / counts.sum()).astype(np.float32), of[label]))
+            rows.append((found[: len(counts)], (counts / counts.sum()).astype(np.float32), of[label], int(counts.sum())))
     kept_back = [r for i, r in enumerate(rows) if i % 5 == 4]
     used = [r for i, r in enumerate(rows) if i % 5 != 4]
     steps, step = max(1, epochs * len(used)), 0
     for _ in range(epochs):
         for k in random.permutation(len(used)):
-            found, share, label = used[k]
+            found, share, label, _ = used[k]
             speed = rate * (1 - step / steps)
             step += 1
             mean = share @ vectors[found]
@@ -132,11 +158,15 @@ def train(texts: list[bytes], labels: list[str], epochs: int = EPOCHS, rate: flo
             weights -= speed * np.outer(mean, wrong)
             bias -= 0.01 * speed * wrong
             vectors[found] -= speed * share[:, None] * back
-    table = np.zeros((BUCKETS + 1, len(languages) + 1), np.float32)
-    table[:BUCKETS, :-1] = vectors[:BUCKETS] @ weights
+    n = len(languages)
+    table = np.zeros((BUCKETS + 1, 2 * n + 1), np.float32)
+    table[:BUCKETS, :n] = vectors[:BUCKETS] @ weights
+    for found, _, label, _ in used:
+        table[found, n + label] = 1
     table[:BUCKETS, -1] = 1
-    model = Model(languages, table, bias.astype(np.float64))
+    model = Model(languages, table, bias.astype(np.float64), np.ones(n), np.zeros(n))
     _calibrate(model, kept_back or used)
+    _familiarize(model, kept_back)
     return model
 
 
@@ -144,8 +174,8 @@ def _calibrate(model: Model, rows: list) -> None:
     """The temperature of the best likelihood, and the score under which almost none of ``rows`` falls."""
     if not rows:
         return
-    means = np.array([share @ model.table[found, :-1] for found, share, _ in rows])
-    labels = np.array([label for *_, label in rows])
+    means = np.array([share @ model.table[found, : len(model.languages)] for found, share, *_ in rows])
+    labels = np.array([label for _, _, label, _ in rows])
     best = None
     for temperature in np.geomspace(0.05, 5, 60):
         model.temperature = float(temperature)
@@ -154,7 +184,24 @@ def _calibrate(model: Model, rows: list) -> None:
         if best is None or loss < best[0]:
             best = (loss, model.temperature, float(np.quantile(chance.max(axis=1), REJECTED_SHARE)))
     model.temperature = best[1]
-    model.reject_below = min(best[2], SUREST_REJECTED)
+    model.reject_below = min(best[2], (1 + 1 / len(model.languages)) / 2)
+
+
+def _familiarize(model: Model, rows: list) -> None:
+    """Each language's usual share of met subwords and its bar, from the rows kept back.
+
+    A new row is less familiar than all of n rows with the chance 1 / (n + 1); by so
+    much the bar is lowered. A language without kept-back rows has no bar.
+    """
+    n = len(model.languages)
+    labels = np.array([label for _, _, label, _ in rows], int)
+    subwords = np.array([size for *_, size in rows], float)
+    met = np.array([size * (share @ model.table[found, n + label]) for found, share, label, size in rows])
+    for label in np.unique(labels):
+        own = labels == label
+        model.usual[label] = met[own].sum() / subwords[own].sum()
+        least = np.quantile(model.familiarity(met[own], subwords[own], labels[own]), REJECTED_SHARE)
+        model.unfamiliar_below[label] = least - FAMILIAR_MARGIN - 1 / (own.sum() + 1)
 
 
 def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
@@ -198,10 +245,9 @@ def _predicted(model, keep: list[str]):
             clear = [has_letter(x) for x in texts.to_pylist()]
             names, scores, rejected = ["und"] * len(clear), [0.0] * len(clear), [True] * len(clear)
             if known is not None:
-                chance = known.scores(_lower(texts))
-                for i, (best, top) in enumerate(zip(chance.argmax(axis=1).tolist(), chance.max(axis=1).tolist())):
+                for i, (best, top, out) in enumerate(zip(*(x.tolist() for x in known.judged(_lower(texts))))):
                     if clear[i]:
-                        names[i], scores[i], rejected[i] = known.languages[best], top, top < known.reject_below
+                        names[i], scores[i], rejected[i] = known.languages[best], top, out
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in keep]
                 + [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
@@ -219,7 +265,8 @@ def identify(
     Result: the columns ``keep`` of ``docs``, held_out (crc32(doc_id as text) mod 4
     is 2; such rows are never learned from), lang_pred (a learned label; ``und``
     if the text is null or has no letter, or nothing could be learned), score (0 to
-    1; 0 for ``und``) and rejected (``und``, or a score below the calibrated bar).
+    1; 0 for ``und``) and rejected (``und``, or a score or a share of familiar
+    subwords below the calibrated bars).
     A null doc_id counts as the empty text. Repeated rows are predicted alike; of
     the sample they are one row. An empty table gives no rows.
     """

@@ -78,3 +78,22 @@ def test_a_text_in_parts_scores_as_a_whole(monkeypatch):
     cut = language.parts
     monkeypatch.setattr(language, "parts", lambda texts, size: cut(texts, 1000))
     assert np.allclose(model.scores([long, texts[0]]), whole, atol=1e-3)
+
+
+def test_what_was_not_learned_is_rejected(spark):
+    rng = random.Random(2)
+    for known in (["aa"], ["aa", "bb"]):
+        rows = [(n, text(rng, known[n % len(known)], 30), known[n % len(known)], None) for n in range(300)]
+        rows += [(1000 + n, text(rng, "cc", 30), None, None) for n in range(50)]
+        rows += [(2000 + n, " ".join("qxzjvwkpf"[rng.randrange(9):] * 2 for _ in range(15)), None, None) for n in range(50)]
+        got = identify(documents(spark, rows)).collect()
+        assert {r.doc_id for r in got if r.rejected} == {r[0] for r in rows if r[0] >= 1000}
+
+
+def test_a_given_language_without_labels_is_rejected(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    hidden = docs.selectExpr("doc_id", "text", "nullif(lang, 'es') AS lang")
+    for learned in (("de", "en", "fr"), ("en", "fr")):
+        got = identify(hidden.where(f"lang IS NULL OR lang IN {learned}"), keep=("doc_id", "lang")).collect()
+        assert np.mean([r.rejected for r in got if r.lang is None]) > 0.95
+        assert np.mean([r.rejected for r in got if r.lang is not None]) < 0.01
