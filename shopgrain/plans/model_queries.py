@@ -9,8 +9,7 @@ from shopgrain.plans import models
 from shopgrain.plans.features import customer_features, product_features
 from shopgrain.sources.retail import Retail
 
-# Small grids, searched with the same three folds; the full ones are the defaults of
-# the functions and take minutes for each model on one machine.
+# Small grids for tests of the training functions; no registered query uses them.
 SMALL_BOOSTED = {"maxIter": [10], "maxDepth": [3, 4], "stepSize": [0.1]}
 SMALL_FOREST = {"numTrees": [10], "maxDepth": [5], "minInstancesPerNode": [1, 3]}
 
@@ -25,15 +24,15 @@ class ModelQueries:
         return customer_features(t, self.as_of, self.categories)
 
     def train_churn(self, spark: SparkSession, t: Retail) -> DataFrame:
-        trained = models.train_churn(self._customers(t), SMALL_BOOSTED)
+        trained = models.train_churn(self._customers(t))
         return models.metrics_frame(spark, {"churn": trained.metrics, "importance": dict(trained.importances)})
 
     def train_ltv(self, spark: SparkSession, t: Retail) -> DataFrame:
-        trained = models.train_ltv(self._customers(t), SMALL_BOOSTED)
+        trained = models.train_ltv(self._customers(t))
         return models.metrics_frame(spark, {"ltv": trained.metrics, "importance": dict(trained.importances)})
 
     def train_demand(self, spark: SparkSession, t: Retail) -> DataFrame:
-        trained = models.train_demand(product_features(t, self.categories), SMALL_FOREST)
+        trained = models.train_demand(product_features(t, self.categories))
         return models.metrics_frame(spark, {"demand": trained.metrics, "importance": dict(trained.importances)})
 
     def segment_customers(self, spark: SparkSession, t: Retail) -> DataFrame:
@@ -44,7 +43,7 @@ class ModelQueries:
 
     def run_ml(self, spark: SparkSession, t: Retail) -> DataFrame:
         customers, products = self._customers(t), product_features(t, self.categories)
-        done, failed = models.run_ml(spark, models.all_models(customers, products, SMALL_BOOSTED, SMALL_FOREST))
+        done, failed = models.run_ml(spark, models.all_models(customers, products))
         lost = spark.createDataFrame([(name, "failed", None) for name in failed], done.schema)
         return done.unionByName(lost)
 
