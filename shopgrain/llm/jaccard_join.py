@@ -239,13 +239,6 @@ def _checked(share: int):
     return task
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
-    """Those of ``pairs`` (a, b: classes) that are linked."""
-    both = pairs.join(sets.toDF("a", "a_set"), "a").join(sets.toDF("b", "b_set"), "b")
-    with small_batches(pairs.sparkSession):
-        return settle(both.select("a", "b", "a_set", "b_set").mapInArrow(_checked(share), "a long, b long"), "links")
-
-
 def _sets(words: int):
     """class, repeats, sig_a, sig_b, text -> class, repeats, set; rows whose text is not that of the class are left out."""
 
@@ -262,6 +255,33 @@ def _sets(words: int):
     return task
 
 
+class Verifier:
+    """Confirms pairs on full sets, which are built for the classes of these pairs only."""
+
+    def __init__(self, wanted: DataFrame, classes: DataFrame, share: int, words: int):
+        self.wanted, self.share, self.words = wanted, share, words
+        self.heads = classes.select("class", "repeats", F.col("doc_id").alias("of_doc"), "sig_a", "sig_b")
+
+    def _sets_of(self, pairs: DataFrame) -> DataFrame:
+        concerned = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+        heads = settle(self.heads.join(concerned, "class"), "heads")
+        texts = sieved(self.wanted, heads.select(F.col("of_doc").alias("doc_id")), "doc_id").join(
+            heads, F.col("doc_id").eqNullSafe(F.col("of_doc"))
+        )
+        found = texts.select("class", "repeats", "sig_a", "sig_b", "text").mapInArrow(
+            _sets(self.words), "class long, repeats long, set binary"
+        )
+        return _once(settle(found, "sets"))
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """Those of the settled ``pairs`` (a, b: classes) that are linked."""
+        with small_batches(pairs.sparkSession):
+            sets = self._sets_of(pairs)
+            both = pairs.join(sets.toDF("a", "a_set"), "a").join(sets.toDF("b", "b_set"), "b")
+            checked = both.select("a", "b", "a_set", "b_set").mapInArrow(_checked(self.share), "a long, b long")
+            return settle(checked, "links")
+
+
 # -- the join ----------------------------------------------------------------
 
 
@@ -331,11 +351,8 @@ def _linked_classes(wanted: DataFrame, marks: DataFrame, classes: DataFrame, sha
         "groups",
     )
     # A group bears the number of its first class, which also brings the prefix.
-    listed = settle(
-        prefixes.join(groups.select(F.col("group").alias("class")), "class").select(
-            F.col("class").alias("group"), "size", F.posexplode("prefix").alias("place", "token")
-        ),
-        "listed",
+    listed = prefixes.join(groups.select(F.col("group").alias("class")), "class").select(
+        F.col("class").alias("group"), "size", F.posexplode("prefix").alias("place", "token")
     )
     common = settle(
         listed.groupBy("token").agg(F.count(F.lit(1)).alias("length")).where("length > 1"), "tokens"
@@ -349,26 +366,9 @@ def _linked_classes(wanted: DataFrame, marks: DataFrame, classes: DataFrame, sha
         .select("group", "class", "size", "sketch"),
         "members",
     )
-    heads = settle(
-        classes.join(members.select("class"), "class").select(
-            "class", "repeats", F.col("doc_id").alias("of_doc"), "sig_a", "sig_b"
-        ),
-        "heads",
-    )
-    texts = sieved(wanted, heads.select(F.col("of_doc").alias("doc_id")), "doc_id").join(
-        heads, F.col("doc_id").eqNullSafe(F.col("of_doc"))
-    )
-    with small_batches(spark):
-        sets = _once(
-            settle(
-                texts.select("class", "repeats", "sig_a", "sig_b", "text").mapInArrow(
-                    _sets(words), "class long, repeats long, set binary"
-                ),
-                "sets",
-            )
-        )
-    known = _by_rounds(lists_, members, sets, share)
-    last = _verified(_all_pairs(lists_, members, known, share), sets, share)
+    verifier = Verifier(wanted, classes, share, words)
+    known = _by_rounds(lists_, members, verifier)
+    last = verifier.linked(_all_pairs(lists_, members, known, share))
     links = last if known is None else known.select(F.col("class").alias("a"), F.col("component").alias("b")).union(last)
     return components(links).toDF("class", "component")
 
@@ -383,34 +383,42 @@ def _with_component(members: DataFrame, known: DataFrame | None) -> DataFrame:
     return members.join(known, "class", "left").withColumn("component", F.coalesce("component", "class"))
 
 
-def _by_rounds(lists_: DataFrame, members: DataFrame, sets: DataFrame, share: int) -> DataFrame | None:
+def _main_components(rows: DataFrame) -> DataFrame:
+    """token, main, n, kinds: the component most frequent under a token, how often it is, and how many there are."""
+    per = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("token").agg(
+        F.max_by("component", "n").alias("main"), F.max("n").alias("n"), F.count(F.lit(1)).alias("kinds")
+    )
+
+
+def _by_rounds(lists_: DataFrame, members: DataFrame, verifier: Verifier) -> DataFrame | None:
     """class, component after rounds that compare one pair for each group of the long lists; None if no list is long.
 
-    In a round every list has one leader, another each time; a group is compared
-    with the leader that most of its tokens name and that is not of its component.
-    The members of a group are compared with its first one in the first round.
+    In a round every list has one leader, another each time, of the component that the
+    list has most of; a group is compared with the leader that most of its tokens name
+    and that is not of its own component.
+    The members of a group are compared with its first one before that. Rounds end
+    when few of the pairs are linked, or few of the groups: then few pairs are left,
+    or those that are left do not become fewer.
     """
+    share = verifier.share
     long_lists = lists_.where(F.col("length") > LONG_LIST)
     large = members.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LONG_LIST)
     if long_lists.isEmpty() and large.isEmpty():
         return None
-    links = settle(
-        _verified(
-            members.join(large.select("group"), "group")
-            .where(F.col("class") != F.col("group"))
-            .select(F.col("class").alias("a"), F.col("group").alias("b")),
-            sets,
-            share,
-        ),
-        "links",
-    )
+    inside = members.join(large.select("group"), "group").where(F.col("class") != F.col("group"))
+    links = verifier.linked(settle(inside.select(F.col("class").alias("a"), F.col("group").alias("b")), "pairs"))
     first = members.where(F.col("class") == F.col("group")).drop("group")
     known = None if links.isEmpty() else _components_of(links)
+    concerned = long_lists.select("group").distinct().count()
     for turn in range(ROUNDS):
         states = _with_component(first, known).select(F.col("class").alias("group"), "component", "sketch")
         here = settle(long_lists.join(states, "group").drop("length"), "round")
+        # Where a token comes first, few rarer ones are before it: a set like many others. Then by chance.
         chance = F.xxhash64(F.lit(turn), "group")
-        leaders = here.groupBy("token").agg(F.min_by("group", chance).alias("b")).join(
+        typical = F.col("place") * F.lit(1 << 32) + F.pmod(chance, F.lit(1 << 32))
+        first_choice = here.join(_main_components(here), "token").where("n = 1 OR component = main")
+        leaders = first_choice.groupBy("token").agg(F.min_by("group", chance if turn else typical).alias("b")).join(
             here.select(
                 "token",
                 F.col("group").alias("b"),
@@ -440,12 +448,12 @@ def _by_rounds(lists_: DataFrame, members: DataFrame, sets: DataFrame, share: in
             .agg(F.max_by("b", "votes").alias("b"))
         )
         pairs = settle(votes, "pairs")
-        found = _verified(pairs, sets, share)
+        found = verifier.linked(pairs)
         tried, new = pairs.count(), found.count()
         if new:
             links = settle(links.union(found), "links")
             known = _components_of(links)
-        if 8 * new < tried or not tried:
+        if 8 * new < tried or 64 * new < concerned or not tried:
             break
     return known
 
@@ -458,9 +466,7 @@ def _all_pairs(lists_: DataFrame, members: DataFrame, known: DataFrame | None, s
     parts = settle(of.groupBy("group", "component").agg(alone), "parts")
     rows = lists_.select("token", "group", "size", "place").join(parts, "group")
     # Under a token the largest component need not be paired with itself: only pairs with others are made.
-    per = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = per.groupBy("token").agg(F.max_by("component", "n").alias("main"), F.count(F.lit(1)).alias("kinds"))
-    main = settle(main.where("kinds > 1").select("token", "main"), "main")
+    main = settle(_main_components(rows).where("kinds > 1").select("token", "main"), "main")
     rows = settle(rows.join(main, "token"), "rows")
     others = rows.where("component <> main").select(
         "token",
