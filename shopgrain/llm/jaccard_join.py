@@ -3,7 +3,7 @@
 The tokens (hashed n-grams) of all sets have one order, rare ones first. Two sets of
 at least the wanted similarity share a token among the first few of each, their
 prefixes. The order needs the frequency of tokens only where prefixes lie: by hash
-the first quarter of all tokens is counted, and a bounded sieve tells which of them
+the first eighth of all tokens is counted, and a bounded sieve tells which of them
 are frequent, in four classes. It decides speed alone; any order gives all links.
 
 1. Equal sets are one class; classes of equal size and prefix are one group.
@@ -35,15 +35,15 @@ from shopgrain.sources.scratch import settle
 
 WORDS, SHARE = 3, 90
 #: Tokens below this hash are counted.
-COUNTED = 1 << 62
+COUNTED = 1 << 61
 #: A token is in the class of the number of bars that its count exceeds.
 BARS = (4, 32, 256, 2048)
 #: The sieve has this many places of four bits: 8 MB, however many tokens there are.
 PLACES = 1 << 24
 #: Lists with more groups are first thinned out in rounds, at most ROUNDS of them.
 LONG_LIST, ROUNDS = 32, 4
-#: Words of 64 bits in a parity sketch.
-SKETCH = 16
+#: Words of 64 bits in a parity sketch, and in its brief form.
+SKETCH, BRIEF = 16, 4
 
 
 # -- sets --------------------------------------------------------------------
@@ -59,16 +59,17 @@ def _halves(signs: list[bytes]) -> list[pa.Array]:
 
 
 def _measured(words: int):
-    """doc_id, text -> doc_id, n_shingles, sig_a, sig_b, counted: the set's tokens below COUNTED."""
+    """doc_id, text -> doc_id, n_shingles, sig_a, sig_b, counted: the set's tokens below COUNTED, once for equal sets of a batch."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            sizes, signs, low = np.zeros(batch.num_rows, np.int64), [], []
+            sizes, signs, low, seen = np.zeros(batch.num_rows, np.int64), [], [], set()
             for row, found in word_hashes(text_bytes(batch.column("text"))):
                 values = shingles(found, words)
                 sizes[row] = len(values)
                 signs.append(_signature(values))
-                low.append(values[: np.searchsorted(values, np.uint64(COUNTED))])
+                low.append(values[: 0 if signs[-1] in seen else np.searchsorted(values, np.uint64(COUNTED))])
+                seen.add(signs[-1])
             flat = np.concatenate(low).view(np.int64) if low else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -116,12 +117,11 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _sieve(marks: DataFrame, classes: DataFrame) -> Sieve:
-    """Tokens are counted once for each different set; the sieve that reaches the driver has a fixed size."""
+def _sieve(marks: DataFrame) -> Sieve:
+    """The frequencies of tokens as a sieve: what reaches the driver has a fixed size."""
     rank = sum((F.col("count") > bar).cast("int") for bar in BARS)
     frequent = (
-        _of_heads(marks.select("doc_id", "sig_a", "sig_b", "counted"), classes)
-        .select(F.explode("counted").alias("token"))
+        marks.select(F.explode("counted").alias("token"))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("count"))
         .where(F.col("count") > BARS[0])
@@ -204,6 +204,18 @@ def _once(rows: DataFrame) -> DataFrame:
 # -- filters -----------------------------------------------------------------
 
 
+def _brief(sketch: str) -> Column:
+    """A parity sketch with fewer bits: each is the parity of some bits of the whole one."""
+
+    def folded(i: int) -> Column:
+        out = F.col(sketch)[i]
+        for k in range(i + BRIEF, SKETCH, BRIEF):
+            out = out.bitwiseXOR(F.col(sketch)[k])
+        return out
+
+    return F.array(*[folded(i) for i in range(BRIEF)])
+
+
 def _may_link(share: int, a_size: str, a_place: str, b_size: str, b_place: str) -> list[Column]:
     """The size filter, and the place filter: what two sets can share from their first common token on."""
     small, large = F.least(a_size, b_size), F.greatest(a_size, b_size)
@@ -214,10 +226,10 @@ def _may_link(share: int, a_size: str, a_place: str, b_size: str, b_place: str)
     ]
 
 
-def _sketches_allow(share: int) -> Column:
+def _sketches_allow(share: int, words: int = SKETCH) -> Column:
     """Linked sets differ in at most (100 - share) / (100 + share) of both sizes."""
     apart = sum(
-        F.bit_count(F.col("a_sketch")[i].bitwiseXOR(F.col("b_sketch")[i])).cast("long") for i in range(SKETCH)
+        F.bit_count(F.col("a_sketch")[i].bitwiseXOR(F.col("b_sketch")[i])).cast("long") for i in range(words)
     )
     return (100 + share) * apart <= (100 - share) * (F.col("a_size") + F.col("b_size"))
 
@@ -339,7 +351,7 @@ def similar_documents(
 def _linked_classes(wanted: DataFrame, marks: DataFrame, classes: DataFrame, share: int, words: int) -> DataFrame:
     """class, component of every class that is linked with another."""
     spark, kind = wanted.sparkSession, wanted.schema["doc_id"].dataType.simpleString()
-    shared = spark.sparkContext.broadcast(_sieve(marks, classes))
+    shared = spark.sparkContext.broadcast(_sieve(marks))
     with small_batches(spark):
         cut = wanted.mapInArrow(
             _prefixed(words, share, shared),
@@ -462,8 +474,9 @@ def _all_pairs(lists_: DataFrame, members: DataFrame, known: DataFrame | None, s
     """a, b: all pairs of classes of different components that the filters leave, once."""
     of = settle(_with_component(members, known), "states")
     # A group falls into the parts that belong to one component each.
-    alone = F.when(F.count(F.lit(1)) == 1, F.any_value("sketch")).alias("sketch")  # a part of one class has its sketch
-    parts = settle(of.groupBy("group", "component").agg(alone), "parts")
+    # A part of one class has its sketch, in brief.
+    words = [F.when(F.count(F.lit(1)) == 1, F.max(_brief("sketch")[i])).alias(f"s{i}") for i in range(BRIEF)]
+    parts = settle(of.groupBy("group", "component").agg(*words), "parts")
     rows = lists_.select("token", "group", "size", "place").join(parts, "group")
     # Under a token the largest component need not be paired with itself: only pairs with others are made.
     main = settle(_main_components(rows).where("kinds > 1").select("token", "main"), "main")
@@ -474,7 +487,7 @@ def _all_pairs(lists_: DataFrame, members: DataFrame, known: DataFrame | None, s
         F.col("component").alias("a_component"),
         F.col("size").alias("a_size"),
         F.col("place").alias("a_place"),
-        F.col("sketch").alias("a_sketch"),
+        F.array(*[f"s{i}" for i in range(BRIEF)]).alias("a_sketch"),
     )
     every = rows.select(
         "token",
@@ -482,11 +495,11 @@ def _all_pairs(lists_: DataFrame, members: DataFrame, known: DataFrame | None, s
         F.col("component").alias("b_component"),
         F.col("size").alias("b_size"),
         F.col("place").alias("b_place"),
-        F.col("sketch").alias("b_sketch"),
+        F.array(*[f"s{i}" for i in range(BRIEF)]).alias("b_sketch"),
         (F.col("component") == F.col("main")).alias("is_main"),
     )
     met = others.join(every, "token").where("a <> b AND a_component <> b_component AND (is_main OR a < b)")
-    met = met.where(F.coalesce(_sketches_allow(share), F.lit(True)))
+    met = met.where(F.coalesce(_sketches_allow(share, BRIEF), F.lit(True)))
     for bar in _may_link(share, "a_size", "a_place", "b_size", "b_place"):
         met = met.where(bar)
     across = met.select("a", "a_component", "b", "b_component").distinct()
