@@ -40,8 +40,8 @@ COUNTED = 1 << 61
 BARS = (4, 32, 256, 2048)
 #: The sieve has this many places of four bits: 8 MB, however many tokens there are.
 PLACES = 1 << 24
-#: Lists with more groups are first thinned out in rounds, at most ROUNDS of them.
-LONG_LIST, ROUNDS = 32, 4
+#: Lists with more groups are first compared in rounds, at most ROUNDS of them.
+LONG_LIST, ROUNDS, LEADERS = 32, 4, 32
 #: Words of 64 bits in a parity sketch, and in its brief form.
 SKETCH, BRIEF = 16, 4
 
@@ -404,46 +404,46 @@ def _main_components(rows: DataFrame) -> DataFrame:
 
 
 def _by_rounds(lists_: DataFrame, members: DataFrame, verifier: Verifier) -> DataFrame | None:
-    """class, component after rounds that compare one pair for each group of the long lists; None if no list is long.
-
-    In a round every list has one leader, another each time, of the component that the
-    list has most of; a group is compared with the leader that most of its tokens name
-    and that is not of its own component.
-    The members of a group are compared with its first one before that. Rounds end
-    when few of the pairs are linked, or few of the groups: then few pairs are left,
-    or those that are left do not become fewer.
+    """class, component after the members of each group were compared with its first one, and rounds over the long lists.
+
+    A group falls into parts, one for each component of its members, that one member
+    stands for. In a round every list has LEADERS parts as leaders, others each time; a
+    part is compared with the leaders of its lists that are not of its own component.
+    Rounds end when few of the pairs are linked, or few of the groups: then few pairs
+    are left, or those that are left do not become fewer. None if nothing was linked.
     """
     share = verifier.share
-    long_lists = lists_.where(F.col("length") > LONG_LIST)
-    large = members.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LONG_LIST)
-    if long_lists.isEmpty() and large.isEmpty():
-        return None
-    inside = members.join(large.select("group"), "group").where(F.col("class") != F.col("group"))
-    links = verifier.linked(settle(inside.select(F.col("class").alias("a"), F.col("group").alias("b")), "pairs"))
-    first = members.where(F.col("class") == F.col("group")).drop("group")
+    inside = members.where(F.col("class") != F.col("group")).select(F.col("class").alias("a"), F.col("group").alias("b"))
+    links = verifier.linked(settle(inside, "pairs"))
     known = None if links.isEmpty() else _components_of(links)
+    long_lists = lists_.where(F.col("length") > LONG_LIST)
     concerned = long_lists.select("group").distinct().count()
-    for turn in range(ROUNDS):
-        states = _with_component(first, known).select(F.col("class").alias("group"), "component", "sketch")
-        here = settle(long_lists.join(states, "group").drop("length"), "round")
-        # Where a token comes first, few rarer ones are before it: a set like many others. Then by chance.
-        chance = F.xxhash64(F.lit(turn), "group")
-        typical = F.col("place") * F.lit(1 << 32) + F.pmod(chance, F.lit(1 << 32))
-        first_choice = here.join(_main_components(here), "token").where("n = 1 OR component = main")
-        leaders = first_choice.groupBy("token").agg(F.min_by("group", chance if turn else typical).alias("b")).join(
-            here.select(
-                "token",
-                F.col("group").alias("b"),
-                F.col("size").alias("b_size"),
-                F.col("place").alias("b_place"),
-                F.col("component").alias("b_component"),
-                F.col("sketch").alias("b_sketch"),
-            ),
-            ["token", "b"],
+    for turn in range(ROUNDS if concerned else 0):
+        member = F.xxhash64(F.lit(turn), "class")
+        parts = _with_component(members, known).groupBy("group", "component").agg(
+            F.min_by("class", member).alias("part"), F.min_by("sketch", member).alias("sketch")
+        )
+        here = settle(long_lists.join(parts, "group").drop("length", "group"), "round")
+        # Leaders could pass the place filter. One hash for all lists makes them the same ones wherever lists overlap.
+        able = (100 + share) * (F.col("size") - F.col("place")) >= 2 * share * F.col("size")
+        by_chance = [F.min_by("part", F.xxhash64(F.lit(turn * LEADERS + i), "part")) for i in range(LEADERS)]
+        named = (
+            here.where(able)
+            .groupBy("token")
+            .agg(F.array_distinct(F.array(*by_chance)).alias("leaders"))
+            .select("token", F.explode("leaders").alias("b"))
         )
+        leaders = here.select(
+            "token",
+            F.col("part").alias("b"),
+            F.col("size").alias("b_size"),
+            F.col("place").alias("b_place"),
+            F.col("component").alias("b_component"),
+            F.col("sketch").alias("b_sketch"),
+        ).join(named, ["token", "b"])
         met = here.select(
             "token",
-            F.col("group").alias("a"),
+            F.col("part").alias("a"),
             F.col("size").alias("a_size"),
             F.col("place").alias("a_place"),
             F.col("component").alias("a_component"),
@@ -451,78 +451,63 @@ def _by_rounds(lists_: DataFrame, members: DataFrame, verifier: Verifier) -> Dat
         ).join(leaders, "token")
         for bar in _may_link(share, "a_size", "a_place", "b_size", "b_place"):
             met = met.where(bar)
-        votes = (
-            met.where("a_component <> b_component")
-            .where(_sketches_allow(share))
-            .groupBy("a", "b")
-            .agg(F.count(F.lit(1)).alias("votes"))
-            .groupBy("a")
-            .agg(F.max_by("b", "votes").alias("b"))
-        )
-        pairs = settle(votes, "pairs")
+        allowed = met.where("a_component <> b_component").where(_sketches_allow(share))
+        pairs = settle(allowed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
         found = verifier.linked(pairs)
         tried, new = pairs.count(), found.count()
         if new:
             links = settle(links.union(found), "links")
             known = _components_of(links)
-        if 8 * new < tried or 64 * new < concerned or not tried:
+        if 8 * new < tried or 256 * new < concerned or not tried:
             break
     return known
 
 
 def _all_pairs(lists_: DataFrame, members: DataFrame, known: DataFrame | None, share: int) -> DataFrame:
     """a, b: all pairs of classes of different components that the filters leave, once."""
-    of = settle(_with_component(members, known), "states")
-    # A group falls into the parts that belong to one component each.
+    states = settle(_with_component(members, known), "states")
+    # A group falls into the parts that belong to one component each, named by their first class.
     # A part of one class has its sketch, in brief.
-    words = [F.when(F.count(F.lit(1)) == 1, F.max(_brief("sketch")[i])).alias(f"s{i}") for i in range(BRIEF)]
-    parts = settle(of.groupBy("group", "component").agg(*words), "parts")
-    rows = lists_.select("token", "group", "size", "place").join(parts, "group")
+    brief = [F.when(F.count(F.lit(1)) == 1, F.max(_brief("sketch")[i])).alias(f"s{i}") for i in range(BRIEF)]
+    parts = settle(
+        states.groupBy("group", "component").agg(
+            F.min("class").alias("part"), F.max("size").alias("size"), F.count(F.lit(1)).alias("n"), *brief
+        ),
+        "parts",
+    )
+    rows = lists_.select("token", "group", "place").join(parts, "group")
     # Under a token the largest component need not be paired with itself: only pairs with others are made.
     main = settle(_main_components(rows).where("kinds > 1").select("token", "main"), "main")
     rows = settle(rows.join(main, "token"), "rows")
-    others = rows.where("component <> main").select(
-        "token",
-        F.col("group").alias("a"),
-        F.col("component").alias("a_component"),
-        F.col("size").alias("a_size"),
-        F.col("place").alias("a_place"),
-        F.array(*[f"s{i}" for i in range(BRIEF)]).alias("a_sketch"),
-    )
-    every = rows.select(
-        "token",
-        F.col("group").alias("b"),
-        F.col("component").alias("b_component"),
-        F.col("size").alias("b_size"),
-        F.col("place").alias("b_place"),
-        F.array(*[f"s{i}" for i in range(BRIEF)]).alias("b_sketch"),
-        (F.col("component") == F.col("main")).alias("is_main"),
-    )
-    met = others.join(every, "token").where("a <> b AND a_component <> b_component AND (is_main OR a < b)")
-    met = met.where(F.coalesce(_sketches_allow(share, BRIEF), F.lit(True)))
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        sketch = F.array(*[f"s{i}" for i in range(BRIEF)]).alias(f"{name}_sketch")
+        own = [c for c in ("group", "place", "component", "part", "size", "n", "main") if c in df.columns]
+        kept = ["token"] if "token" in df.columns else []
+        return df.select(*kept, *[F.col(c).alias(f"{name}_{c}") for c in own], sketch)
+
+    def allowed(pairs: DataFrame) -> DataFrame:
+        """Each part with its number of classes, the one with fewer classes first."""
+        near = pairs.where("a_component <> b_component").where(F.coalesce(_sketches_allow(share, BRIEF), F.lit(True)))
+        fewer = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_part") < F.col("b_part")))
+        a, b = F.col("a_part"), F.col("b_part")
+        return near.select(F.when(fewer, a).otherwise(b).alias("few"), F.when(fewer, b).otherwise(a).alias("many"))
+
+    across = side(rows.where("component <> main"), "a").join(side(rows, "b"), "token")
+    across = across.where("a_group <> b_group AND (b_component = b_main OR a_part < b_part)")
     for bar in _may_link(share, "a_size", "a_place", "b_size", "b_place"):
-        met = met.where(bar)
-    across = met.select("a", "a_component", "b", "b_component").distinct()
-    inside = parts.select(F.col("group").alias("a"), F.col("component").alias("a_component")).join(
-        parts.select(F.col("group").alias("b"), F.col("component").alias("b_component")),
-        (F.col("a") == F.col("b")) & (F.col("a_component") < F.col("b_component")),
-    )
-    group_pairs = settle(across.unionByName(inside.select("a", "a_component", "b", "b_component")), "group_pairs")
-    left = of.select(
-        F.col("group").alias("a"),
-        F.col("component").alias("a_component"),
-        F.col("class").alias("a_class"),
-        F.col("size").alias("a_size"),
-        F.col("sketch").alias("a_sketch"),
+        across = across.where(bar)
+    inside = side(parts, "a").join(side(parts, "b"), (F.col("a_group") == F.col("b_group")) & (F.col("a_part") < F.col("b_part")))
+    of_parts = settle(allowed(across).distinct().unionByName(allowed(inside)), "part_pairs")
+    held = settle(
+        states.join(parts.select("group", "component", "part"), ["group", "component"]).select(
+            "part", "class", "size", "sketch"
+        ),
+        "held",
     )
-    right = of.select(
-        F.col("group").alias("b"),
-        F.col("component").alias("b_component"),
-        F.col("class").alias("b_class"),
-        F.col("size").alias("b_size"),
-        F.col("sketch").alias("b_sketch"),
+    first, second = (
+        held.select(F.col("part").alias(end), *[F.col(c).alias(f"{n}_{c}") for c in ("class", "size", "sketch")])
+        for end, n in (("few", "a"), ("many", "b"))
     )
-    members_ = group_pairs.join(left, ["a", "a_component"]).join(right, ["b", "b_component"])
-    passed = members_.where(_sketches_allow(share))
-    pair = passed.select(F.least("a_class", "b_class").alias("a"), F.greatest("a_class", "b_class").alias("b"))
-    return settle(pair.distinct(), "pairs")
+    met = of_parts.join(first, "few").join(second, "many").where(_sketches_allow(share))
+    return settle(met.select(F.col("a_class").alias("a"), F.col("b_class").alias("b")), "pairs")
