@@ -9,9 +9,9 @@ are frequent, in four classes. It decides speed alone; any order gives all links
 1. Equal sets are one class; classes of equal size and prefix are one group.
 2. Groups are listed under the tokens of their prefixes. Group pairs under a token are
    filtered by their sizes and by the tokens' places in both prefixes.
-3. Under tokens with long lists every group is first compared with one other group of
-   the list, in rounds with other partners each time; what is linked by that is one
-   component, and only pairs of different components remain.
+3. Under tokens with long lists every group is first compared with a few others, the
+   leaders of the list; what is linked by that is one component, and only pairs of
+   different components remain.
 4. The pairs left are expanded to their members, filtered by the bits in which the
    sets' parity sketches differ (a bound of their difference), and verified on full
    sets. All links between components are found, so the components are right.
@@ -40,8 +40,8 @@ COUNTED = 1 << 61
 BARS = (4, 32, 256, 2048)
 #: The sieve has this many places of four bits: 8 MB, however many tokens there are.
 PLACES = 1 << 24
-#: Lists with more groups are first compared in rounds, at most ROUNDS of them.
-LONG_LIST, ROUNDS, LEADERS = 32, 4, 32
+#: Lists with more groups are first compared with so many of their own.
+LONG_LIST, LEADERS = 32, 32
 #: Words of 64 bits in a parity sketch, and in its brief form.
 SKETCH, BRIEF = 16, 4
 
@@ -379,7 +379,7 @@ def _linked_classes(wanted: DataFrame, marks: DataFrame, classes: DataFrame, sha
         "members",
     )
     verifier = Verifier(wanted, classes, share, words)
-    known = _by_rounds(lists_, members, verifier)
+    known = _by_leaders(lists_, members, verifier)
     last = verifier.linked(_all_pairs(lists_, members, known, share))
     links = last if known is None else known.select(F.col("class").alias("a"), F.col("component").alias("b")).union(last)
     return components(links).toDF("class", "component")
@@ -403,64 +403,46 @@ def _main_components(rows: DataFrame) -> DataFrame:
     )
 
 
-def _by_rounds(lists_: DataFrame, members: DataFrame, verifier: Verifier) -> DataFrame | None:
-    """class, component after the members of each group were compared with its first one, and rounds over the long lists.
+def _by_leaders(lists_: DataFrame, members: DataFrame, verifier: Verifier) -> DataFrame | None:
+    """class, component after two passes: members against the first of their group, then long lists against leaders.
 
-    A group falls into parts, one for each component of its members, that one member
-    stands for. In a round every list has LEADERS parts as leaders, others each time; a
-    part is compared with the leaders of its lists that are not of its own component.
-    Rounds end when few of the pairs are linked, or few of the groups: then few pairs
-    are left, or those that are left do not become fewer. None if nothing was linked.
+    After the first pass a group falls into parts, one for each component of its
+    members, that one member stands for. Every long list has LEADERS of its parts as
+    leaders, and a part is compared with the leaders of its lists that are not of its
+    own component. None if nothing was linked.
     """
     share = verifier.share
     inside = members.where(F.col("class") != F.col("group")).select(F.col("class").alias("a"), F.col("group").alias("b"))
     links = verifier.linked(settle(inside, "pairs"))
     known = None if links.isEmpty() else _components_of(links)
     long_lists = lists_.where(F.col("length") > LONG_LIST)
-    concerned = long_lists.select("group").distinct().count()
-    for turn in range(ROUNDS if concerned else 0):
-        member = F.xxhash64(F.lit(turn), "class")
-        parts = _with_component(members, known).groupBy("group", "component").agg(
-            F.min_by("class", member).alias("part"), F.min_by("sketch", member).alias("sketch")
-        )
-        here = settle(long_lists.join(parts, "group").drop("length", "group"), "round")
-        # Leaders could pass the place filter. One hash for all lists makes them the same ones wherever lists overlap.
-        able = (100 + share) * (F.col("size") - F.col("place")) >= 2 * share * F.col("size")
-        by_chance = [F.min_by("part", F.xxhash64(F.lit(turn * LEADERS + i), "part")) for i in range(LEADERS)]
-        named = (
-            here.where(able)
-            .groupBy("token")
-            .agg(F.array_distinct(F.array(*by_chance)).alias("leaders"))
-            .select("token", F.explode("leaders").alias("b"))
-        )
-        leaders = here.select(
-            "token",
-            F.col("part").alias("b"),
-            F.col("size").alias("b_size"),
-            F.col("place").alias("b_place"),
-            F.col("component").alias("b_component"),
-            F.col("sketch").alias("b_sketch"),
-        ).join(named, ["token", "b"])
-        met = here.select(
-            "token",
-            F.col("part").alias("a"),
-            F.col("size").alias("a_size"),
-            F.col("place").alias("a_place"),
-            F.col("component").alias("a_component"),
-            F.col("sketch").alias("a_sketch"),
-        ).join(leaders, "token")
-        for bar in _may_link(share, "a_size", "a_place", "b_size", "b_place"):
-            met = met.where(bar)
-        allowed = met.where("a_component <> b_component").where(_sketches_allow(share))
-        pairs = settle(allowed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-        found = verifier.linked(pairs)
-        tried, new = pairs.count(), found.count()
-        if new:
-            links = settle(links.union(found), "links")
-            known = _components_of(links)
-        if 8 * new < tried or 256 * new < concerned or not tried:
-            break
-    return known
+    if long_lists.isEmpty():
+        return known
+    parts = _with_component(members, known).groupBy("group", "component").agg(
+        F.min("class").alias("part"), F.min_by("sketch", "class").alias("sketch")
+    )
+    here = settle(long_lists.join(parts, "group").drop("length", "group"), "long_lists")
+    # Leaders could pass the place filter. One hash for all lists makes them the same ones wherever lists overlap.
+    able = (100 + share) * (F.col("size") - F.col("place")) >= 2 * share * F.col("size")
+    by_chance = [F.min_by("part", F.xxhash64(F.lit(i), "part")) for i in range(LEADERS)]
+    named = (
+        here.where(able)
+        .groupBy("token")
+        .agg(F.array_distinct(F.array(*by_chance)).alias("leaders"))
+        .select("token", F.explode("leaders").alias("b"))
+    )
+
+    def side(name: str) -> DataFrame:
+        own = [F.col(c).alias(f"{name}_{c}") for c in ("size", "place", "component", "sketch")]
+        return here.select("token", F.col("part").alias(name), *own)
+
+    met = side("a").join(side("b").join(named, ["token", "b"]), "token").where("a_component <> b_component")
+    for bar in _may_link(share, "a_size", "a_place", "b_size", "b_place"):
+        met = met.where(bar)
+    met = met.where(_sketches_allow(share))
+    pairs = settle(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    both = settle(links.union(verifier.linked(pairs)), "links")
+    return None if both.isEmpty() else _components_of(both)
 
 
 def _all_pairs(lists_: DataFrame, members: DataFrame, known: DataFrame | None, share: int) -> DataFrame:
