@@ -3,6 +3,11 @@
 import math
 
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from shopgrain.plans import models
@@ -65,6 +70,57 @@ def test_value_with_a_grid(customers):
     assert "monetary" not in dict(trained.importances)
 
 
+@pytest.mark.parametrize("kind", ["classifier", "regressor"])
+def test_the_shared_search_picks_what_a_plain_one_picks(customers, kind):
+    """Against a cross validation that fits everything anew for every point, on the same folds."""
+    key, hidden = ["customer_id"], ["recency_days"]
+    if kind == "classifier":
+        data, columns = models._prepared(customers, [*hidden, "lifetime_value"], key, "is_churned")
+        estimator = GBTClassifier(seed=models.SEED)
+        evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
+    else:
+        data, columns = models._prepared(customers, [*hidden, "is_churned", "monetary"], key, "lifetime_value")
+        estimator, evaluator = GBTRegressor(seed=models.SEED), RegressionEvaluator(labelCol="label", metricName="r2")
+    grid = {"maxIter": [2, 6], "maxDepth": [2, 3], "stepSize": [0.1, 0.4]}
+    found = models.grid_search(data, key, models._stages(columns, True), estimator, grid, evaluator, 3, 4)
+    points = [p for p, _ in found.tried]
+    assert len(points) == 8
+    plain = CrossValidator(
+        estimator=Pipeline(stages=[*models._stages(columns, True), estimator]),
+        estimatorParamMaps=[{estimator.getParam(n): v for n, v in p.items()} for p in points],
+        evaluator=evaluator,
+        numFolds=3,
+        foldCol="fold",
+        parallelism=4,
+    ).fit(
+        data.withColumn("fold", F.pmod(F.xxhash64(F.lit(models.SEED + 1), *key), F.lit(3)).cast("int"))
+    )
+    assert [v for _, v in found.tried] == pytest.approx(plain.avgMetrics, abs=1e-6)
+    best = points[max(range(8), key=lambda i: plain.avgMetrics[i])]
+    assert models._chosen(found.model, grid) == best
+
+
+def test_a_forest_is_measured_by_its_first_trees(spark):
+    df = spark.range(400).select(
+        F.col("id").alias("k"), (F.col("id") % 7).cast("double").alias("x"), ((F.col("id") % 7) * 3.0).alias("label")
+    )
+    grid = {"numTrees": [2, 5], "maxDepth": [1, 4], "minInstancesPerNode": [1]}
+    evaluator = RegressionEvaluator(labelCol="label", metricName="r2")
+    found = models.grid_search(
+        df, ["k"], models._stages(["x"], False), RandomForestRegressor(seed=1), grid, evaluator, 2, 2
+    )
+    by_point = {tuple(p.values()): v for p, v in found.tried}
+    assert by_point[(5, 4, 1)] > by_point[(5, 1, 1)] and len(by_point) == 4
+    assert found.model.stages[-1].getOrDefault("maxDepth") == 4
+
+
+def test_registered_grids_end(spark):
+    """The full grid of the boosted models, on the smallest table."""
+    features = customer_features(from_star_schema(spark, "/root/testdata/sf0.001"), AS_OF, CATEGORIES)
+    trained = models.train_ltv(features, folds=3)
+    assert trained.parameters["maxIter"] in (100, 200) and trained.metrics["r2"] > 0
+
+
 def test_demand(spark):
     products = product_features(from_star_schema(spark, "/root/testdata/sf0.001"), CATEGORIES)
     trained = models.train_demand(products, SMALL_FOREST)
