@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -25,12 +26,26 @@ def small_batches(spark: SparkSession, size: int = 8 << 20) -> Iterator[None]:
         spark.conf.set(_BATCH, before)
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # another C library
+    _trim = None
+
+
+def give_back() -> None:
+    """Memory that is free but held goes back to the system: workers live on between stages."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows``, which bounds what a task unpacks at once."""
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
-        pa.default_memory_pool().release_unused()
+        batch = None
+        give_back()
 
 
 def by_bytes(batches: Iterator[pa.RecordBatch], column: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -43,7 +58,8 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: str, size: int = 4 << 20
             to = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
             yield batch.slice(at, to - at)
             at = to
-        pa.default_memory_pool().release_unused()
+        batch = lengths = None
+        give_back()
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:

@@ -25,7 +25,7 @@ def powers(base: int, n: int) -> np.ndarray:
         factors = np.full(max(n, 1 << 16), base, dtype=np.uint64)
         factors[0] = 1
         have = np.multiply.accumulate(factors)
-        if len(have) <= 1 << 22:
+        if len(have) <= 1 << 20:
             _powers[base] = have
     return have[:n]
 

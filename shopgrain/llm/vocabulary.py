@@ -10,8 +10,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words that a process keeps between batches; others are worked out again in the next batch that holds them.
-KEPT_WORDS = 400_000
+#: Bytes of words and numbers that a process keeps between batches; others are worked out again in the next batch
+#: that holds them. A word counts PER_WORD bytes more than its letters, for its places in the tables.
+KEPT_BYTES, PER_WORD = 24_000_000, 150
 ENCODED = 2_000
 
 #: Signs that a tokenizer of words splits from a letter or digit before them.
@@ -41,6 +42,7 @@ class WordTable:
         self.starts = np.zeros(1 << 12, np.int64)
         self.lengths = np.zeros(1 << 12, np.int64)
         self.used = 0
+        self.bytes = 0
         self.kept: tuple[int, int] | None = None
 
     def _add(self, words: list[bytes]) -> None:
@@ -57,12 +59,13 @@ class WordTable:
         self.lengths[at : at + len(words)] = lengths
         self.starts[at : at + len(words)] = self.used + np.cumsum(lengths) - lengths
         self.used = end
+        self.bytes += sum(map(len, words)) + len(words) * PER_WORD + len(flat) * self.values.itemsize
         self.place.update(zip(words, range(at, at + len(words))))
 
     def _trim(self) -> None:
         """Leave the words that came after the table was full."""
         if self.kept is None:
-            if len(self.place) <= KEPT_WORDS:
+            if self.bytes <= KEPT_BYTES:
                 return
             self.kept = (len(self.place), self.used)
         words, used = self.kept

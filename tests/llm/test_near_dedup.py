@@ -18,7 +18,7 @@ def word_sets(text):
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
-def brute(rows):
+def brute(rows, share=85):
     """(doc_id, n_shingles, component_id, kept) of rows with different ids."""
     sets = {d: word_sets(t) for d, t in rows}
     component = {d: d for d in sets}
@@ -26,7 +26,7 @@ def brute(rows):
         (a, b)
         for a in sets
         for b in sets
-        if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+        if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= share * len(sets[a] | sets[b])
     ]
     while True:
         moved = False

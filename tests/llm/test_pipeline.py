@@ -68,7 +68,7 @@ def test_whole(spark):
         kept = stage(spark, docs, FOLDER)
         assert kept.columns == list(COLUMNS)
         if name == "near_dedup":
-            want = [r[0] for r in near_groups([(r.doc_id, r.text) for r in docs.collect()]) if r[3]]
+            want = [r[0] for r in near_groups([(r.doc_id, r.text) for r in docs.collect()], corpus_pipeline.NEAR_SHARE) if r[3]]
             assert sorted(r.doc_id for r in kept.collect()) == sorted(want)
         docs = kept
     whole = corpus_pipeline.run(spark, FOLDER)
