@@ -342,11 +342,11 @@ def _found(weights):
 
 
 def learn(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Weights from a sample of about ``SAMPLE_ROWS`` rows, none longer than ``SAMPLE_BYTES``, chosen by hash."""
+    """Weights from a sample of about ``SAMPLE_ROWS`` different texts that may hold personal data (all, if there are fewer), none longer than ``SAMPLE_BYTES``, chosen by hash."""
     rows = docs.select(F.col(text).alias("text")).where(
         (F.octet_length("text") <= SAMPLE_BYTES) & F.col("text").rlike(r"@|[0-9][0-9 .()-]{5,}[0-9]")
     )
-    total = docs.count()
+    total = rows.agg(F.approx_count_distinct("text")).first()[0]
     place = F.pmod(F.xxhash64("text", F.lit(SEED)), F.lit(1 << 40))
     chosen = (
         rows.where(place < int(min(1.0, SAMPLE_ROWS / max(total, 1)) * (1 << 40)))

@@ -115,6 +115,17 @@ def test_what_the_patterns_run_together_is_told_apart(spark):
     assert sum(r.n_added for r in got) == 2
 
 
+def test_the_sample_reaches_its_bound(spark, monkeypatch):
+    """Rows that cannot hold personal data, and copies, take nothing from it."""
+    rows = [(n, "no such thing here") for n in range(5000)] + [(n, "call +49 30 1234567 now") for n in range(500)]
+    rows += [(n, f"write to a{n}@example.org") for n in range(300)]
+    seen = []
+    monkeypatch.setattr(pii, "SAMPLE_ROWS", 200)
+    monkeypatch.setattr(pii, "train", lambda texts: seen.append(len(texts)))
+    pii.learn(documents(spark, rows))
+    assert 150 < seen[0] <= 400
+
+
 def test_empty_table_and_nothing_to_learn(spark):
     assert pii.personal_data(documents(spark, [])).collect() == []
     got = pii.personal_data(documents(spark, [(1, "plain"), (2, None)])).collect()
