@@ -4,8 +4,8 @@ A text's subwords are all runs of 2, 3 and 4 bytes inside its words, the space o
 either side of a word included; each is hashed to one of ``BUCKETS`` embeddings,
 and the softmax sees their mean over the whole text. The model is trained by
 stochastic gradient descent in numpy on a bounded sample of labelled rows: about
-``PER_LANGUAGE`` for each of the ``LANGUAGES`` most frequent labels, none longer
-than ``LONGEST`` bytes. A part of the sample is kept back to calibrate the scores
+``PER_LANGUAGE`` different texts for each label, none longer than ``LONGEST`` bytes,
+and about ``SAMPLE_BYTES`` in all. A part of the sample is kept back to calibrate the scores
 by a temperature, and to set the bars below which a prediction is rejected.
 
 A softmax over few languages is sure of any text, so there are two bars. One is on
@@ -34,7 +34,7 @@ from shopgrain.llm.arrow import by_bytes
 from shopgrain.llm.text import parts
 
 BUCKETS, WIDTH, SIZES = 1 << 16, 16, (2, 3, 4)
-PER_LANGUAGE, LANGUAGES, LONGEST = 800, 100, 50_000
+PER_LANGUAGE, LONGEST, SAMPLE_BYTES = 800, 50_000, 128 << 20
 EPOCHS, RATE, SEED = 6, 4.0, 11
 REJECTED_SHARE, USUAL_SUBWORDS, FAMILIAR_MARGIN = 0.001, 50, 0.02
 
@@ -209,18 +209,26 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), doc_number(doc_id).alias("number")).where(
         "text IS NOT NULL AND lang IS NOT NULL AND number % 4 <> 2"
     )
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    short = rows.where(F.octet_length("text") <= LONGEST)
+    # What can be sampled of each label: copies count once.
+    sizes = (
+        short.groupBy("lang")
+        .agg(F.approx_count_distinct("text").alias("texts"), F.avg(F.octet_length("text")).alias("bytes"))
+        .collect()
+    )
     if not sizes:
         return None
+    wanted = min(PER_LANGUAGE, SAMPLE_BYTES / sum(r["bytes"] for r in sizes))
+    rates = [(r["lang"], int(min(1.0, wanted / max(r["texts"], 1)) * (1 << 40))) for r in sizes]
     place = F.pmod(F.xxhash64("text", "lang", F.lit(SEED)), F.lit(1 << 40))
-    bounds = [F.lit(x) for r in sizes for x in (r["lang"], int(min(1.0, PER_LANGUAGE / r["count"]) * (1 << 40)))]
     sample = (
-        rows.where(F.octet_length("text") <= LONGEST)
-        .select("lang", "text", place.alias("place"))
-        .where(F.col("place") < F.try_element_at(F.create_map(*bounds), F.col("lang")))
+        short.select("lang", "text", place.alias("place"))
+        .join(F.broadcast(docs.sparkSession.createDataFrame(rates, "lang string, bar long")), "lang")
+        .where("place < bar")
+        .select("lang", "text", "place")
         .distinct()
         .orderBy("place", "lang", "text")
-        .limit(2 * PER_LANGUAGE * len(sizes))
+        .limit(int(2 * wanted * len(sizes)) + 1)
         .collect()
     )
     if not sample:

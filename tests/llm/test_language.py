@@ -47,6 +47,30 @@ def test_edges(spark):
     assert all(r.lang == r.lang_pred for r in got if r.lang and r.held_out)
 
 
+def test_many_labels_and_labels_of_copies(spark):
+    rng = random.Random(3)
+    made = {f"l{n}": [f"{a}{b}" * 2 for a in rng.sample("abcdefghijklmnopqrstuvwxyz", 3) for b in (n, n + 7)] for n in range(130)}
+    rows = [(100 * i + n, " ".join(rng.choice(words) for _ in range(20)), name, None) for i, (name, words) in enumerate(made.items()) for n in range(6)]
+    rows += [(50_000 + n, "quex quaz " * 9 + str(n % 5), "copied", None) for n in range(3000)]
+    rows += [(60_000 + n, "zorn zirp " * 6000, "long", None) for n in range(900)]  # too long to learn from
+    rows += [(70_000 + n, f"zorn zirp zapp {n}", "long", None) for n in range(9)]
+    model = language.learn(documents(spark, rows))
+    assert set(model.languages) == {*made, "copied", "long"}
+
+
+def test_class_scores_are_those_of_a_mean_and_a_softmax():
+    rng = random.Random(5)
+    texts = [text(rng, lang, 12).lower().encode() for lang in WORDS for _ in range(30)]
+    model = language.train(texts, [lang for lang in WORDS for _ in range(30)], epochs=2)
+    n = len(model.languages)
+    for t in texts[::11]:
+        found = np.concatenate(list(subwords(language._laid_out([t]))))
+        found = found[found < BUCKETS]
+        logits = (model.table[found, :n].mean(axis=0) + model.bias) / model.temperature
+        want = np.exp(logits) / np.exp(logits).sum()
+        assert np.allclose(model.scores([t])[0], want, atol=1e-5)
+
+
 def test_labels_of_held_out_rows_are_not_used(spark):
     rng = random.Random(1)
     rows = [(n, text(rng, "aa" if n % 2 else "bb", 20), "aa" if n % 2 else "bb", None) for n in range(200)]
