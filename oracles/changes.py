@@ -37,6 +37,15 @@ ORACLE = {
 SELECT * EXCLUDE (__kind, __ts), CASE __kind WHEN 'u' THEN 'U' WHEN 'd' THEN 'D' ELSE 'I' END AS Op,
        __ts AS __dms_timestamp, strftime(__ts, '%Y%m%d') AS day FROM events""", "ord"),
     "cdc_split": _SPLIT,
+    "quarantine_events": with_tables(f"""
+WITH {EVENTS.strip()}
+SELECT CASE order_id % 7 WHEN 1 THEN 'malformed' WHEN 2 THEN 'unknown op' WHEN 3 THEN 'no envelope'
+       WHEN 4 THEN 'no row' ELSE 'accepted' END AS reason, count(*) AS lines
+FROM events GROUP BY ALL""", "ord"),
+    "load_since_mark": with_tables("""
+SELECT order_id, CASE WHEN order_date >= DATE '1998-06-30' AND order_id % 5 = 0 THEN upper(status) ELSE status END AS status,
+       CAST(order_date AS TIMESTAMP) AS updated_at
+FROM ord WHERE order_date >= DATE '1998-06-30' OR order_id % 3 > 0""", "ord"),
     "cdc_upsert": with_tables(f"""
 SELECT {_ROW}, upper(status) AS status, false AS __cdc_deleted, 'UPDATE' AS __cdc_op, {_AT} 2000 AS __cdc_ts
 FROM ord UNION ALL {_ADDED}""", "ord"),

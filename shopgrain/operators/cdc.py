@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopgrain.operators.global_order import GlobalOrder
+from shopgrain.operators.silver import keep_one
 from shopgrain.sources.changes import OP, STAMP
+from shopgrain.sources.layers import current_version, point_to, read_version, write_version
 from shopgrain.sources.scratch import settle
 
 DELETED, LAST_OP, LAST_TS = "__cdc_deleted", "__cdc_op", "__cdc_ts"
@@ -144,6 +146,39 @@ def incremental_by_updated_at(
     return source.where(F.col(column) > F.lit(mark).cast("timestamp"))
 
 
+def load_since_mark(source: DataFrame, path: str, key: str, column: str = "updated_at") -> DataFrame:
+    """The table at ``path`` with the rows of ``source`` that changed since its last load.
+
+    The mark is the greatest ``column`` loaded so far. It is stored beside the table
+    and moves only after the table is written, and rows on the mark are read again:
+    a load that failed, or rows that got the mark's very time after it was taken, are
+    made up for by the next one. Of a key the latest row stays, so nothing repeats.
+    Rows without a key or a time are left out. One load at a time.
+    """
+    spark, marks = source.sparkSession, f"{path}/_mark"
+    mark, table = current_version(spark, marks), current_version(spark, path)
+    fresh = source.dropna(subset=[key, column])
+    if mark is not None:
+        fresh = fresh.where(F.col(column) >= F.lit(mark).cast(source.schema[column].dataType))
+    fresh = settle(keep_one(fresh, [key], F.col(column), latest=True), "fresh")
+    newest = fresh.agg(F.max(column).cast("string")).first()[0]
+    if newest is None:
+        return read_version(spark, path) if table is not None else fresh
+    if table is not None:
+        old = read_version(spark, path)
+        # A source may bring an older row on the mark; of rows of one time the one read last stays.
+        times = fresh.select(F.col(key).alias("__key"), F.col(column).alias("__at"))
+        newer = old.join(times, (F.col(key) == F.col("__key")) & (F.col(column) > F.col("__at")), "left_semi")
+        fresh = (
+            old.join(fresh.select(key), key, "left_anti")
+            .unionByName(newer)
+            .unionByName(fresh.join(newer.select(key), key, "left_anti"))
+        )
+    write_version(fresh, path)
+    point_to(spark, marks, newest)
+    return read_version(spark, path)
+
+
 # -- history -----------------------------------------------------------------
 
 

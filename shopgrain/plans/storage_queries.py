@@ -125,6 +125,35 @@ def read_cdc_op(spark: SparkSession, t: Retail) -> DataFrame:
     return changes.read_cdc_op(spark, path, made_changes.ROW)
 
 
+def quarantine_events(spark: SparkSession, t: Retail) -> DataFrame:
+    """Lines of change events, some broken by rule, counted by what is wrong with them."""
+    path = _place(spark, "lines")
+    events = made_changes.change_events(t)
+    number = F.coalesce("payload.after.order_id", "payload.before.order_id") % 7
+    whole = F.to_json(F.struct("payload"))
+    line = (
+        F.when(number == 1, F.substring(whole, 1, 20))
+        .when(number == 2, F.regexp_replace(whole, '"op":"', '"op":"x'))
+        .when(number == 3, F.lit('{"other":1}'))
+        .when(number == 4, F.to_json(F.struct(F.struct("payload.op", "payload.ts_ms").alias("payload"))))
+        .otherwise(whole)
+    )
+    events.select(line.alias("value")).write.text(path)
+    judged = changes.read_judged(spark, path, made_changes.ROW, "order_id")
+    return judged.groupBy(F.coalesce("reason", F.lit("accepted")).alias("reason")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+def load_since_mark(spark: SparkSession, t: Retail) -> DataFrame:
+    """Orders in two loads; the second one finds the day of the first one's mark again, with later rows."""
+    path = _place(spark, "orders")
+    dated = t.order_heads.select("order_id", "status", F.col("order_date").cast("timestamp").alias("updated_at"))
+    early = F.col("updated_at") <= F.lit("1998-06-30").cast("timestamp")
+    cdc.load_since_mark(dated.where(early & (F.col("order_id") % 3 > 0)), path, "order_id")
+    changed = F.when(F.col("order_id") % 5 == 0, F.upper("status")).otherwise(F.col("status"))
+    on_mark = F.col("updated_at") >= F.lit("1998-06-30").cast("timestamp")
+    return cdc.load_since_mark(dated.where(on_mark).withColumn("status", changed), path, "order_id")
+
+
 def cdc_split(spark: SparkSession, t: Retail) -> DataFrame:
     return cdc.cdc_split(made_changes.change_events(t))
 
@@ -210,6 +239,8 @@ QUERIES = {
     "register_tables": register_tables,
     "read_cdc_json": read_cdc_json,
     "read_cdc_op": read_cdc_op,
+    "quarantine_events": quarantine_events,
+    "load_since_mark": load_since_mark,
     "cdc_split": cdc_split,
     "cdc_upsert": cdc_upsert,
     "cdc_soft_delete": cdc_soft_delete,

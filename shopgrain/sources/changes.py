@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 OP, STAMP = "Op", "__dms_timestamp"
+OPS = ("c", "r", "u", "d")  # insert, snapshot, update, delete
+_CORRUPT = "__corrupt"
 
 
 def envelope(row: T.StructType) -> T.StructType:
@@ -26,6 +28,47 @@ def read_cdc_json(spark: SparkSession, path: str, row: T.StructType) -> DataFram
     return spark.read.schema(envelope(row)).json(path)
 
 
+def judged_events(lines: DataFrame, row: T.StructType, key: str) -> DataFrame:
+    """``payload, line, reason`` of text lines (``value``): why a line is no event of the table, null if it is one.
+
+    ``malformed``: no JSON, or a value of another type; ``no envelope``; ``unknown op``;
+    ``no row``: without the image that its op needs; ``no key``; ``no time``. Empty
+    lines are none.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    parsed = lines.where(F.trim("value") != "").select(
+        F.col("value").alias("line"), F.from_json("value", envelope(row).add(_CORRUPT, "string"), options).alias("e")
+    )
+    op = F.col("payload.op")
+    image = F.when(op == "d", F.col("payload.before")).otherwise(F.col("payload.after"))
+    reasons = (
+        (F.col(_CORRUPT).isNotNull(), "malformed"),
+        (op.isNull(), "no envelope"),
+        (~op.isin(*OPS), "unknown op"),
+        (image.isNull(), "no row"),
+        (image[key].isNull(), "no key"),
+        (F.col("payload.ts_ms").isNull(), "no time"),
+    )
+    reason = F.coalesce(*[F.when(wrong, name) for wrong, name in reasons])
+    return parsed.select("line", F.col("e.payload").alias("payload"), F.col(f"e.{_CORRUPT}").alias(_CORRUPT)).select(
+        "payload", "line", reason.alias("reason")
+    )
+
+
+def read_judged(spark: SparkSession, path: str, row: T.StructType, key: str) -> DataFrame:
+    return judged_events(spark.read.text(path), row, key)
+
+
+def accepted(judged: DataFrame) -> DataFrame:
+    """The events, as ``cdc_split`` takes them."""
+    return judged.where("reason IS NULL").select("payload")
+
+
+def quarantined(judged: DataFrame) -> DataFrame:
+    """The lines that are no events, as they came, with the reason."""
+    return judged.where("reason IS NOT NULL").select("line", "reason")
+
+
 def write_cdc_json(events: DataFrame, path: str) -> None:
     events.write.mode("overwrite").json(path)
 

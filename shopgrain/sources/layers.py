@@ -61,7 +61,8 @@ def current_version(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def _point_to(spark: SparkSession, path: str, version: str) -> None:
+def point_to(spark: SparkSession, path: str, version: str) -> None:
+    """Make ``version`` the current one of the table at ``path``, in one step."""
     fs_package, target, conf = _file_system(spark, f"{path}/{_POINTER}")
     draft = fs_package.Path(f"{path}/_next-{uuid.uuid4().hex}")
     stream = target.getFileSystem(conf).create(draft, True)
@@ -79,7 +80,7 @@ def write_version(df: DataFrame, path: str) -> str:
     """Write a new version of the table and make it the current one."""
     version = f"v-{uuid.uuid4().hex}"
     write_parquet_table(df, f"{path}/{version}", mode="errorifexists")
-    _point_to(df.sparkSession, path, version)
+    point_to(df.sparkSession, path, version)
     return version
 
 
@@ -153,7 +154,7 @@ def _replace(df: DataFrame, path: str, state: dict, buckets: Sequence[int], grac
     left = state["left"] + [[folders.pop(str(b)), now] for b in buckets if str(b) in folders]
     gone = [f for f, at in left if now - at >= grace]
     state |= {"folders": folders | new, "left": [x for x in left if x[0] not in gone], "schema": df.schema.json()}
-    _point_to(spark, path, json.dumps(state))
+    point_to(spark, path, json.dumps(state))
     for folder in gone:
         delete(spark, f"{path}/{folder}")
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shopgrain.operators.cdc import cdc_merge, cdc_split, with_marks
-from shopgrain.sources.changes import envelope
+from shopgrain.sources.changes import accepted, judged_events, quarantined
 from shopgrain.sources.layers import (
     bucket,
     bucketed_state,
@@ -18,6 +20,18 @@ from shopgrain.sources.layers import (
 from shopgrain.sources.scratch import passing, settle
 
 
+QUARANTINE = "line string, reason string, batch string"
+
+
+def quarantine_path(table_path: str) -> str:
+    """Where a table's stream keeps the lines that are no events."""
+    return f"{table_path}/_quarantine"
+
+
+def read_quarantine(spark: SparkSession, table_path: str) -> DataFrame:
+    return spark.read.schema(QUARANTINE).parquet(quarantine_path(table_path))
+
+
 def cdc_stream_merge(
     spark: SparkSession,
     events_path: str,
@@ -34,22 +48,28 @@ def cdc_stream_merge(
 
     A batch reads and rewrites the buckets that its keys fall into, and leaves the
     others' files alone; replaced files go after ``grace`` seconds, and what a
-    batch settles goes with it. ``buckets`` counts only for a table that is not
+    batch settles goes with it. Lines that are no events of the table are kept with
+    the reason in a folder for each batch, which a repeated batch replaces. ``buckets`` counts only for a table that is not
     there yet. A batch that is repeated after a failure merges to the same rows. The default
     trigger works off what has arrived and stops; give
     ``{"processingTime": "1 minute"}`` to keep running.
     """
-    reader = spark.readStream.schema(envelope(row))
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
-    def apply(batch: DataFrame, _epoch: int) -> None:
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
+    def apply(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
         if bucketed_state(session, table_path) is None:
             write_bucketed(with_marks(session.createDataFrame([], row)), table_path, key, buckets)
         parts = bucketed_state(session, table_path)["buckets"]
         with passing(session):
-            changes = settle(cdc_split(batch).dropna(subset=[key]), "batch")
+            judged = judged_events(batch, row, key)
+            kept = f"{quarantine_path(table_path)}/batch={run}-{epoch}"
+            quarantined(judged).write.mode("overwrite").parquet(kept)
+            changes = settle(cdc_split(accepted(judged)), "batch")
             # At most one number per bucket.
             touched = [r[0] for r in changes.select(bucket(key, parts)).distinct().collect()]
             if touched:
@@ -57,7 +77,7 @@ def cdc_stream_merge(
                 replace_buckets(cdc_merge(table, changes, key), table_path, touched, grace)
 
     return (
-        reader.json(events_path)
+        reader.text(events_path)
         .writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from shopgrain.operators import cdc
 from shopgrain.sources import changes, layers
-from shopgrain.streaming.cdc_stream import cdc_stream_merge
+from shopgrain.streaming.cdc_stream import cdc_stream_merge, read_quarantine
 
 ROW = T.StructType().add("id", "integer").add("v", "string")
 SCHEMA = "id int, v string, __kind string, __ts timestamp"
@@ -148,6 +148,52 @@ def test_stream_leaves_untouched_buckets_alone(spark, tmp_path):
     assert rows == {n: "new" if n == 7 else f"t{n}" for n in range(200)}
 
 
+def test_lines_that_are_no_events_are_kept(spark, tmp_path):
+    lines = [
+        '{"payload":{"op":"c","after":{"id":1,"v":"a"},"ts_ms":1000}}',
+        '{"payload":{"op":"c","after":{"id":2,"v":',
+        '{"payload":{"op":"z","after":{"id":3,"v":"a"},"ts_ms":1000}}',
+        '{"payload":{"op":"u","after":{"id":"x","v":"a"},"ts_ms":1000}}',
+        '{"payload":{"op":"u","after":{"v":"a"},"ts_ms":1000}}',
+        '{"payload":{"op":"u","after":{"id":4,"v":"a"}}}',
+        '{"payload":{"op":"d","after":{"id":4,"v":"a"},"ts_ms":1000}}',
+        "[]",
+        '{"x":1}',
+        "",
+        "not json",
+    ]
+    path, table = tmp_path / "events", str(tmp_path / "table")
+    path.mkdir()
+    (path / "part.json").write_text("\n".join(lines))
+    reasons = {r.line: r.reason for r in changes.read_judged(spark, str(path), ROW, "id").collect()}
+    assert [reasons.get(x) for x in lines] == [
+        None, "malformed", "unknown op", "malformed", "no key", "no time", "no row", reasons["[]"], "no envelope", None, "malformed"
+    ]
+    assert reasons["[]"] in ("malformed", "no envelope") and len(reasons) == 10
+    for _ in range(2):
+        cdc_stream_merge(spark, str(path), table, ROW, "id", str(tmp_path / "checkpoint")).awaitTermination()
+    assert [r.id for r in layers.read_bucketed(spark, table).collect()] == [1]
+    kept = read_quarantine(spark, table).collect()
+    assert {r.line: r.reason for r in kept} == {k: v for k, v in reasons.items() if v} and len(kept) == 9
+
+
+def test_loads_since_a_mark_lose_and_repeat_nothing(spark, tmp_path):
+    path, kind = str(tmp_path / "table"), "id int, v string, updated_at timestamp"
+
+    def load(rows):
+        got = cdc.load_since_mark(spark.createDataFrame(rows, kind), path, "id")
+        return sorted((r.id, r.v) for r in got.collect())
+
+    first = [(1, "a", at(1)), (2, "b", at(5)), (3, "c", at(5)), (None, "x", at(9)), (4, "no time", None)]
+    assert load(first) == [(1, "a"), (2, "b"), (3, "c")]
+    tied = [*first, (5, "late, on the mark", at(5)), (1, "old news", at(4)), (6, "new", at(6)), (6, "newer", at(7))]
+    want = [(1, "a"), (2, "b"), (3, "c"), (5, "late, on the mark"), (6, "newer")]
+    assert load(tied) == want and load(tied) == want and load([]) == want
+    assert load([(6, "newer still", at(7))])[-1] == (6, "newer still") and load(tied)[-1] == (6, "newer")
+    layers.point_to(spark, f"{path}/_mark", str(at(1)))  # as if the last load had ended before its mark was stored
+    assert load([*tied, (1, "now", at(8))]) == [(1, "now"), *want[1:]]
+
+
 def test_soft_delete_of_unknown_key_adds_nothing(spark):
     target = spark.createDataFrame([(1, "a")], ROW)
     batch = spark.createDataFrame([(2, "x", "d", at(1))], SCHEMA)
