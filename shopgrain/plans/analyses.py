@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -152,19 +152,25 @@ def run_named(name: str, g: Gold, *args) -> DataFrame:
 
 
 def run_all(
-    g: Gold, names: Iterable[str] | None = None, csv_folder: str | None = None
+    g: Gold,
+    names: Iterable[str] | None = None,
+    csv_folder: str | None = None,
+    arguments: Mapping[str, Sequence] | None = None,
 ) -> tuple[dict[str, DataFrame], dict[str, str]]:
     """The named analyses, executed, and the message of each that failed.
 
-    If none are named: all but ``NEED_ARGUMENTS``.
+    ``arguments`` holds an analysis's own parameters, by its name. If none are named:
+    all but those of ``NEED_ARGUMENTS`` that have none.
 
     Each result is written once, so one that fails while it runs fails alone. With
     ``csv_folder`` it is written there as well.
     """
-    results, failed = {}, {}
-    for name in [n for n in ANALYSES if n not in NEED_ARGUMENTS] if names is None else names:
+    results, failed, given = {}, {}, arguments or {}
+    if names is None:
+        names = [n for n in ANALYSES if n not in NEED_ARGUMENTS or n in given]
+    for name in names:
         try:
-            result = settle(run_named(name, g), "analysis")
+            result = settle(run_named(name, g, *given.get(name, ())), "analysis")
             if csv_folder:
                 export_csv(_flat(result), f"{csv_folder}/{name}")
             results[name] = result

@@ -13,7 +13,7 @@ from shopgrain.functions.columns import present
 from shopgrain.operators import bronze, silver
 from shopgrain.operators.gold import GOLD_TABLES, Gold
 from shopgrain.plans import features, reports, storage_queries
-from shopgrain.plans.analyses import ANALYSES, LAKEHOUSE, run_all, run_named
+from shopgrain.plans.analyses import ANALYSES, run_all, run_named
 from shopgrain.plans.medallion import Medallion
 from shopgrain.plans.model_queries import ModelQueries
 from shopgrain.plans.storage_queries import AS_OF, RULES
@@ -137,8 +137,8 @@ QUERIES |= {
 
 
 def _run_all(spark: SparkSession, folder: str) -> DataFrame:
-    """The lakehouse analyses, each executed: its name and how many rows it gave; null if it failed."""
-    results, failed = run_all(_gold(spark, folder), LAKEHOUSE)
+    """All analyses, each executed: its name and how many rows it gave; null if it failed."""
+    results, failed = run_all(_gold(spark, folder), arguments=ARGUMENTS)
     counts = [
         df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
         for name, df in results.items()
