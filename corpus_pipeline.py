@@ -23,13 +23,23 @@ COMMON_LINE = 0.05
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; null and letterless texts and doubtful ones go."""
+    """Documents whose language is recognised; null and letterless texts and doubtful ones go.
+
+    Whole texts are judged, however long. Repeated rows are judged alike and all stay
+    or all go; null ids stay; an empty table gives no rows; other columns are dropped.
+    """
     found = identify(docs, keep=COLUMNS)
     return found.where("NOT rejected").select(*COLUMNS)
 
 
 def site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that their source repeats; n_chars follows the text."""
+    """All documents, without the lines that their source repeats; n_chars follows the text.
+
+    A null source is a source like any other. Null texts stay null, an empty text stays
+    empty, and a text all of whose lines go is empty. Rows that repeat stay, each
+    without the same lines; null ids stay; an empty table gives no rows; other columns
+    are dropped.
+    """
     freed = drop_boilerplate(docs.select(*COLUMNS), "source", "text", common=COMMON_LINE)
     changed = F.col("n_dropped") > 0
     return freed.withColumns(
@@ -72,7 +82,13 @@ def _once(docs: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it.
+
+    Documents without words have no size and are taken like others, up to twice, which
+    adds nothing to the mix. Rows that repeat are documents of their own, which together give as many rows as the mix takes of them.
+    A null id is an id and a null source a source like any other; an empty table gives
+    no rows; other columns are dropped.
+    """
     key = ["doc_id", "source", "text_hash"]
     copies = settle(
         mix_sources(docs).groupBy(*key).agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")), "copies"
@@ -91,7 +107,12 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences."""
+    """The pieces of all documents and their places in sequences.
+
+    A null or empty text is one piece of the end id; a text longer than a window is cut
+    into full ones and a rest. Rows that repeat are documents of their own, null ids
+    stay null, an empty table gives no rows.
+    """
     return pack(docs)
 
 
