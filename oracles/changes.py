@@ -86,4 +86,20 @@ FROM customers c JOIN new_city n ON c.customer_id = n.customer_id
 UNION ALL
 SELECT c.customer_id, DATE '2001-08-02', c.city, n.country, NULL, true
 FROM customers c JOIN new_city n ON c.customer_id = n.customer_id WHERE c.country <> n.country""", "customers"),
+    "scd2_snapshots": with_tables("""
+WITH days AS (SELECT unnest([DATE '1996-12-31', DATE '1998-12-31', DATE '2000-12-31']) AS seen), grid AS (
+  SELECT c.customer_id, d.seen, arg_max(o.status, (o.order_date, o.order_id)) FILTER (WHERE o.order_date <= d.seen) AS last_status
+  FROM (SELECT DISTINCT customer_id FROM ord) c CROSS JOIN days d JOIN ord o ON o.customer_id = c.customer_id
+  GROUP BY ALL
+), held AS (
+  SELECT customer_id, seen, CASE WHEN seen = DATE '1998-12-31' AND customer_id % 5 = 0 THEN NULL ELSE last_status END AS status
+  FROM grid
+), borders AS (
+  SELECT * FROM held
+  QUALIFY lag(status) OVER (PARTITION BY customer_id ORDER BY seen) IS DISTINCT FROM status
+), spans AS (
+  SELECT customer_id, seen AS effective_from, status, lead(seen) OVER (PARTITION BY customer_id ORDER BY seen) AS effective_to
+  FROM borders
+)
+SELECT *, effective_to IS NULL AS is_current FROM spans WHERE status IS NOT NULL""", "ord"),
 }

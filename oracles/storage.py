@@ -25,6 +25,12 @@ FROM products""", "products"),
     "union_evolving": with_tables("""
 SELECT customer_id, first_name, CAST(NULL AS VARCHAR) AS phone FROM customers
 UNION ALL SELECT customer_id + 1000000000, NULL, 'p' || customer_id FROM customers""", "customers"),
+    "union_evolving_types": with_tables("""
+SELECT order_id, CASE WHEN order_id % 3 < 2 THEN CAST(order_date AS TIMESTAMP) END AS at,
+       CASE order_id % 3 WHEN 0 THEN CAST(customer_id AS VARCHAR) WHEN 1 THEN 'C' || customer_id END AS buyer,
+       CASE order_id % 3 WHEN 2 THEN upper(status) ELSE status END AS status,
+       CAST(CASE order_id % 3 WHEN 1 THEN month(order_date) WHEN 2 THEN day(order_date) END AS INTEGER) AS month
+FROM ord""", "ord"),
     "export_csv": with_tables("SELECT order_id, order_date, status FROM ord", "ord"),
     "register_views": _COUNTS,
     "register_tables": _COUNTS,

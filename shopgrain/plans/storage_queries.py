@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shopgrain.functions.columns import present
-from shopgrain.operators import cdc
+from shopgrain.operators import cdc, history
 from shopgrain.operators.gold import CustomerRules, Gold
 from shopgrain.plans.governance import analyst_view, auditor_view
 from shopgrain.sources import catalog, changes, layers, made_changes
@@ -216,6 +216,46 @@ def scd2_merge(spark: SparkSession, t: Retail) -> DataFrame:
     return cdc.scd2_merge(dimension, snapshot, "customer_id", ["city", "country"], "2001-08-02")
 
 
+def scd2_snapshots(spark: SparkSession, t: Retail) -> DataFrame:
+    """Customers by the status of their last order, seen on three days and loaded out of order.
+
+    The second snapshot, which comes last, lacks every fifth customer.
+    """
+    path = _place(spark, "history")
+    for day in ("2000-12-31", "1996-12-31", "1998-12-31"):
+        seen = t.order_heads.where(F.col("order_date") <= F.lit(day).cast("date"))
+        if day == "1998-12-31":
+            seen = seen.where(F.col("customer_id") % 5 > 0)
+        last = seen.groupBy("customer_id").agg(
+            F.max_by("status", F.struct("order_date", "order_id")).alias("status")
+        )
+        result = history.load_snapshot(last, path, "customer_id", ["status"], day)
+    return result
+
+
+def union_evolving_types(spark: SparkSession, t: Retail) -> DataFrame:
+    """Three generations of orders: a number became a text, a day a time, and a nested row gained a field."""
+    first = t.order_heads.where("order_id % 3 = 0").select(
+        F.col("order_id").cast("int").alias("order_id"),
+        F.col("order_date").alias("at"),
+        F.col("customer_id").alias("buyer"),
+        F.struct("status").alias("detail"),
+    )
+    second = t.order_heads.where("order_id % 3 = 1").select(
+        "order_id",
+        F.col("order_date").cast("timestamp").alias("at"),
+        F.concat(F.lit("C"), "customer_id").alias("buyer"),
+        F.struct("status", F.month("order_date").alias("month")).alias("detail"),
+    )
+    third = t.order_heads.where("order_id % 3 = 2").select(
+        F.struct(F.dayofmonth("order_date").alias("month"), F.upper("status").alias("status")).alias("detail"),
+        "order_id",
+    )
+    return layers.union_evolving(first, second, third).select(
+        "order_id", "at", "buyer", F.col("detail.status").alias("status"), F.col("detail.month").alias("month")
+    )
+
+
 def analyst(spark: SparkSession, t: Retail) -> DataFrame:
     """The customers' gold table, read through the view."""
     gold, prefix = Gold(t, AS_OF, RULES), f"analyst_{uuid.uuid4().hex}_"
@@ -234,6 +274,7 @@ QUERIES = {
     "write_partitioned": write_partitioned,
     "recover_partitions": recover_partitions,
     "union_evolving": union_evolving,
+    "union_evolving_types": union_evolving_types,
     "export_csv": export_csv,
     "register_views": register_views,
     "register_tables": register_tables,
@@ -250,6 +291,7 @@ QUERIES = {
     "incremental_by_updated_at": incremental_by_updated_at,
     "scd2": scd2,
     "scd2_merge": scd2_merge,
+    "scd2_snapshots": scd2_snapshots,
     "analyst_view": analyst,
     "auditor_view": auditor,
 }

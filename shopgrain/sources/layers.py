@@ -9,6 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from shopgrain.sources.scratch import delete
@@ -183,12 +184,93 @@ def write_partitioned(
 
 
 def union_evolving(*batches: DataFrame) -> DataFrame:
-    """Batches whose columns differ: new columns are added, missing ones are null."""
-    united = batches[0]
+    """Batches whose columns differ: new columns are added, missing ones are null, types are united.
+
+    See ``common_type``; fields of nested rows, in lists and maps too, are matched by name.
+    """
+    schema = batches[0].schema
     for batch in batches[1:]:
-        united = united.unionByName(batch, allowMissingColumns=True)
+        schema = common_type(schema, batch.schema)
+    united = None
+    for batch in batches:
+        given = {f.name: f.dataType for f in batch.schema.fields}
+        as_one = batch.select(
+            *[
+                (convert(F.col(_quoted(f.name)), given[f.name], f.dataType) if f.name in given else F.lit(None).cast(f.dataType))
+                .alias(f.name)
+                for f in schema.fields
+            ]
+        )
+        united = as_one if united is None else united.unionByName(as_one)
     return united
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}
+_TIMES = (T.DateType, T.TimestampNTZType, T.TimestampType)
+
+
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds the values of both.
+
+    The wider of two numbers; a decimal with room for both, or a double where 38 digits
+    are too few or one is a fraction; the time of a day and a time; the fields of both of two
+    rows. Kinds that have nothing in common become text, nested ones JSON.
+    """
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        theirs = {f.name: f.dataType for f in b.fields}
+        fields = [(f.name, common_type(f.dataType, theirs.pop(f.name, f.dataType))) for f in a.fields]
+        return T.StructType([T.StructField(n, t) for n, t in [*fields, *theirs.items()]])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(common_type(a.elementType, b.elementType))
+    if isinstance(a, T.MapType) and isinstance(b, T.MapType):
+        # Keys of one type only: two keys might become one text.
+        if a.keyType == b.keyType:
+            return T.MapType(a.keyType, common_type(a.valueType, b.valueType))
+    if isinstance(a, _WHOLE) and isinstance(b, _WHOLE):
+        return max(a, b, key=lambda t: _WHOLE.index(type(t)))
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        if T.FloatType() in (a, b) or T.DoubleType() in (a, b):
+            return T.DoubleType()
+        (p, s), (q, r) = _precision(a), _precision(b)
+        scale, whole = max(s, r), max(p - s, q - r)
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.DoubleType()
+    if isinstance(a, _TIMES) and isinstance(b, _TIMES):
+        return max(a, b, key=lambda t: _TIMES.index(type(t)))
+    return T.StringType()
+
+
+def _precision(t: T.DataType) -> tuple[int, int]:
+    return (t.precision, t.scale) if isinstance(t, T.DecimalType) else (_DIGITS[type(t)], 0)
+
+
+def convert(c: Column, given: T.DataType, wanted: T.DataType) -> Column:
+    """A column of one type as the ``common_type`` of it and others."""
+    if given == wanted:
+        return c
+    if isinstance(wanted, T.StructType) and isinstance(given, T.StructType):
+        has = {f.name: f.dataType for f in given.fields}
+        fields = [
+            (convert(c[f.name], has[f.name], f.dataType) if f.name in has else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in wanted.fields
+        ]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    if isinstance(wanted, T.ArrayType) and isinstance(given, T.ArrayType):
+        return F.transform(c, lambda x: convert(x, given.elementType, wanted.elementType))
+    if isinstance(wanted, T.MapType) and isinstance(given, T.MapType):
+        return F.transform_values(c, lambda _, x: convert(x, given.valueType, wanted.valueType))
+    if isinstance(wanted, T.StringType) and isinstance(given, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_json(c)
+    return c.cast(wanted)
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").csv(path)

@@ -128,3 +128,37 @@ def test_days_of_changes_before_the_mark_are_not_read(spark, tmp_path):
         assert sorted((r.id, r.day) for r in got.collect()) == [(20240102, "20240102"), (20240103, "20240103")]
         assert not any("20240101" in f for f in got.inputFiles())
         assert changes.read_cdc_op(spark, f"{tmp_path}/{form}", row, since="20250101").count() == 0
+
+
+def test_union_of_batches_whose_types_changed(spark):
+    a = spark.sql(
+        "SELECT 1 AS id, DATE'2024-01-02' AS at, 7 AS code, CAST(1.5 AS DECIMAL(4,2)) AS price,"
+        " named_struct('x', 1, 'in', array(named_struct('y', 1))) AS nest, map('k', 1) AS tags, array(1) AS list, 1.0f AS r"
+    )
+    b = spark.sql(
+        "SELECT 3000000000 AS id, TIMESTAMP'2024-01-02 03:00:00' AS at, 'seven' AS code, 12345678 AS price,"
+        " named_struct('z', 'n', 'in', array(named_struct('y', 2L, 'w', 'new')), 'x', 2L) AS nest,"
+        " map('k', 'v') AS tags, 'none' AS list, 2 AS r, CAST(NULL AS STRING) AS extra"
+    )
+    c = spark.sql("SELECT 5 AS id, CAST(NULL AS STRUCT<x:INT>) AS nest, NULL AS code")
+    got = layers.union_evolving(a, b, c)
+    kinds = dict(got.dtypes)
+    assert kinds == {
+        "id": "bigint", "at": "timestamp", "code": "string", "price": "decimal(12,2)",
+        "nest": "struct<x:bigint,in:array<struct<y:bigint,w:string>>,z:string>", "tags": "map<string,string>",
+        "list": "string", "r": "double", "extra": "string",
+    }
+    one, two, three = sorted(got.collect(), key=lambda r: (r.id > 4, r.id == 5))
+    assert (one.code, str(one.at), str(one.price), one.tags, one.list) == ("7", "2024-01-02 00:00:00", "1.50", {"k": "1"}, "[1]")
+    assert one.nest.asDict(True) == {"x": 1, "in": [{"y": 1, "w": None}], "z": None}
+    assert two.nest.asDict(True) == {"x": 2, "in": [{"y": 2, "w": "new"}], "z": "n"}
+    assert (two.id, two.code, str(two.price), two.list) == (3000000000, "seven", "12345678.00", "none")
+    assert (three.nest, three.code, three.at) == (None, None, None)
+    assert spark.createDataFrame(got.collect(), got.schema).count() == 3
+
+
+def test_union_of_one_batch_and_of_empty_ones(spark):
+    a = spark.createDataFrame([], "x int")
+    assert layers.union_evolving(a).dtypes == [("x", "int")]
+    b = spark.createDataFrame([("q",)], "`x` string")
+    assert [r.x for r in layers.union_evolving(a, b).collect()] == ["q"]
