@@ -10,15 +10,18 @@ only small side is one row per partition. It is done so for any number of rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from shopgrain.sources.scratch import settle
 
 _PART, _POS = "__part", "__pos"
+_ROW, _BLOCK = "__rn", "__block"
+#: Rows of one block of ``frames``, the largest group that one of its windows sorts.
+BLOCK = 100_000
 
 
 class GlobalOrder:
@@ -150,3 +153,35 @@ class GlobalOrder:
             _PART, _POS, "__head", "__next"
         )
         return self._next(out)
+
+    def frames(
+        self,
+        keys: Sequence[str],
+        order: Sequence[str],
+        behind: int,
+        columns: Callable[[WindowSpec], dict[str, Column]],
+        block: int = BLOCK,
+    ) -> "GlobalOrder":
+        """Window columns that look at most ``behind`` rows back inside ``keys``, for groups of any size.
+
+        ``keys`` and ``order`` must tell all rows apart. The rows are numbered and cut into
+        blocks of ``block``; the last ``behind`` rows of a block go to the next one too, where
+        they are seen and then dropped. So a group of a third of all rows is
+        sorted by many tasks, and each has the rows its frames need. ``columns``
+        gets the window and may use lags and frames of up to ``behind`` rows.
+        """
+        if not 0 < behind <= block:
+            raise ValueError("behind must lie between 1 and the size of a block")
+        numbered = self._with_number([*map(F.col, keys), *map(F.col, order)], _ROW)
+        place = F.col(_ROW) - 1
+        home = F.floor(place / F.lit(block))
+        is_last = place % block >= block - behind
+        homes = F.when(is_last, F.array(home, home + 1)).otherwise(F.array(home))
+        window = Window.partitionBy(_BLOCK, *keys).orderBy(_ROW)
+        out = (
+            numbered.withColumn(_BLOCK, F.explode(homes))
+            .select("*", *[c.alias(n) for n, c in columns(window).items()])
+            .where(F.col(_BLOCK) == home)
+            .drop(_BLOCK, _ROW)
+        )
+        return self._next(out)

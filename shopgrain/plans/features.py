@@ -6,8 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from shopgrain.functions.columns import as_of_date, mean, quotient
+from shopgrain.operators.global_order import GlobalOrder
 from shopgrain.operators.gold import Gold
 from shopgrain.operators.silver import PRICE_TIERS, catalogue_columns
 from shopgrain.sources.retail import Retail
@@ -154,23 +156,29 @@ def product_features(t: Retail, categories: Sequence[str] = CATEGORIES) -> DataF
 def store_features(g: Gold) -> DataFrame:
     """Rows of the daily summary with their store's revenue before them.
 
-    A store has at most one row per day and category. Rows of one day follow each
-    other by category.
+    A store has at most one row per day, category and place. Rows of one day follow each
+    other by category. Stores are cut into blocks, so one store's rows are no single task's.
     """
-    w = Window.partitionBy("store_name").orderBy("sale_date", "category", "store_city", "store_country")
-    recent = w.rowsBetween(-6, 0)
-    return g.daily_sales_summary.withColumns(
-        {
-            "dow": F.dayofweek("sale_date"),
-            "dom": F.dayofmonth("sale_date"),
-            "mth": F.month("sale_date"),
-            "yr": F.year("sale_date"),
+
+    def revenue(w: WindowSpec) -> dict[str, Column]:
+        recent = w.rowsBetween(-6, 0)
+        return {
             "revenue_lag1": F.lag("total_revenue", 1).over(w),
             "revenue_lag7": F.lag("total_revenue", 7).over(w),
             "revenue_ma7": quotient(
                 F.sum("total_revenue").over(recent), F.count("total_revenue").over(recent), 6
             ),
         }
+
+    order = ["sale_date", "category", "store_city", "store_country"]
+    framed = GlobalOrder(g.daily_sales_summary).frames(["store_name"], order, 7, revenue).df
+    return framed.withColumns(
+        {
+            "dow": F.dayofweek("sale_date"),
+            "dom": F.dayofmonth("sale_date"),
+            "mth": F.month("sale_date"),
+            "yr": F.year("sale_date"),
+        }
     ).fillna(0)
 
 

@@ -56,3 +56,31 @@ def test_next_in_group(spark):
     want = df.withColumn("after", F.lead("w").over(Window.partitionBy("v").orderBy("id")))
     columns = ["id", "after"]
     assert sorted(got.select(*columns).collect(), key=repr) == sorted(want.select(*columns).collect(), key=repr)
+
+
+@pytest.mark.parametrize("block", [3, 7, 64, 100_000])
+def test_frames_across_blocks(spark, block):
+    rng = random.Random(block)
+    # One group holds half of all rows; nulls among keys and values.
+    rows = [(rng.choice(["hot", "hot", "hot", "a", "b", None]), n, rng.choice([None, n % 11])) for n in range(300)]
+    df = spark.createDataFrame(rows, "k string, n int, v int")
+    back = 3
+
+    def columns(w):
+        return {
+            "lag1": F.lag("v", 1).over(w),
+            "lag3": F.lag("v", back).over(w),
+            "total": F.sum("v").over(w.rowsBetween(-back, 0)),
+        }
+
+    got = GlobalOrder(df).frames(["k"], ["n"], back, columns, block=block).df
+    plain = df.select("*", *[c.alias(n) for n, c in columns(Window.partitionBy("k").orderBy("n")).items()])
+    assert got.columns == plain.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+def test_frames_of_nothing_and_of_too_small_blocks(spark):
+    empty = GlobalOrder(spark.createDataFrame([], "k int, n int"))
+    assert empty.frames(["k"], ["n"], 1, lambda w: {"x": F.lag("n").over(w)}).df.count() == 0
+    with pytest.raises(ValueError):
+        empty.frames(["k"], ["n"], 3, lambda w: {}, block=2)
