@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import time
 import uuid
 from collections.abc import Sequence
 
@@ -103,8 +102,9 @@ def read_layer(spark: SparkSession, root: str, layer: str, table: str) -> DataFr
 
 # -- tables in buckets of their key -------------------------------------------
 #
-# The pointer of such a table names each bucket's folder, so a change to some keys
-# rewrites the buckets of these keys only.
+# One Parquet folder per bucket, replaced by Spark's dynamic partition overwrite, so a
+# change to some keys rewrites the buckets of these keys only. Key, number of buckets and
+# schema are stored beside them.
 
 _BUCKET = "__bucket"
 
@@ -114,9 +114,12 @@ def bucket(key: str, buckets: int) -> Column:
 
 
 def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
-    """A new table. A bucket is written by one task: choose ``buckets`` by the table's size."""
-    state = {"key": key, "buckets": buckets, "schema": df.schema.json(), "folders": {}, "left": []}
-    _replace(df, path, state, range(buckets), grace=0)
+    """A new table, where there is none yet."""
+    if bucketed_state(df.sparkSession, path) is not None:
+        raise FileExistsError(f"there is a table at {path}")
+    state = {"key": key, "buckets": buckets, "schema": df.schema.json()}
+    point_to(df.sparkSession, path, json.dumps(state))
+    replace_buckets(df, path)
 
 
 def bucketed_state(spark: SparkSession, path: str) -> dict | None:
@@ -124,45 +127,61 @@ def bucketed_state(spark: SparkSession, path: str) -> dict | None:
     return None if state is None else json.loads(state)
 
 
+def _bucketed_schema(state: dict) -> StructType:
+    return StructType.fromJson(json.loads(state["schema"])).add(_BUCKET, "integer")
+
+
 def read_bucketed(spark: SparkSession, path: str, only: Sequence[int] | None = None) -> DataFrame:
-    """The table, or the given buckets of it."""
+    """The table, or the given buckets of it, whose folders alone are read.
+
+    One that is read while its buckets are replaced may miss some: Spark's overwrite
+    deletes a folder before it moves the new one there.
+    """
     state = bucketed_state(spark, path)
     if state is None:
         raise FileNotFoundError(f"no table at {path}")
-    schema = StructType.fromJson(json.loads(state["schema"]))
-    folders = [f for b, f in state["folders"].items() if only is None or int(b) in only]
-    if not folders:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*[f"{path}/{f}" for f in folders])
+    if not _exists(spark, f"{path}/rows"):
+        return spark.createDataFrame([], _bucketed_schema(state)).drop(_BUCKET)
+    rows = spark.read.schema(_bucketed_schema(state)).parquet(f"{path}/rows")
+    return (rows if only is None else rows.where(F.col(_BUCKET).isin(list(only)))).drop(_BUCKET)
 
 
-def replace_buckets(df: DataFrame, path: str, buckets: Sequence[int], grace: float = 3600) -> None:
-    """``df`` becomes the content of the given buckets; the others keep their files.
+def replace_buckets(df: DataFrame, path: str) -> None:
+    """``df`` becomes the content of the buckets that its rows belong to; the others keep their files.
 
-    Folders that were replaced more than ``grace`` seconds ago are deleted; until
-    then readers that began before may go on. One writer at a time.
+    The rows may be computed from the table: they are written beside it first. So a
+    driver that dies while the folders are exchanged loses nothing: ``finish_replacing``
+    does it again. One writer at a time.
     """
-    _replace(df, path, bucketed_state(df.sparkSession, path), buckets, grace)
-
-
-def _replace(df: DataFrame, path: str, state: dict, buckets: Sequence[int], grace: float) -> None:
-    spark, version = df.sparkSession, f"v-{uuid.uuid4().hex}"
-    rows = df.withColumn(_BUCKET, bucket(state["key"], state["buckets"])).repartition(_BUCKET)
-    rows.write.option("compression", "snappy").partitionBy(_BUCKET).parquet(f"{path}/{version}")
-    written = spark.read.parquet(f"{path}/{version}").select(_BUCKET).distinct() if _has_files(spark, f"{path}/{version}") else None
-    new = {str(r[0]): f"{version}/{_BUCKET}={r[0]}" for r in written.collect()} if written is not None else {}
-    now, folders = time.time(), dict(state["folders"])
-    left = state["left"] + [[folders.pop(str(b)), now] for b in buckets if str(b) in folders]
-    gone = [f for f, at in left if now - at >= grace]
-    state |= {"folders": folders | new, "left": [x for x in left if x[0] not in gone], "schema": df.schema.json()}
-    point_to(spark, path, json.dumps(state))
-    for folder in gone:
-        delete(spark, f"{path}/{folder}")
-
-
-def _has_files(spark: SparkSession, path: str) -> bool:
-    _, folder, conf = _file_system(spark, path)
-    return any(s.isDirectory() for s in folder.getFileSystem(conf).listStatus(folder))
+    state = bucketed_state(df.sparkSession, path)
+    rows = df.withColumn(_BUCKET, bucket(state["key"], state["buckets"]))
+    write_parquet_table(rows, f"{path}/_pending")
+    finish_replacing(df.sparkSession, path)
+
+
+def finish_replacing(spark: SparkSession, path: str) -> None:
+    """Exchange the folders of the rows that are written and wait, if any do.
+
+    Rebalancing gathers a bucket's rows, and splits a bucket too large for a task.
+    """
+    pending = f"{path}/_pending"
+    if not _exists(spark, f"{pending}/_SUCCESS"):
+        return
+    rows = read_parquet_table(spark, pending, _bucketed_schema(bucketed_state(spark, path)))
+    (
+        rows.hint("rebalance", _BUCKET)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "snappy")
+        .partitionBy(_BUCKET)
+        .parquet(f"{path}/rows")
+    )
+    delete(spark, pending)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    _, place, conf = _file_system(spark, path)
+    return place.getFileSystem(conf).exists(place)
 
 
 # -- other sinks -------------------------------------------------------------

@@ -13,6 +13,7 @@ from shopgrain.sources.changes import accepted, judged_events, quarantined
 from shopgrain.sources.layers import (
     bucket,
     bucketed_state,
+    finish_replacing,
     read_bucketed,
     replace_buckets,
     write_bucketed,
@@ -42,15 +43,15 @@ def cdc_stream_merge(
     trigger: dict | None = None,
     files_per_batch: int | None = None,
     buckets: int = 64,
-    grace: float = 3600,
 ) -> StreamingQuery:
     """Merge JSON envelopes into a bucketed table, batch by batch.
 
     A batch reads and rewrites the buckets that its keys fall into, and leaves the
-    others' files alone; replaced files go after ``grace`` seconds, and what a
-    batch settles goes with it. Lines that are no events of the table are kept with
-    the reason in a folder for each batch, which a repeated batch replaces. ``buckets`` counts only for a table that is not
-    there yet. A batch that is repeated after a failure merges to the same rows. The default
+    others' files alone; what a batch settles goes with it. Lines that are no events of
+    the table are kept with the reason in a folder for each batch, which a repeated batch
+    replaces. ``buckets`` counts only for a table that is not
+    there yet. A batch that is repeated after a failure first ends what the failed one had begun to
+    replace and merges to the same rows. The default
     trigger works off what has arrived and stops; give
     ``{"processingTime": "1 minute"}`` to keep running.
     """
@@ -64,6 +65,7 @@ def cdc_stream_merge(
         session = batch.sparkSession
         if bucketed_state(session, table_path) is None:
             write_bucketed(with_marks(session.createDataFrame([], row)), table_path, key, buckets)
+        finish_replacing(session, table_path)
         parts = bucketed_state(session, table_path)["buckets"]
         with passing(session):
             judged = judged_events(batch, row, key)
@@ -74,7 +76,7 @@ def cdc_stream_merge(
             touched = [r[0] for r in changes.select(bucket(key, parts)).distinct().collect()]
             if touched:
                 table = read_bucketed(session, table_path, touched)
-                replace_buckets(cdc_merge(table, changes, key), table_path, touched, grace)
+                replace_buckets(cdc_merge(table, changes, key), table_path)
 
     return (
         reader.text(events_path)

@@ -4,6 +4,7 @@ import random
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopgrain.operators import cdc
@@ -131,23 +132,65 @@ def test_stale_update_beside_a_newer_delete(spark):
     assert state(late) == [(1, "t100", True, "DELETE")]
 
 
+def files(table):
+    return {f.relative_to(table): f.stat().st_mtime_ns for f in table.glob("rows/*/*.parquet")}
+
+
 def test_stream_leaves_untouched_buckets_alone(spark, tmp_path):
-    path, table = str(tmp_path / "events"), str(tmp_path / "table")
+    path, table = str(tmp_path / "events"), tmp_path / "table"
     start = cdc.with_marks(spark.createDataFrame([(n, f"t{n}") for n in range(200)], ROW))
-    layers.write_bucketed(start, table, "id", 16)
-    before = layers.bucketed_state(spark, table)["folders"]
+    layers.write_bucketed(start, str(table), "id", 16)
+    before = files(table)
     events = spark.createDataFrame([(("u", None, (7, "new"), 1000),)], changes.envelope(ROW))
     events.coalesce(1).write.json(path)
-    cdc_stream_merge(spark, path, table, ROW, "id", str(tmp_path / "checkpoint"), grace=0).awaitTermination()
-    after = layers.bucketed_state(spark, table)["folders"]
-    assert before.keys() == after.keys()
-    changed = [b for b in before if before[b] != after[b]]
-    assert len(changed) == 1
-    assert not (tmp_path / "table" / before[changed[0]]).exists()  # the grace is over
-    rows = {r.id: r.v for r in layers.read_bucketed(spark, table).collect()}
+    cdc_stream_merge(spark, path, str(table), ROW, "id", str(tmp_path / "checkpoint")).awaitTermination()
+    after = files(table)
+    folders = lambda names: {n.parent for n in names}
+    assert folders(before) == folders(after) and len(folders(before)) == 16
+    assert len(folders(set(before) ^ set(after))) == 1
+    assert all(before[f] == after[f] for f in set(before) & set(after))
+    rows = {r.id: r.v for r in layers.read_bucketed(spark, str(table)).collect()}
     assert rows == {n: "new" if n == 7 else f"t{n}" for n in range(200)}
 
 
+def test_exchange_of_buckets_that_broke_off_is_done_again(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "table")
+    layers.write_bucketed(spark.createDataFrame([(n, "old") for n in range(50)], ROW), table, "id", 4)
+    with monkeypatch.context() as m:
+        m.setattr(layers, "finish_replacing", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            layers.replace_buckets(spark.createDataFrame([(n, "new") for n in range(50)], ROW), table)
+    # As if the driver had died between deleting a folder and moving the new one there.
+    gone = next((tmp_path / "table" / "rows").glob("__bucket=*"))
+    for f in gone.glob("*"):
+        f.unlink()
+    for f in gone.glob(".*"):
+        f.unlink()
+    layers.finish_replacing(spark, table)
+    layers.finish_replacing(spark, table)  # nothing is left to do
+    assert {r.id: r.v for r in layers.read_bucketed(spark, table).collect()} == {n: "new" for n in range(50)}
+    with pytest.raises(FileExistsError):
+        layers.write_bucketed(spark.createDataFrame([], ROW), table, "id", 4)
+
+
+def test_large_bucket_is_split_and_small_ones_are_one_file(spark, tmp_path):
+    table = tmp_path / "table"
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200kb")
+    try:
+        # Two thirds of the rows share one key, hence one bucket.
+        wide = F.concat_ws("-", *[F.sha2(F.concat("id", F.lit(n)).cast("string"), 256) for n in range(4)])
+        rows = spark.range(9000).select(F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id")).cast("int").alias("id"), wide.alias("v"))
+        layers.write_bucketed(rows, str(table), "id", 4)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    counts = {}
+    for f in files(table):
+        counts[f.parent] = counts.get(f.parent, 0) + 1
+    assert len(counts) == 4 and max(counts.values()) > 2
+    assert layers.read_bucketed(spark, str(table)).count() == 9000
+    assert layers.read_bucketed(spark, str(table), [0, 1]).count() < 9000
+
+
 def test_lines_that_are_no_events_are_kept(spark, tmp_path):
     lines = [
         '{"payload":{"op":"c","after":{"id":1,"v":"a"},"ts_ms":1000}}',
