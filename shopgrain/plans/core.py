@@ -10,6 +10,7 @@ from shopgrain.operators.baskets import basket_lists, order_products, order_size
 from shopgrain.operators.global_order import GlobalOrder
 from shopgrain.operators.gold import Gold
 from shopgrain.operators.rollups import orders_with_sums
+from shopgrain.operators.tiles import Order, add_tiles
 from shopgrain.sources.retail import Retail
 from shopgrain.sources.scratch import settle
 
@@ -159,15 +160,9 @@ def recency_frequency_monetary(t: Retail, as_of: str) -> DataFrame:
     )
 
 
-def scored(base: DataFrame, recency: list[Column], frequency: list[Column], monetary: list[Column]):
+def scored(base: DataFrame, recency: Order, frequency: Order, monetary: Order) -> DataFrame:
     """Quintiles 1-5 in the three given orders."""
-    return (
-        GlobalOrder(base)
-        .ntile(5, recency, "r")
-        .ntile(5, frequency, "f")
-        .ntile(5, monetary, "m")
-        .df
-    )
+    return add_tiles(base, 5, {"r": recency, "f": frequency, "m": monetary})
 
 
 def rfm_analysis(t: Retail, as_of: str) -> DataFrame:
@@ -176,12 +171,12 @@ def rfm_analysis(t: Retail, as_of: str) -> DataFrame:
     Segment names follow the scores as given, so "Champions" are high scores.
     ``rfm_segmentation`` has the scores the usual way round.
     """
-    who = F.col("customer_id")
+    who = ("customer_id", False)
     base = scored(
         recency_frequency_monetary(t, as_of),
-        [F.col("recency"), who],
-        [F.desc("frequency"), who],
-        [F.desc("monetary"), who],
+        [("recency", False), who],
+        [("frequency", True), who],
+        [("monetary", True), who],
     )
     r, f, m = F.col("r"), F.col("f"), F.col("m")
     segment = label(

@@ -60,13 +60,13 @@ def cohort_matrix(t: Retail) -> DataFrame:
 
 def rfm_segmentation(t: Retail, as_of: str) -> DataFrame:
     """Quintile scores where 5 is best, their code, and nine segments."""
-    who = F.col("customer_id")
+    who = ("customer_id", False)
     base = recency_frequency_monetary(t, as_of).withColumn("monetary", F.round("monetary", 2))
     scores = scored(
         base,
-        [F.desc("recency"), who],
-        [F.col("frequency"), who],
-        [F.col("monetary"), who],
+        [("recency", True), who],
+        [("frequency", False), who],
+        [("monetary", False), who],
     )
     r, f, m = F.col("r"), F.col("f"), F.col("m")
     segment = label(

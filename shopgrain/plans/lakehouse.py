@@ -134,7 +134,7 @@ def ltv_distribution(t: Retail) -> DataFrame:
 
 def rfm(t: Retail, as_of: str) -> DataFrame:
     """Quintiles where 1 is best, as in ``rfm_analysis``; segments from R and F."""
-    who = F.col("customer_id")
+    who = ("customer_id", False)
     base = customer_values(t).select(
         "customer_id",
         F.datediff(as_of_date(as_of), "last_order").alias("recency_days"),
@@ -143,9 +143,9 @@ def rfm(t: Retail, as_of: str) -> DataFrame:
     )
     scores = scored(
         base,
-        [F.col("recency_days"), who],
-        [F.desc("frequency"), who],
-        [F.desc("monetary"), who],
+        [("recency_days", False), who],
+        [("frequency", True), who],
+        [("monetary", True), who],
     )
     r, f, m = F.col("r"), F.col("f"), F.col("m")
     segment = label(
