@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from oracles.base import amount, half_up, pct, with_tables
+from oracles.base import amount, half_up, over_tables, pct, with_tables
+from oracles.gold import ORACLE as GOLD
 
 STAMP = "TIMESTAMP '2001-08-02 06:00:00'"
 AUDIT = f"{STAMP} AS ingestion_timestamp, 'postgresql' AS source_system, 1 AS data_version"
@@ -159,28 +160,6 @@ SELECT * , {_LAKE}, {STAMP} AS __silver_processed_at, 'silver' AS __layer FROM r
 
 # -- what the layer tables hold ---------------------------------------------
 
-_NAMES = ("customers", "products", "employees", "stores", "ord", "sales")
-_EACH = ",\n".join(
-    f"b_{n} AS (WITH {_RAW[n].strip()} SELECT * FROM bronze)" for n in _NAMES
-) + """,
-s_customers AS (
-  SELECT * FROM b_customers QUALIFY row_number() OVER (PARTITION BY lower(trim(email)) ORDER BY customer_id) = 1
-),
-lines AS (
-  SELECT o.order_date, o.customer_id, st.store_id, p.product_id, p.category
-  FROM b_sales s JOIN b_ord o ON s.order_id = o.order_id
-       LEFT JOIN b_products p ON s.product_id = p.product_id LEFT JOIN b_stores st ON o.store_id = st.store_id
-)"""
-
-
-def _rows(layer: str, table: str, counted: str) -> str:
-    return (
-        f"SELECT '{layer}' AS layer, '{table}' AS table_name, '*' AS column_name, count(*) AS filled,"
-        f" CAST(NULL AS BIGINT) AS checksum FROM {counted}"
-    )
-
-
-_DAYS = "(SELECT DISTINCT {0}, category {1} FROM lines WHERE store_id IS NOT NULL AND product_id IS NOT NULL)"
 _CELL = """CASE WHEN typeof(COLUMNS(*)) = 'DOUBLE'
   THEN CAST(CAST(round(TRY_CAST(CAST(COLUMNS(*) AS VARCHAR) AS DOUBLE) * 1000000) AS BIGINT) AS VARCHAR)
   ELSE CAST(COLUMNS(*) AS VARCHAR) END AS "\\0\""""
@@ -188,7 +167,8 @@ _CELL = """CASE WHEN typeof(COLUMNS(*)) = 'DOUBLE'
 
 def _content(layer: str, table: str, key: str, without: str = "") -> str:
     """Per column: filled cells, and a sum over their md5."""
-    rows = f"SELECT * EXCLUDE ({without}) FROM ({ORACLE[key]}\n)" if without else ORACLE[key]
+    sql = _GOLD[key] if layer == "gold" else ORACLE[key]
+    rows = f"SELECT * EXCLUDE ({without}) FROM ({sql}\n)" if without else sql
     return f"""
 SELECT '{layer}' AS layer, '{table}' AS table_name, column_name, count(*) AS filled,
        CAST(sum(CAST('0x' || md5(cell)[1:8] AS BIGINT)) AS BIGINT) AS checksum
@@ -207,22 +187,47 @@ def _contents(without_stamps: bool = False) -> dict[str, list[str]]:
     }
 
 
-_GOLD = [
-    _rows("gold", "daily_sales_summary", _DAYS.format("order_date", ", store_id")),
-    _rows("gold", "monthly_time_series", _DAYS.format("year(order_date), month(order_date)", "")),
-    _rows("gold", "customer_analytics",
-          "(SELECT DISTINCT l.customer_id FROM lines l JOIN s_customers c ON l.customer_id = c.customer_id)"),
-    _rows("gold", "product_performance",
-          "(SELECT DISTINCT s.product_id FROM b_sales s JOIN b_products p ON s.product_id = p.product_id)"),
-    _rows("gold", "store_performance", "(SELECT DISTINCT store_id FROM lines WHERE store_id IS NOT NULL)"),
-]
+# The cleaned tables in the form of the base tables, amounts in cents.
+_CLEANED = {
+    "customers": _on("customers", f"""
+SELECT customer_id, upper(trim(first_name)) AS first_name, upper(trim(last_name)) AS last_name,
+       CASE WHEN gender IN ('Male', 'Female') THEN gender ELSE 'Unknown' END AS gender,
+       lower(trim(email)) AS email, {_initcap('city')} AS city, {_initcap('country')} AS country, join_date
+FROM bronze QUALIFY row_number() OVER (PARTITION BY lower(trim(email)) ORDER BY customer_id) = 1"""),
+    "products": _on("products", """
+SELECT * REPLACE (CASE WHEN category IN ('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL')
+                       THEN category[1] || lower(category[2:]) ELSE 'Unknown' END AS category)
+FROM bronze"""),
+    "stores": f"SELECT store_id, store_name, city, country, region FROM (\n{ORACLE['silver_stores']}\n)",
+    "ord": _on("ord", """
+SELECT * REPLACE (CASE WHEN status IN ('Completed', 'Pending', 'Cancelled', 'Shipped') THEN status ELSE 'Unknown' END AS status)
+FROM bronze"""),
+    "sales": _on("sales", "SELECT * FROM bronze"),
+}
+_GOLD_TABLES = (
+    "daily_sales_summary", "customer_analytics", "product_performance", "store_performance", "monthly_time_series"
+)
+# What gold tables carry over from the cleaned ones beside those columns.
+_CARRIED = {
+    "customer_analytics": ("silver_customers", "customer_id", "email_valid, source_system, data_version"),
+    "product_performance": ("silver_products", "product_id", "price_tier, stock_value, source_system, data_version"),
+    "store_performance": ("silver_stores", "store_id", "source_system, data_version"),
+}
+
+
+def _gold(table: str) -> str:
+    sql = over_tables(GOLD[f"gold_{table}"], **_CLEANED)
+    if table not in _CARRIED:
+        return sql
+    silver, key, columns = _CARRIED[table]
+    return f"SELECT * FROM (\n{sql}\n) JOIN (SELECT {key}, {columns} FROM (\n{ORACLE[silver]}\n)) USING ({key})"
 
 
-_ROWS = with_tables(f"WITH {_EACH}\n" + "\nUNION ALL ".join(_GOLD), *_NAMES)
+_GOLD = {f"gold_{n}": _gold(n) for n in _GOLD_TABLES}
 _STORED = _contents(without_stamps=True)
 
 ORACLE |= {
     "bronze_ingest_all": "\nUNION ALL ".join(_contents()["bronze"]),
     "silver_process_all": "\nUNION ALL ".join(_contents()["silver"]),
-    "run_layers": "\nUNION ALL ".join([*_STORED["bronze"], *_STORED["silver"], f"SELECT * FROM (\n{_ROWS}\n)"]),
+    "run_layers": "\nUNION ALL ".join([*_STORED["bronze"], *_STORED["silver"], *[_content("gold", n, f"gold_{n}") for n in _GOLD_TABLES]]),
 }
