@@ -97,6 +97,14 @@ def common_lines(
     return texts.join(totals, F.col("site").eqNullSafe(F.col("of"))).where(above).drop("of")
 
 
+def _free_prefix(columns: list[str]) -> str:
+    """A prefix that no column begins with, in capital or small letters."""
+    prefix = "__bl_"
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def drop_boilerplate(
     pages: DataFrame,
     site: Column | str = "site",
@@ -122,33 +130,34 @@ def drop_boilerplate(
     null text left null. Null sites are one site of their own. Repeated rows are
     pages of their own. Ids play no part, so null and repeated ones do no harm. An
     empty table stays empty. All columns stay; one of the three names, if it is
-    there already, is replaced. Names that begin with __bl_ are this function's own.
+    there already, is replaced; whatever the others are called, no name of this function's own meets them.
     """
     site = F.col(site) if isinstance(site, str) else site
-    hidden = {"__bl_site": site, "__bl_text": F.col(text)}
-    rows = pages.drop(*hidden).withColumns(hidden)
-    bars = (rows, F.col("__bl_site"), F.col("__bl_text"), pattern, max_ratio, min_pages)
+    own = _free_prefix(pages.columns)
+    hidden = {f"{own}site": site, f"{own}text": F.col(text)}
+    rows = pages.withColumns(hidden)
+    bars = (rows, F.col(f"{own}site"), F.col(f"{own}text"), pattern, max_ratio, min_pages)
     bad = boilerplate(*bars) if common is None else common_lines(*bars, common, common_pages)
     by_site = settle(
-        bad.groupBy(F.col("site").alias("__bl_of")).agg(F.collect_set("line").alias("__bl_bad")), "boilerplate"
+        bad.groupBy(F.col("site").alias(f"{own}of")).agg(F.collect_set("line").alias(f"{own}bad")), "boilerplate"
     )
-    out = rows.join(by_site, F.col("__bl_site").eqNullSafe(F.col("__bl_of")), "left")
-    lines = F.col("__bl_lines")
-    out = out.withColumn("__bl_lines", _lines(F.col("__bl_text"), pattern)).withColumn(
-        "__bl_kept",
-        F.when(F.col("__bl_bad").isNull(), lines).otherwise(
-            F.filter(lines, lambda x: ~F.array_contains(F.col("__bl_bad"), F.trim(x)))
+    out = rows.join(by_site, F.col(f"{own}site").eqNullSafe(F.col(f"{own}of")), "left")
+    lines = F.col(f"{own}lines")
+    out = out.withColumn(f"{own}lines", _lines(F.col(f"{own}text"), pattern)).withColumn(
+        f"{own}kept",
+        F.when(F.col(f"{own}bad").isNull(), lines).otherwise(
+            F.filter(lines, lambda x: ~F.array_contains(F.col(f"{own}bad"), F.trim(x)))
         ),
-    ).withColumn("__bl_same", F.size("__bl_kept") == F.size(lines))
+    ).withColumn(f"{own}same", F.size(f"{own}kept") == F.size(lines))
 
     def full(a: Column) -> Column:
         return F.size(F.filter(a, lambda x: F.trim(x) != "")).cast("long")
 
-    same = F.col("__bl_same")
+    same = F.col(f"{own}same")
     return out.withColumns(
         {
             "n_lines": full(lines),
-            "n_dropped": F.when(same, F.lit(0).cast("long")).otherwise((F.size(lines) - F.size("__bl_kept")).cast("long")),
-            "kept_text": F.when(same, F.col("__bl_text")).otherwise(F.array_join("__bl_kept", joiner)),
+            "n_dropped": F.when(same, F.lit(0).cast("long")).otherwise((F.size(lines) - F.size(f"{own}kept")).cast("long")),
+            "kept_text": F.when(same, F.col(f"{own}text")).otherwise(F.array_join(f"{own}kept", joiner)),
         }
-    ).drop(*hidden, "__bl_lines", "__bl_kept", "__bl_same", "__bl_of", "__bl_bad")
+    ).drop(*hidden, f"{own}lines", f"{own}kept", f"{own}same", f"{own}of", f"{own}bad")

@@ -58,3 +58,16 @@ def test_html(spark):
 
 def test_empty_table(spark):
     assert drop_boilerplate(documents(spark, []), "source", "text").collect() == []
+
+
+def test_columns_named_like_hidden_ones_stay(spark):
+    rows = [(n, f"Menu\nown {n}", "en", "a") for n in range(6)]
+    plain = documents(spark, rows)
+    names = ["__bl_of", "__bl_bad", "__bl_lines", "__bl_kept", "__bl_same", "__bl_site", "__BL_text", "__bl__of", "n_lines"]
+    clash = plain.withColumns({c: F.lit(f"own {c}") for c in names})
+    got = drop_boilerplate(clash, "source", "text")
+    want = drop_boilerplate(plain, "source", "text")
+    assert rows_of(got, "doc_id", "n_lines", "n_dropped", "kept_text") == rows_of(want, "doc_id", "n_lines", "n_dropped", "kept_text")
+    assert set(got.columns) == {*want.columns, *names}
+    for c in names[:-1]:
+        assert {r[0] for r in got.select(c).collect()} == {f"own {c}"}
