@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from shopgrain.llm.arrow import by_bytes, lists, small_batches
 from shopgrain.llm.vocabulary import (
     WordTable,
+    check_word_by_word,
     read_vocabulary,
     simplified,
     split_words,
@@ -159,7 +160,7 @@ def pack(
     ``vocabulary`` (no special tokens added), then ``end_id``; a null or empty
     text has that id alone. The text is taken word by word, which leaves the ids
     as they are as long as the tokenizer lower-cases, drops white space and splits
-    at it and at signs behind letters.
+    at it and at signs behind letters; a file that cuts a fixed text otherwise is refused.
 
     Result, a row per piece: doc_id, start (the document's ids before it), length,
     ids_crc32 (of its ids as little-endian unsigned 32-bit numbers), doc_tokens,
@@ -170,7 +171,9 @@ def pack(
     """
     spark = docs.sparkSession
     wanted = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    shared = spark.sparkContext.broadcast(read_vocabulary(vocabulary or vocabulary_path(VOCABULARY)))
+    words = read_vocabulary(vocabulary or vocabulary_path(VOCABULARY))
+    check_word_by_word(words)
+    shared = spark.sparkContext.broadcast(words)
     kind = _PIECE.format(id=wanted.schema["doc_id"].dataType.simpleString())
     cut = wanted.mapInArrow(_cut(shared, window, end_id, with_ids), kind + (", ids array<int>" if with_ids else ""))
     with small_batches(spark):

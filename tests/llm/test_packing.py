@@ -73,3 +73,8 @@ def test_many_documents_leave_little_room(spark):
 
 def test_empty_table(spark):
     assert pack(documents(spark, [])).collect() == []
+
+
+def test_tokenizers_that_keep_white_space_are_refused(spark):
+    with pytest.raises(ValueError, match="word by word"):
+        pack(documents(spark, []), vocabulary=vocabulary_path("byte_bpe_50k.json"))
