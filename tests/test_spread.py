@@ -1,8 +1,12 @@
 """Steps whose tasks get a bounded number of rows."""
 
+from decimal import Decimal
+
 import pytest
 
+from shopgrain.operators import gold
 from shopgrain.operators.baskets import of_known_orders, order_products
+from shopgrain.operators.rollups import order_category_sums
 from shopgrain.plans.extended import basket_categories
 from shopgrain.plans.scripts import product_combinations
 from shopgrain.sources import retail
@@ -60,14 +64,31 @@ def test_partitions_follow_the_rows(spark, shop, monkeypatch):
     assert again.spread(again.orders, "order_id").rdd.getNumPartitions() == 100
 
 
-@pytest.mark.parametrize("step", [order_products])
+@pytest.mark.parametrize("step", [order_products, order_category_sums])
 def test_orders_of_a_step_are_spread(shop, step):
     orders, shares = _shares(step(shop))
     assert len(shares) == 20 and sum(shares) == orders and max(shares) < orders / 4
 
 
+def test_hot_order_in_category_sums(shop):
+    sums = order_category_sums(shop)
+    rows = {(r["order_id"], r["category"]): r for r in sums.collect()}
+    assert rows[1, "A"]["lines"] == HOT / 2 and rows[1, "A"]["revenue"] == Decimal(HOT)
+    assert sum(r["lines"] for r in rows.values()) == 1000 and rows[None, "B"]["lines"] == 2
+    assert dict(sums.dtypes) == {
+        "order_id": "bigint", "category": "string", "revenue": "decimal(28,2)", "profit": "decimal(28,2)",
+        "units": "bigint", "discounts": "decimal(15,2)", "unit_prices": "decimal(28,6)", "lines": "bigint",
+    }
+
+
 def test_unknown_orders_are_left_out(shop):
     known = of_known_orders(shop, order_products(shop).groupBy("order_id").count())
     assert {r["order_id"] for r in known.collect()} == {1, *range(HOT, 990)}
     assert [tuple(r) for r in basket_categories(shop).collect()] == [(["A", "B"], 2, 1)]
     assert [r["order_count"] for r in product_combinations(shop).collect()] == [1]
+
+
+def test_daily_summary_does_not_gather_rows_by_store(shop):
+    plan = gold.daily_sales_summary(shop)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(store_id" not in plan
+    assert sum(r["order_count"] for r in gold.daily_sales_summary(shop).collect()) == 2 + 90
