@@ -1,4 +1,4 @@
-"""Steps whose tasks get a bounded number of rows."""
+"""Steps whose tasks get a bounded number of rows, and work that is done once."""
 
 from decimal import Decimal
 
@@ -6,7 +6,9 @@ import pytest
 
 from shopgrain.operators import gold
 from shopgrain.operators.baskets import of_known_orders, order_products
+from shopgrain.operators.gold import Gold
 from shopgrain.operators.rollups import order_category_sums
+from shopgrain.plans import analyses
 from shopgrain.plans.extended import basket_categories
 from shopgrain.plans.scripts import product_combinations
 from shopgrain.sources import retail
@@ -92,3 +94,20 @@ def test_daily_summary_does_not_gather_rows_by_store(shop):
     plan = gold.daily_sales_summary(shop)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(store_id" not in plan
     assert sum(r["order_count"] for r in gold.daily_sales_summary(shop).collect()) == 2 + 90
+
+
+def test_run_all_makes_a_gold_table_once(shop, monkeypatch):
+    made, build = [], gold.daily_sales_summary
+    monkeypatch.setattr(gold, "daily_sales_summary", lambda t: made.append(1) or build(t))
+    monkeypatch.setattr(gold, "daily_measures", lambda t: made.append(1))
+    names = ["seasonality_dow", "gold_daily_sales_summary", "monthly_revenue", "gold_monthly_time_series"]
+    results, failed = analyses.run_all(Gold(shop, "2001-08-02"), names)
+    assert list(results) == names and not failed and made == [1]
+
+
+def test_shared_gold_tables_are_the_gold_tables(shop):
+    plain, shared = Gold(shop, "2001-08-02"), analyses.SharedGold(Gold(shop, "2001-08-02"))
+    for name in (*gold.GOLD_TABLES, "daily_measures", "product_measures", "store_measures"):
+        a, b = getattr(plain, name), getattr(shared, name)
+        assert a.dtypes == b.dtypes, name
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())), name
