@@ -8,7 +8,7 @@ from shopgrain.operators import gold
 from shopgrain.operators.baskets import of_known_orders, order_products
 from shopgrain.operators.gold import Gold
 from shopgrain.operators.rollups import order_category_sums
-from shopgrain.plans import analyses
+from shopgrain.plans import analyses, models
 from shopgrain.plans.extended import basket_categories
 from shopgrain.plans.scripts import product_combinations
 from shopgrain.sources import retail
@@ -111,3 +111,8 @@ def test_shared_gold_tables_are_the_gold_tables(shop):
         a, b = getattr(plain, name), getattr(shared, name)
         assert a.dtypes == b.dtypes, name
         assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())), name
+
+
+def test_training_partitions_do_not_outgrow_the_cores():
+    made = [models._partitions(n, 12) for n in (10, 15_000, 100_000, 480_000, 2_900_000, 30_000_000)]
+    assert made == [1, 1, 5, 12, 12, 60]
