@@ -4,7 +4,7 @@ from decimal import Decimal
 
 import pytest
 
-from shopgrain.operators import gold
+from shopgrain.operators import gold, rollups
 from shopgrain.operators.baskets import of_known_orders, order_products
 from shopgrain.operators.gold import Gold
 from shopgrain.operators.rollups import order_category_sums
@@ -113,6 +113,28 @@ def test_shared_gold_tables_are_the_gold_tables(shop):
         assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())), name
 
 
+def test_run_all_makes_the_sums_of_orders_once(shop, monkeypatch):
+    made, sums = [], rollups._line_sums
+    monkeypatch.setattr(rollups, "_line_sums", lambda: made.append(1) or sums())
+    names = ["gold_customer_analytics", "cltv_prediction", "purchase_pattern", "moving_averages"]
+    results, failed = analyses.run_all(Gold(shop, "2001-08-02"), names)
+    assert list(results) == names and not failed and made == [1]
+
+
+def test_shared_steps_change_no_analysis(shop):
+    names = (
+        "product_season inventory_days inventory_risk yoy_from_daily ath_sales_dashboard ath_seasonality"
+        " gold_monthly_revenue_by_category gold_customer_ltv basket_size_histogram basket_combo_labels"
+        " pareto_analysis abc_summary ath_cohort_retention rfm_segment_summary ath_inventory_risk"
+    ).split()
+    results, failed = analyses.run_all(Gold(shop, "2001-08-02"), names)
+    assert list(results) == names and not failed
+    for name, shared in results.items():
+        alone = analyses.run_named(name, Gold(shop, "2001-08-02"))
+        assert alone.dtypes == shared.dtypes, name
+        assert sorted(map(str, alone.collect())) == sorted(map(str, shared.collect())), name
+
+
 def test_training_partitions_do_not_outgrow_the_cores():
     made = [models._partitions(n, 12) for n in (10, 15_000, 100_000, 480_000, 2_900_000, 30_000_000)]
     assert made == [1, 1, 5, 12, 12, 60]
