@@ -1,6 +1,9 @@
 """Steps whose tasks get a bounded number of rows, and work that is done once."""
 
+import time
 from decimal import Decimal
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 
@@ -10,8 +13,10 @@ from shopgrain.operators.gold import Gold
 from shopgrain.operators.rollups import order_category_sums
 from shopgrain.plans import analyses, models
 from shopgrain.plans.extended import basket_categories
+from shopgrain.plans.medallion import Medallion
 from shopgrain.plans.scripts import product_combinations
-from shopgrain.sources import retail
+from shopgrain.sources import retail, scratch
+from shopgrain.sources.layers import write_layer
 from shopgrain.sources.retail import Retail
 
 HOT = 900  # lines of order 1, of 1,000
@@ -135,6 +140,33 @@ def test_shared_steps_change_no_analysis(shop):
         assert sorted(map(str, alone.collect())) == sorted(map(str, shared.collect())), name
 
 
+def _shuffle_files(spark) -> int:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+
+def test_the_gold_step_leaves_nothing_beside_its_tables(spark, shop, tmp_path, monkeypatch):
+    lake = Medallion(spark, str(tmp_path), shop.table, "2001-08-02")
+    for name in retail.TABLES:
+        write_layer(shop.table(name), lake.root, "silver", name)
+    summed, sums = [], rollups._line_sums
+    monkeypatch.setattr(rollups, "_line_sums", lambda: summed.append(1) or sums())
+    settled = Path(urlparse(scratch._own_folder(spark)).path)
+    folders, files = {*settled.glob("*")}, _shuffle_files(spark)
+    lake.gold()
+    assert len(summed) == 3  # once for orders, for products, and for categories of orders
+    assert {*settled.glob("*")} <= folders
+    until = time.monotonic() + 10
+    while (left := _shuffle_files(spark)) > files and time.monotonic() < until:
+        time.sleep(0.2)
+    assert left <= files and spark.conf.get(scratch._FREE, None) is None
+    plain = Gold(lake.retail(), "2001-08-02")
+    for name in gold.GOLD_TABLES:
+        written, made = lake.table("gold", name), getattr(plain, name)
+        assert written.dtypes == made.dtypes, name
+        assert sorted(map(str, written.collect())) == sorted(map(str, made.collect())), name
+
+
 def test_training_partitions_do_not_outgrow_the_cores():
     made = [models._partitions(n, 12) for n in (10, 15_000, 100_000, 480_000, 2_900_000, 30_000_000)]
     assert made == [1, 1, 5, 12, 12, 60]
